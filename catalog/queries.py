@@ -32,6 +32,7 @@ from tidemark.operators import (
     prep,
     ranking,
     registry,
+    resampling,
     scoring,
     selection,
     target,
@@ -665,6 +666,13 @@ def feature_importance(spark, sf):
     return training.feature_importance(fitted, rows, "id", cols, "classification")
 
 
+@query
+def smote(spark, sf):
+    """One embedding label against all others."""
+    rows = I.table(spark, sf, "embeddings").select("vec_id", "embedding", F.when(F.col("label") == 3, 1).otherwise(0).alias("target"))
+    return resampling.smote(rows, "vec_id", "embedding", "target", k=5, seed=42)
+
+
 @query
 def shadow_selection(spark, sf):
     rows = I.model_rows(spark, sf)

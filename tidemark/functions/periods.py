@@ -56,19 +56,22 @@ def period_shift(label: Column, delta: int, unit: str = "month") -> Column:
 
 @dataclass(frozen=True)
 class TrailingWindow:
-    """A calendar period before the run period, ``[start, stop)``."""
+    """A calendar period before the run period, ``[start, stop)``; all history if start is None."""
 
     suffix: str
-    start: date
+    start: date | None
     stop: date
 
     @property
     def month_id(self) -> int:
+        if self.start is None:
+            raise ValueError("a window without a start is not a month")
         return self.start.year * 100 + self.start.month
 
     def holds(self, day: Column) -> Column:
         """True for rows inside the window; a bare range, so it is pushed to the scan."""
-        return (day >= F.lit(self.start)) & (day < F.lit(self.stop))
+        before = day < F.lit(self.stop)
+        return before if self.start is None else (day >= F.lit(self.start)) & before
 
     def holds_month_id(self, month: Column) -> Column:
         """The same window over an integer ``yyyyMM`` column."""

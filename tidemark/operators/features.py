@@ -74,7 +74,9 @@ def trailing_features(
     else:
         inside = {w.suffix: w.holds(col) for w in windows}
         # The plain range reaches the scan; the exact windows are tested again per measure.
-        span = (col >= F.lit(min(w.start for w in windows))) & (col < F.lit(max(w.stop for w in windows)))
+        starts = [w.start for w in windows]
+        first = None if None in starts else min(starts)
+        span = TrailingWindow("", first, max(w.stop for w in windows)).holds(col)
     for suffix, condition in extra.items():
         inside[suffix] = inside[suffix] & condition
     aggs = [

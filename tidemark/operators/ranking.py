@@ -23,6 +23,7 @@ from __future__ import annotations
 import math
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from decimal import Decimal
 from typing import Any
 
 from pyspark.ml.feature import Bucketizer
@@ -141,32 +142,54 @@ class RangeBuckets:
         return work.withColumn(out, bucket.cast("bigint")).drop(*names, *outs)
 
 
+def _literal(value: Any, dtype: T.DataType) -> str:
+    """A value read from a column, as SQL of the column's type."""
+    if isinstance(value, str):
+        text = "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    elif isinstance(value, float):
+        text = f"{value!r}D" if math.isfinite(value) else f"double('{value}')"
+    elif isinstance(value, (int, Decimal)):
+        text = str(value)
+    else:
+        text = f"'{value}'"
+    return f"CAST({text} AS {dtype.simpleString()})"
+
+
 @dataclass(frozen=True)
 class RankCuts:
-    """Rows found at given ranks: ``rows[rank] = (score, key)``."""
+    """Rows found at given ranks: ``rows[rank] = (score, key)``.
+
+    Comparisons are built as SQL text: a chain of them is one expression to hand over, not hundreds.
+    """
 
     n: int
     score: str
     key: str
     rows: dict[int, tuple[Any, Any]]
 
-    def _tuple(self, df: DataFrame, rank: int) -> tuple[Column, Column]:
-        s, k = self.rows[rank]
-        return F.lit(s).cast(_type(df, self.score)), F.lit(k).cast(_type(df, self.key))
+    def above_sql(self, df: DataFrame, rank: int) -> str:
+        """SQL that holds for rows with a score that are ranked after ``rank``."""
+        if rank <= 0:
+            return "TRUE"
+        if rank >= self.n:
+            return "FALSE"
+        s, k = f"`{self.score}`", f"`{self.key}`"
+        at_s = _literal(self.rows[rank][0], _type(df, self.score))
+        at_k = _literal(self.rows[rank][1], _type(df, self.key))
+        return f"({s} > {at_s} OR ({s} = {at_s} AND {k} > {at_k}))"
+
+    def scored_sql(self, df: DataFrame) -> str:
+        """SQL that holds for rows that have a rank."""
+        nan = isinstance(_type(df, self.score), (T.FloatType, T.DoubleType))
+        return f"(`{self.score}` IS NOT NULL" + (f" AND NOT isnan(`{self.score}`))" if nan else ")")
 
     def above(self, df: DataFrame, rank: int) -> Column:
         """True for rows ranked after ``rank`` (NULL for rows without a rank)."""
-        s = present(df, self.score)
-        if rank <= 0:
-            return s.isNotNull() | F.lit(None)
-        if rank >= self.n:
-            return s.isNull() & F.lit(None)
-        at_s, at_k = self._tuple(df, rank)
-        return (s > at_s) | ((s == at_s) & (F.col(self.key) > at_k))
+        return F.expr(f"CASE WHEN {self.scored_sql(df)} THEN {self.above_sql(df, rank)} END")
 
     def upto(self, df: DataFrame, rank: int) -> Column:
-        """True for rows ranked at or before ``rank``."""
-        return ~self.above(df, rank)
+        """True for rows ranked at or before ``rank`` (NULL for rows without a rank)."""
+        return F.expr(f"CASE WHEN {self.scored_sql(df)} THEN NOT {self.above_sql(df, rank)} END")
 
 
 def rank_cuts(
@@ -201,9 +224,9 @@ def rank_cuts(
     by_bucket: dict[int, list[int]] = {}
     for _, bucket, pos in place:
         by_bucket.setdefault(bucket, []).append(pos)
-    hit = F.lit(False)
-    for bucket, positions in by_bucket.items():
-        hit = hit | ((F.col("__bucket") == bucket) & F.col("__pos").isin(positions))
+    hit = F.expr(
+        " OR ".join(f"(__bucket = {b} AND __pos IN ({', '.join(map(str, ps))}))" for b, ps in by_bucket.items())
+    )
     next_same = (F.lead(key).over(w) == F.col(key)) & (F.lead(score).over(w) == F.col(score))
     placed = inside.withColumns({"__pos": F.row_number().over(w), "__twin": next_same})
     found = {}
@@ -219,7 +242,7 @@ def global_rank(
 ) -> DataFrame:
     """Rank 1..n in the ascending order of (score, key), over the whole dataset."""
     b = RangeBuckets.fit(df, score, key, buckets)
-    return _rank_in(df, b, out)
+    return rank_within(df, b, out)
 
 
 def _offsets(tagged: DataFrame) -> DataFrame:
@@ -231,7 +254,8 @@ def _offsets(tagged: DataFrame) -> DataFrame:
     )
 
 
-def _rank_in(df: DataFrame, b: RangeBuckets, out: str) -> DataFrame:
+def rank_within(df: DataFrame, b: RangeBuckets, out: str) -> DataFrame:
+    """:func:`global_rank` with splits already found."""
     tagged = b.assign(df)
     offsets = _offsets(b.assign(df.select(*dict.fromkeys((b.score, b.key)))))
     w = Window.partitionBy("__bucket").orderBy(b.score, b.key)
@@ -265,13 +289,11 @@ def quantile_bin(
     """Equal-frequency bin 1..q of each row's rank; NULL where there is no score."""
     if q <= MAX_CUT_BINS:
         cuts = rank_cuts(df, score, key, lambda n: bin_edges(n, q), buckets)
-        number = F.lit(1).cast("bigint")
-        for rank in bin_edges(cuts.n, q):
-            if rank < cuts.n:
-                number = number + cuts.above(df, rank).cast("bigint")
-        return df.withColumn(out, F.when(present(df, score).isNotNull(), number))
+        beyond = [f"CAST({cuts.above_sql(df, r)} AS BIGINT)" for r in bin_edges(cuts.n, q) if r < cuts.n]
+        number = " + ".join(["1L", *beyond])
+        return df.withColumn(out, F.expr(f"CASE WHEN {cuts.scored_sql(df)} THEN {number} END"))
     b = RangeBuckets.fit(df, score, key, buckets)
-    ranked = _rank_in(df, b, "__rank")
+    ranked = rank_within(df, b, "__rank")
     return ranked.withColumn(out, bin_of_rank(F.col("__rank"), b.n, q)).drop("__rank")
 
 
@@ -287,11 +309,11 @@ def rank_edge_bin(
     """Fixed-edge bin of each row's *rank*, as opposed to its value; NULL outside the edges."""
     last = [math.floor(e) for e in edges]  # a rank is <= e exactly when it is <= floor(e)
     cuts = rank_cuts(df, score, key, lambda n: last, buckets)
-    chain = F.when(present(df, score).isNull(), None)
+    cases = [f"WHEN NOT {cuts.scored_sql(df)} THEN NULL"]
     for i, r in enumerate(last):
-        inside = cuts.upto(df, r) if i or r > 0 else F.lit(False)
-        chain = chain.when(inside, F.lit(i - 1 + base) if i else F.lit(None))
-    return df.withColumn(out, chain.otherwise(None).cast("bigint"))
+        value = f"{i - 1 + base}L" if i else "NULL"
+        cases.append(f"WHEN NOT {cuts.above_sql(df, r)} THEN {value}")
+    return df.withColumn(out, F.expr(f"CAST(CASE {' '.join(cases)} END AS BIGINT)"))
 
 
 def first_rows(df: DataFrame, score: str, key: str, n: int, buckets: int | None = None) -> DataFrame:

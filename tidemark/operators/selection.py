@@ -10,6 +10,7 @@ from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.storagelevel import StorageLevel
 
 from tidemark.operators.training import permuted_columns
 
@@ -58,9 +59,13 @@ def shadow_selection(
         both = permuted_columns(base.select(key, label, *live), key, live, seed * 1000 + i, "shadow_")
         inputs = live + [f"shadow_{f}" for f in live]
         data = VectorAssembler(inputCols=inputs, outputCol="__x").transform(both).select(label, "__x")
-        forest = RandomForestClassifier(
-            featuresCol="__x", labelCol=label, numTrees=trees, maxDepth=max_depth, seed=seed + i
-        ).fit(data)
+        data = data.persist(StorageLevel.MEMORY_AND_DISK)  # the forest reads its input several times
+        try:
+            forest = RandomForestClassifier(
+                featuresCol="__x", labelCol=label, numTrees=trees, maxDepth=max_depth, seed=seed + i
+            ).fit(data)
+        finally:
+            data.unpersist()
         importance = forest.featureImportances.toArray()
         bar = float(np.percentile(importance[len(live) :], perc))
         for f, value in zip(live, importance):

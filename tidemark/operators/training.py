@@ -20,7 +20,7 @@ from pyspark.storagelevel import StorageLevel
 
 from tidemark.functions.scalars import hash_order
 from tidemark.operators.datasets import train_test
-from tidemark.operators.ranking import global_rank
+from tidemark.operators.ranking import RangeBuckets, rank_within
 
 KINDS = ("classification", "regression")
 
@@ -203,8 +203,9 @@ def permuted_columns(df: DataFrame, key: str, cols: Sequence[str], seed: int, pr
     """
     rng = random.Random(seed)
     tagged = df.withColumn("__h", hash_order(F.col(key), seed))
-    ranked = global_rank(tagged, "__h", key, "__r").drop("__h")
-    n = df.count()
+    b = RangeBuckets.fit(tagged, "__h", key)
+    ranked = rank_within(tagged, b, "__r").drop("__h")
+    n = b.n  # the hash is never NULL
     shifts = [rng.randrange(1, n) if n > 1 else 0 for _ in cols]
     moves = F.array(
         *[

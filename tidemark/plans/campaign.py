@@ -8,7 +8,6 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
-from datetime import date
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -153,7 +152,7 @@ def notification_counts(src: Sources, rules: Rules, month: str, full: bool = Tru
     windows = trailing_windows(month, suffixes=[f"_{s}" for s in SUFFIXES])
     predicates: dict[str, Column] = {}
     if full:
-        to_date = TrailingWindow("_OPF", date(1, 1, 1), period_end(shift_label(month, -1)))
+        to_date = TrailingWindow("_OPF", None, period_end(shift_label(month, -1)))
         windows = [to_date, *windows]
         predicates["_OPF"] = matches_any(F.col("campaign_id"), rules.campaign_patterns)
         if rules.oldest_batch_exclusions:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: int | str = 8, app: str = "tidemark") -> SparkSession:
@@ -19,6 +19,8 @@ def local_session(cores: int | str = 8, app: str = "tidemark") -> SparkSession:
         .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        # Saves a stack walk per column expression in long feature lists.
+        .config("spark.sql.dataFrameQueryContext.enabled", "false")
         .getOrCreate()
     )
 
@@ -41,3 +43,14 @@ def checkpoint_dir(spark: SparkSession) -> str:
 def work_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared folder."""
     return f"{checkpoint_dir(spark).rstrip('/')}/tidemark/{name}-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the shared folder and read back.
+
+    Cuts the lineage: what follows neither computes ``df`` again nor depends on the executors that
+    did, and Spark knows its size.
+    """
+    path = work_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
