@@ -183,9 +183,13 @@ def prep_stages(
                 handleInvalid="keep",
             )
         )
+        # The encoder's output keeps the indexer's metadata, and trees would take the encoded number for
+        # a category. A computed column has none.
+        plain = ", ".join(f"__e_{c} + 0.0D AS __x_{c}" for c in cats)
+        stages.append(SQLTransformer(statement=f"SELECT *, {plain} FROM __THIS__"))
     assembled = features if not scale and sample_variance is None and not extra else "__assembled"
     stages.append(
-        VectorAssembler(inputCols=[f"__e_{c}" for c in cats] + [f"__n_{c}" for c in nums], outputCol=assembled)
+        VectorAssembler(inputCols=[f"__x_{c}" for c in cats] + [f"__n_{c}" for c in nums], outputCol=assembled)
     )
     last = assembled
     if scale:

@@ -280,7 +280,7 @@ def bin_of_rank(rank: Column, n: int, q: int) -> Column:
     r = rank.cast("bigint")
     moved = (r - 1) * F.lit(q) + F.lit(n - 2)
     whole = (moved - F.pmod(moved, F.lit(n - 1))) / F.lit(n - 1)  # exact: the division has no rest
-    return F.greatest(F.lit(1), whole.cast("bigint"))
+    return F.when(rank.isNotNull(), F.greatest(F.lit(1), whole.cast("bigint")))  # greatest skips NULL
 
 
 def quantile_bin(

@@ -43,19 +43,12 @@ def select_model(
     registry: DataFrame, champions: DataFrame | None, model: str, month: Any, direction: str = "maximize"
 ) -> DataFrame:
     """The champion if there is one (and a champion table is in use), else the latest run."""
-    latest = latest_trained(registry, model, month)
+    latest = latest_trained(registry, model, month).withColumn("source", F.lit("latest"))
     if champions is None:
-        return latest.withColumn("source", F.lit("latest"))
-    best = best_model(champions, model, month, direction).select(
-        F.lit(1).alias("__one"), F.col("SAFRA").alias("__s"), F.col("DT_TRAIN").alias("__d")
-    )
-    # Both sides hold one row at most.
-    both = latest.withColumn("__one", F.lit(1)).join(F.broadcast(best), "__one", "full")
-    return both.select(
-        F.coalesce("__s", "SAFRA").alias("SAFRA"),
-        F.coalesce("__d", "DT_TRAIN").alias("DT_TRAIN"),
-        F.when(F.col("__s").isNotNull(), "champion").otherwise("latest").alias("source"),
-    )
+        return latest
+    best = best_model(champions, model, month, direction).select("SAFRA", "DT_TRAIN", F.lit("champion").alias("source"))
+    # One row each at most; "champion" sorts before "latest".
+    return best.unionByName(latest).orderBy("source").limit(1)
 
 
 def champion_decision(
