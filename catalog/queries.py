@@ -59,6 +59,15 @@ def rounded(df: DataFrame, places: int, *cols: str) -> DataFrame:
     return df.withColumns({c: round_even(F.col(c), places) for c in cols})
 
 
+def stored_pairs(spark, sf) -> DataFrame:
+    """Rank operators read their input more than once: the join is computed once and kept."""
+    return session.stored(I.regression_pairs(spark, sf), "pairs")
+
+
+def stored_documents(spark, sf) -> DataFrame:
+    return session.stored(I.scored_documents(spark, sf), "scored")
+
+
 # --- sources and sinks -----------------------------------------------------------------------
 
 
@@ -380,7 +389,7 @@ def undersample(spark, sf):
 
 @query
 def sorted_series(spark, sf):
-    out = metrics.sorted_series(I.regression_pairs(spark, sf), "y", "pred", "id")
+    out = metrics.sorted_series(stored_pairs(spark, sf), "y", "pred", "id")
     return rounded(out, 6, "log_actual", "log_predicted")
 
 
@@ -452,7 +461,7 @@ def score_table_regr(spark, sf):
 
 @query
 def score_table_regr_rank(spark, sf):
-    rows = I.regression_pairs(spark, sf)
+    rows = stored_pairs(spark, sf)
     return scoring.score_table_regr(rows, "id", "pred", RANK_EDGES, "potential", NEXT_MONTH, RUN, TRAIN_RUN, on="rank")
 
 
@@ -465,7 +474,7 @@ def binned_calibration(spark, sf):
 
 @query
 def optimal_threshold(spark, sf):
-    out = metrics.optimal_threshold(I.scored_documents(spark, sf), "p1", "target")
+    out = metrics.optimal_threshold(stored_documents(spark, sf), "p1", "target")
     return rounded(out, 9, "threshold", "fpr", "tpr", "gmean")
 
 
@@ -483,7 +492,7 @@ def classification_report(spark, sf):
 
 @query
 def roc_points(spark, sf):
-    out = metrics.roc_points(I.scored_documents(spark, sf), "p1", "target")
+    out = metrics.roc_points(stored_documents(spark, sf), "p1", "target")
     return rounded(out, 9, "threshold", "fpr", "tpr")
 
 
@@ -536,7 +545,7 @@ def confusion_bins(spark, sf):
 @query
 def confusion_bins_rank(spark, sf):
     edges = [0, 100, 1000, 5000, 9000]
-    return metrics.confusion_bins(I.regression_pairs(spark, sf), "y", "pred", edges, on="rank", key="id")
+    return metrics.confusion_bins(stored_pairs(spark, sf), "y", "pred", edges, on="rank", key="id")
 
 
 @query
@@ -559,7 +568,7 @@ def regression_metrics(spark, sf):
 
 @query
 def spearman(spark, sf):
-    return rounded(metrics.spearman(I.regression_pairs(spark, sf), "y", "pred", "id"), 8, "spearman")
+    return rounded(metrics.spearman(stored_pairs(spark, sf), "y", "pred", "id"), 8, "spearman")
 
 
 @query

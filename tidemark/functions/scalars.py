@@ -15,6 +15,7 @@ YES, NO = "S", "N"
 
 # Hex digits of the md5 that order rows at random: 13 digits are 52 bits, exact as a double.
 HASH_DIGITS = 13
+HASH_TOP = 16**HASH_DIGITS
 
 
 def as_int64(x: Column) -> Column:

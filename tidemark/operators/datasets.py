@@ -8,13 +8,18 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.scalars import hash_order
+from tidemark.functions.scalars import HASH_TOP, hash_order
 from tidemark.operators.audience import drop_columns
-from tidemark.operators.ranking import first_rows, rank_cuts
+from tidemark.operators.ranking import RangeBuckets, first_rows, rank_cuts
 
 _HASH = "__hash"
 
 
+def _even(key: str) -> RangeBuckets:
+    """Buckets of a hash: it spreads evenly, so no sketch is needed."""
+    return RangeBuckets.uniform(_HASH, key, HASH_TOP)
+
+
 def _zero_target(df: DataFrame, target: str) -> DataFrame:
     return df.withColumn(target, F.coalesce(target, F.lit(0)))
 
@@ -47,7 +52,7 @@ def sample_n(df: DataFrame, key: str, n: int | None, seed: int) -> DataFrame:
     if n is None:
         return df
     tagged = df.withColumn(_HASH, hash_order(F.col(key), seed))
-    return first_rows(tagged, _HASH, key, n).drop(_HASH)
+    return first_rows(tagged, _HASH, key, n, _even(key)).drop(_HASH)
 
 
 def split(df: DataFrame, key: str, p: float, seed: int = 42, out: str = "is_test") -> DataFrame:
@@ -60,7 +65,7 @@ def split(df: DataFrame, key: str, p: float, seed: int = 42, out: str = "is_test
         size = math.ceil(n * p)
         return [size]
 
-    cuts = rank_cuts(tagged, _HASH, key, test_size)
+    cuts = rank_cuts(tagged, _HASH, key, test_size, _even(key))
     return tagged.withColumn(out, cuts.upto(tagged, size)).drop(_HASH)
 
 
@@ -79,7 +84,7 @@ def undersample(df: DataFrame, label: str, key: str, seed: int = 42) -> DataFram
     for value, size in sorted(sizes.items()):
         member = F.col(label) == F.lit(value)
         if size > smallest:
-            cuts = rank_cuts(tagged.where(member), _HASH, key, lambda n: [smallest])
+            cuts = rank_cuts(tagged.where(member), _HASH, key, lambda n: [smallest], _even(key))
             member = member & cuts.upto(tagged, smallest)
         keep = keep | member
     return tagged.where(keep).drop(_HASH)

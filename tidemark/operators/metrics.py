@@ -68,19 +68,22 @@ def classification_report(df: DataFrame, y: str, pred: str) -> DataFrame:
     return per.select(F.col("c").cast("string").alias("label"), *names, "support").unionByName(summary)
 
 
-def _score_groups(df: DataFrame, score: str, label: str) -> tuple[DataFrame, RangeBuckets]:
-    """Positives and negatives per distinct score, and splits that spread the scores."""
-    rows = df.select(present(df, score).alias(score), F.col(label).alias("__y")).where(F.col(score).isNotNull())
-    groups = rows.groupBy(score).agg(
-        F.count_if(F.col("__y") == 1).alias("p"), F.count_if(F.col("__y") != 1).alias("n")
-    )
-    return groups, RangeBuckets.fit(rows, score)
+def _score_rows(df: DataFrame, score: str, label: str) -> tuple[DataFrame, DataFrame, RangeBuckets]:
+    """Rows with a score and 0/1 columns p and n; their sums per distinct score; splits of the scores."""
+    positive = F.col(label) == 1
+    rows = df.select(
+        present(df, score).alias(score),
+        F.when(positive, 1).otherwise(0).alias("p"),
+        F.when(positive, 0).when(F.col(label).isNotNull(), 1).otherwise(0).alias("n"),
+    ).where(F.col(score).isNotNull())
+    groups = rows.groupBy(score).agg(F.sum("p").alias("p"), F.sum("n").alias("n"))
+    return rows, groups, RangeBuckets.fit(rows, score)
 
 
 def roc_auc(df: DataFrame, score: str, label: str) -> DataFrame:
     """Area under the ROC curve, exact: tied scores count half."""
-    groups, b = _score_groups(df, score, label)
-    sums = running_sums(groups, b, ["n"])
+    rows, groups, b = _score_rows(df, score, label)
+    sums = running_sums(groups, b, ["n"], rows)
     # Twice the pairs won, as integers: no rounding in the sum.
     won = F.sum(F.col("p").cast("decimal(18,0)") * (2 * F.col("n_before") + F.col("n")).cast("decimal(19,0)"))
     pairs = 2 * F.sum("p").cast("double") * F.sum("n").cast("double")
@@ -93,7 +96,7 @@ def roc_points(df: DataFrame, score: str, label: str, drop_collinear: bool = Tru
     ``drop_collinear`` keeps the ends and the points where the step in either count changes. The
     step after a bucket's last point is the first group of the bucket below it.
     """
-    groups, b = _score_groups(df, score, label)
+    _, groups, b = _score_rows(df, score, label)
     sums = running_sums(groups, b, ["p", "n"])
     down = Window.partitionBy("__bucket").orderBy(F.col(score).desc())
     seen = sums.withColumn("__next", F.lead(F.struct("p", "n")).over(down)).withColumn(

@@ -32,8 +32,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 MAX_BUCKETS = 1024  # bounds the split list and, with it, the offset table
+CUT_BUCKETS = 512  # fine buckets leave little to sort when only a few ranks are asked for
 HEAVY_HITS = 4  # a score found at this many splits is split by key
-SKETCH_ACCURACY = 10000
+SKETCH_SIZE = 8000  # rank error below 0.1 %; the sketches only balance the work
 EXACT_DOUBLE = 2**53
 MAX_CUT_BINS = 64  # beyond this many bins a rank column is cheaper than a chain of comparisons
 
@@ -99,13 +100,16 @@ class RangeBuckets:
         if key is not None and isinstance(_type(df, key), T.StringType):
             skip = _shared_prefix(*df.agg(F.min(key), F.max(key)).first())
         s = _number(df, score)
-        aggs = [
-            F.count(s).alias("n"),
-            F.max(F.abs(s)).alias("top"),
-            F.percentile_approx(s, at, SKETCH_ACCURACY).alias("s"),
-        ]
+        shares = F.array(*[F.lit(x) for x in at])
+
+        def sketched(x: Column) -> Column:
+            # A sketch of no rows has no quantiles to give.
+            sketch = F.kll_sketch_agg_double(x, SKETCH_SIZE)
+            return F.when(F.count(x) > 0, F.kll_sketch_get_quantile_double(sketch, shares))
+
+        aggs = [F.count(s).alias("n"), F.max(F.abs(s)).alias("top"), sketched(s).alias("s")]
         if key is not None:
-            aggs.append(F.percentile_approx(_number(df, key, skip), at, SKETCH_ACCURACY).alias("k"))
+            aggs.append(sketched(_number(df, key, skip)).alias("k"))
         row = df.agg(*aggs).first()
         found = list(row["s"] or [])
         exact = isinstance(_type(df, score), _EXACT) and (row["top"] or 0) <= EXACT_DOUBLE
@@ -115,11 +119,17 @@ class RangeBuckets:
         heavy_values = [v for v, h in hits.items() if exact and h >= HEAVY_HITS]
         points = {v for v in found if math.isfinite(v)}
         points |= {math.nextafter(v, math.inf) for v in heavy_values if math.isfinite(v)}
-        splits = (-math.inf, *sorted(points), math.inf)
+        splits = (-math.inf, *(sorted(points) or [0.0]), math.inf)  # two buckets at least
         heavy = tuple(splits.index(v) for v in heavy_values if math.isfinite(v))
         keys = sorted({v for v in (row["k"] if key is not None else None) or [] if math.isfinite(v)})
         return RangeBuckets(row["n"], score, key, splits, heavy, (-math.inf, *keys, math.inf), skip)
 
+    @staticmethod
+    def uniform(score: str, key: str, top: int, parts: int = CUT_BUCKETS) -> "RangeBuckets":
+        """Splits of a score known to be spread evenly over 0..top, such as a hash: no pass needed."""
+        inner = [top / parts * i for i in range(1, parts)]
+        return RangeBuckets(0, score, key, (-math.inf, *inner, math.inf), (), (-math.inf, math.inf), 0)
+
     @property
     def width(self) -> int:
         return len(self.key_splits)
@@ -168,7 +178,10 @@ class RankCuts:
     rows: dict[int, tuple[Any, Any]]
 
     def above_sql(self, df: DataFrame, rank: int) -> str:
-        """SQL that holds for rows with a score that are ranked after ``rank``."""
+        """SQL that holds for rows with a score that are ranked after ``rank``.
+
+        The key decides which comparison applies, so each row computes its score once.
+        """
         if rank <= 0:
             return "TRUE"
         if rank >= self.n:
@@ -176,20 +189,25 @@ class RankCuts:
         s, k = f"`{self.score}`", f"`{self.key}`"
         at_s = _literal(self.rows[rank][0], _type(df, self.score))
         at_k = _literal(self.rows[rank][1], _type(df, self.key))
-        return f"({s} > {at_s} OR ({s} = {at_s} AND {k} > {at_k}))"
+        return f"(CASE WHEN {k} > {at_k} THEN {s} >= {at_s} ELSE {s} > {at_s} END)"
 
     def scored_sql(self, df: DataFrame) -> str:
         """SQL that holds for rows that have a rank."""
         nan = isinstance(_type(df, self.score), (T.FloatType, T.DoubleType))
         return f"(`{self.score}` IS NOT NULL" + (f" AND NOT isnan(`{self.score}`))" if nan else ")")
 
+    def _ranked(self, df: DataFrame, rank: int, sql: str) -> Column:
+        inner = 0 < rank < self.n
+        compares_null = inner and not isinstance(_type(df, self.score), (T.FloatType, T.DoubleType))
+        return F.expr(sql if compares_null else f"CASE WHEN {self.scored_sql(df)} THEN {sql} END")
+
     def above(self, df: DataFrame, rank: int) -> Column:
         """True for rows ranked after ``rank`` (NULL for rows without a rank)."""
-        return F.expr(f"CASE WHEN {self.scored_sql(df)} THEN {self.above_sql(df, rank)} END")
+        return self._ranked(df, rank, self.above_sql(df, rank))
 
     def upto(self, df: DataFrame, rank: int) -> Column:
         """True for rows ranked at or before ``rank`` (NULL for rows without a rank)."""
-        return F.expr(f"CASE WHEN {self.scored_sql(df)} THEN NOT {self.above_sql(df, rank)} END")
+        return self._ranked(df, rank, f"(NOT {self.above_sql(df, rank)})")
 
 
 def rank_cuts(
@@ -197,7 +215,7 @@ def rank_cuts(
     score: str,
     key: str,
     ranks: Callable[[int], Sequence[int]],
-    buckets: int | None = None,
+    buckets: int | RangeBuckets | None = None,
 ) -> RankCuts:
     """Exact rows at ``ranks(n)`` in the ascending order of (score, key).
 
@@ -205,16 +223,19 @@ def rank_cuts(
     returns a bounded number of rows to the driver.
     """
     slim = df.select(*dict.fromkeys((score, key)))
-    b = RangeBuckets.fit(slim, score, key, buckets)
-    wanted = sorted({r for r in ranks(b.n) if 0 < r < b.n})
+    known = isinstance(buckets, RangeBuckets)
+    b = buckets if known else RangeBuckets.fit(slim, score, key, buckets or CUT_BUCKETS)
+    tagged = b.assign(slim)
+    # Rows without a score fall away here, not in a filter that would compute the bucket twice.
+    counts = [(r["__bucket"], r["count"]) for r in tagged.groupBy("__bucket").count().collect() if r["__bucket"] >= 0]
+    n = sum(size for _, size in counts)
+    wanted = sorted({r for r in ranks(n) if 0 < r < n})
     if not wanted:
-        return RankCuts(b.n, score, key, {})
-    tagged = b.assign(slim).where(F.col("__bucket") >= 0)
-    counts = tagged.groupBy("__bucket").count().collect()
+        return RankCuts(n, score, key, {})
     place: list[tuple[int, int, int]] = []
     done, todo = 0, iter(wanted)
     rank = next(todo, None)
-    for bucket, size in sorted((r["__bucket"], r["count"]) for r in counts):
+    for bucket, size in sorted(counts):
         while rank is not None and rank <= done + size:
             place.append((rank, bucket, rank - done))
             rank = next(todo, None)
@@ -234,7 +255,7 @@ def rank_cuts(
         if r["__twin"]:
             raise ValueError(f"{key} must be unique to break ties of {score}: {r[key]!r} repeats")
         found[r["__bucket"], r["__pos"]] = (r[score], r[key])
-    return RankCuts(b.n, score, key, {r: found[(bucket, pos)] for r, bucket, pos in place})
+    return RankCuts(n, score, key, {r: found[(bucket, pos)] for r, bucket, pos in place})
 
 
 def global_rank(
@@ -248,9 +269,11 @@ def global_rank(
 def _offsets(tagged: DataFrame) -> DataFrame:
     """Rows before each bucket. One row per bucket, so the single-task window is small."""
     w = Window.orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
-    counts = tagged.where(F.col("__bucket") >= 0).groupBy("__bucket").agg(F.count(F.lit(1)).alias("__n"))
+    counts = tagged.groupBy("__bucket").agg(F.count(F.lit(1)).alias("__n"))
+    ranked = F.when(F.col("__bucket") >= 0, F.col("__n"))  # rows without a score come first and count 0
+    before = F.coalesce(F.sum(ranked).over(w), F.lit(0))
     return counts.select(
-        F.col("__bucket").alias("__ob"), F.coalesce(F.sum("__n").over(w), F.lit(0)).alias("__before"), "__n"
+        F.col("__bucket").alias("__ob"), F.when(F.col("__bucket") >= 0, before).alias("__before"), "__n"
     )
 
 
@@ -316,7 +339,9 @@ def rank_edge_bin(
     return df.withColumn(out, F.expr(f"CAST(CASE {' '.join(cases)} END AS BIGINT)"))
 
 
-def first_rows(df: DataFrame, score: str, key: str, n: int, buckets: int | None = None) -> DataFrame:
+def first_rows(
+    df: DataFrame, score: str, key: str, n: int, buckets: int | RangeBuckets | None = None
+) -> DataFrame:
     """The first n rows in the order of (score, key), as a filter: no row moves."""
     cuts = rank_cuts(df, score, key, lambda total: [n], buckets)
     return df.where(cuts.upto(df, n))
@@ -331,12 +356,9 @@ def average_rank(df: DataFrame, value: str, key: str, out: str, buckets: int | N
     b = RangeBuckets.fit(df, value, key, buckets)
     tagged = b.assign(df).withColumn("__sb", F.floor(F.col("__bucket") / b.width))
     slim = b.assign(df.select(*dict.fromkeys((value, key))))
-    per_value = (
-        slim.where(F.col("__bucket") >= 0)
-        .groupBy(F.floor(F.col("__bucket") / b.width).alias("__ob"))
-        .agg(F.count(F.lit(1)).alias("__n"))
-    )
-    before = F.sum("__n").over(Window.orderBy("__ob").rowsBetween(Window.unboundedPreceding, -1))
+    per_value = slim.groupBy(F.floor(F.col("__bucket") / b.width).alias("__ob")).agg(F.count(F.lit(1)).alias("__n"))
+    ranked = F.when(F.col("__ob") >= 0, F.col("__n"))
+    before = F.sum(ranked).over(Window.orderBy("__ob").rowsBetween(Window.unboundedPreceding, -1))
     offsets = per_value.withColumn("__before", F.coalesce(before, F.lit(0)))
     in_bucket = Window.partitionBy("__bucket").orderBy(value)
     ties = Window.partitionBy("__bucket", value)
@@ -351,16 +373,21 @@ def average_rank(df: DataFrame, value: str, key: str, out: str, buckets: int | N
     )
 
 
-def running_sums(groups: DataFrame, b: RangeBuckets, values: Sequence[str]) -> DataFrame:
+def running_sums(
+    groups: DataFrame, b: RangeBuckets, values: Sequence[str], rows: DataFrame | None = None
+) -> DataFrame:
     """Running totals over distinct scores, ascending.
 
-    Adds ``<v>_before`` (sum over smaller scores) and ``<v>_total`` for each value, the bucket,
-    ``__head`` (values of the largest score of the next lower bucket, NULL for the lowest) and
+    Adds ``<v>_before`` (sum over smaller scores) and ``<v>_total`` for each value, and the bucket.
+    Bucket totals come from ``rows``, the ungrouped input with the same columns, if it is given: one
+    more scan but no second shuffle of the groups. Without it they come from the groups, and the result
+    also has ``__head`` (values of the largest score of the next lower bucket, NULL for the lowest) and
     ``__top`` (whether the bucket is the highest). The single-task windows run on one row per bucket.
     """
     tagged = b.assign(groups)
-    per_bucket = tagged.groupBy("__bucket").agg(
-        F.max_by(F.struct(*values), b.score).alias("__largest"),
+    largest = F.lit(None) if rows is not None else F.max_by(F.struct(*values), b.score)
+    per_bucket = (tagged if rows is None else b.assign(rows)).groupBy("__bucket").agg(
+        largest.alias("__largest"),
         *[F.sum(v).alias(f"__t_{v}") for v in values],
     )
     up = Window.orderBy("__bucket")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from typing import Any
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # Columns of the champion table.
@@ -62,11 +62,16 @@ def champion_decision(
     if direction not in DIRECTIONS:
         raise ValueError(f"direction must be one of {DIRECTIONS}")
     up = direction == "maximize"
-    r = registry.select(
-        F.col("MODEL_NAME").alias("__m"), F.col("SAFRA").alias("__s"), F.col("METRIC").alias("__v")
+    best_of = F.max if up else F.min
+    # Months of the table and candidates in one line per model; the running best at a candidate is the
+    # best of the table's months up to its own. No candidate is paired with every earlier run.
+    months = registry.groupBy("MODEL_NAME", "SAFRA").agg(best_of("METRIC").alias("__v"))
+    line = months.unionByName(
+        candidate.select("MODEL_NAME", "SAFRA", F.struct(*REGISTRY_COLUMNS).alias("__run")), allowMissingColumns=True
     )
-    known = candidate.join(r, (F.col("MODEL_NAME") == F.col("__m")) & (F.col("__s") <= F.col("SAFRA")), "left")
-    best = known.groupBy(*REGISTRY_COLUMNS).agg((F.max("__v") if up else F.min("__v")).alias("BEST_METRIC"))
+    so_far = Window.partitionBy("MODEL_NAME").orderBy("SAFRA").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    known = line.withColumn("BEST_METRIC", best_of("__v").over(so_far)).where(F.col("__run").isNotNull())
+    best = known.select("__run.*", "BEST_METRIC")
     gap = F.col("METRIC") + F.lit(tolerance) >= F.col("BEST_METRIC")
     if not up:
         gap = F.col("METRIC") - F.lit(tolerance) <= F.col("BEST_METRIC")

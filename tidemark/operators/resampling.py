@@ -21,8 +21,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from tidemark.functions.scalars import HASH_DIGITS, hash_order
-from tidemark.operators.ranking import first_rows, rank_cuts
+from tidemark.functions.scalars import HASH_TOP, hash_order
+from tidemark.operators.ranking import RangeBuckets, first_rows, rank_cuts
 from tidemark.session import stored
 
 MAX_PIVOTS = 512  # bounds what the driver holds and each task receives
@@ -142,7 +142,7 @@ def nearest_neighbours(df: DataFrame, key: str, features: str, k: int, seed: int
     n = rows.count()
     wanted = min(MAX_PIVOTS, math.ceil(n / CELL_ROWS))
     tagged = rows.withColumn("__h", hash_order(F.col("__id"), seed))
-    drawn = first_rows(tagged, "__h", "__id", wanted).select("__vec").collect()
+    drawn = first_rows(tagged, "__h", "__id", wanted, RangeBuckets.uniform("__h", "__id", HASH_TOP)).select("__vec").collect()
     pivots = np.unique(np.array([r[0] for r in drawn], dtype=float), axis=0)
 
     located = rows.withColumn("__c", _own_cell(pivots)("__vec")).select("__id", "__vec", "__c.cell", "__c.dist")
@@ -193,7 +193,7 @@ def smote_rows(df: DataFrame, key: str, features: str, label: str, k: int = 5, s
     tagged = rows.withColumn("__h", hash_order(F.col(key), f"{seed}:base"))
     extra = F.lit(0)
     if rest:
-        cuts = rank_cuts(tagged, "__h", key, lambda n: [rest])
+        cuts = rank_cuts(tagged, "__h", key, lambda n: [rest], RangeBuckets.uniform("__h", key, HASH_TOP))
         extra = cuts.upto(tagged, rest).cast("int")
     bases = (
         tagged.withColumn("__copies", F.lit(each) + extra)
@@ -201,11 +201,10 @@ def smote_rows(df: DataFrame, key: str, features: str, label: str, k: int = 5, s
         .select(key, F.col(features).cast("array<double>").alias("__base"), F.explode(F.sequence(F.lit(1), F.col("__copies"))).alias("__i"))
     )
     draw = F.concat_ws(":", F.col(key).cast("string"), F.col("__i").cast("string"))
-    scale = float(16**HASH_DIGITS)
     bases = bases.withColumns(
         {
             "n": (F.pmod(hash_order(draw, f"{seed}:neighbour"), F.lit(min(k, small - 1))) + 1).cast("int"),
-            "gap": hash_order(draw, f"{seed}:gap") / F.lit(scale),
+            "gap": hash_order(draw, f"{seed}:gap") / F.lit(float(HASH_TOP)),
         }
     )
     joined = bases.join(near.select(key, "n", "neighbour", "neighbour_features"), [key, "n"])

@@ -18,9 +18,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
-from tidemark.functions.scalars import hash_order
+from tidemark.functions.scalars import HASH_TOP, hash_order
 from tidemark.operators.datasets import train_test
-from tidemark.operators.ranking import RangeBuckets, rank_within
+from tidemark.operators.ranking import RangeBuckets, default_buckets, rank_within
 
 KINDS = ("classification", "regression")
 
@@ -203,9 +203,9 @@ def permuted_columns(df: DataFrame, key: str, cols: Sequence[str], seed: int, pr
     """
     rng = random.Random(seed)
     tagged = df.withColumn("__h", hash_order(F.col(key), seed))
-    b = RangeBuckets.fit(tagged, "__h", key)
+    b = RangeBuckets.uniform("__h", key, HASH_TOP, default_buckets(df))
     ranked = rank_within(tagged, b, "__r").drop("__h")
-    n = b.n  # the hash is never NULL
+    n = df.count()
     shifts = [rng.randrange(1, n) if n > 1 else 0 for _ in cols]
     moves = F.array(
         *[
