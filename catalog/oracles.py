@@ -290,16 +290,16 @@ def oracle_sql() -> dict[str, str]:
     o["pattern_filter"] = f"""WITH {NOTIFICATIONS} SELECT batch_id, campaign_id, count(*) AS n FROM notifications
         WHERE batch_id NOT LIKE '%BLOCKED%' AND batch_id NOT LIKE '%CG'
           AND (campaign_id LIKE '%SALE%' OR campaign_id LIKE '%PROMO') GROUP BY 1, 2"""
-    o["month_flags"] = """SELECT o_orderkey,
+    o["month_flag"] = """SELECT o_orderkey,
         CASE WHEN CAST(o_orderdate AS DATE) BETWEEN DATE '1998-07-01' AND DATE '1998-07-31' THEN 'S' ELSE 'N' END AS flag FROM orders"""
-    o["presence_flags"] = """SELECT c_custkey, CASE WHEN EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey
+    o["presence_flag"] = """SELECT c_custkey, CASE WHEN EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey
         AND o_orderpriority = '1-URGENT') THEN 'S' ELSE 'N' END AS has_urgent FROM customer"""
     o["drop_columns"] = "SELECT p_partkey, p_brand, p_size, p_retailprice FROM part"
     o["measure_families"] = f"""WITH {LINES}, {ACTIVITY} SELECT customer_id, month_id, sum(price + tax + discount) AS tpv,
         CAST(sum(units + odd_lines) AS BIGINT) AS tpn FROM activity GROUP BY 1, 2"""
-    o["period_shifts"] = """SELECT o_orderkey, strftime(date_trunc('month', o_orderdate) - INTERVAL 3 MONTH, '%Y%m') AS three_months_before,
+    o["period_shift"] = """SELECT o_orderkey, strftime(date_trunc('month', o_orderdate) - INTERVAL 3 MONTH, '%Y%m') AS three_months_before,
         strftime(o_orderdate + INTERVAL 14 DAY, '%Y-%m-%d') AS two_weeks_after FROM orders"""
-    o["edge_bins"] = f"""SELECT {_edge("l_quantity", [1, 10, 20, 30, 45])} AS bin, count(*) AS n FROM lineitem GROUP BY 1"""
+    o["edge_bin"] = f"""SELECT {_edge("l_quantity", [1, 10, 20, 30, 45])} AS bin, count(*) AS n FROM lineitem GROUP BY 1"""
 
     o["star_join"] = f"""WITH {SEGMENTS}, {_balances(*W)}, {_consent_flags("1998-07-01", "1998-07-31")},
         flags AS (SELECT customer_id, max(f.flag_in_month) AS flag_in_month, bool_or(d.customer_id IS NOT NULL) AS has_data_out
@@ -473,4 +473,17 @@ def oracle_sql() -> dict[str, str]:
         f"({_selected(cond, case)})"
         for cond, case in (('"METRIC" >= 40', "in_use"), ("FALSE", "not_in_use"), ('"METRIC" > 100', "none_yet"))
     )
+
+    draw = "base || ':' || i"
+    o["smote_points"] = f"""WITH m AS (SELECT vec_id AS id, [CAST(x AS DOUBLE) FOR x IN embedding] AS v FROM embeddings WHERE label = 3),
+        d AS (SELECT a.id AS base, b.id AS neighbour, a.v AS av, b.v AS bv,
+            row_number() OVER (PARTITION BY a.id ORDER BY list_sum([(p[1] - p[2]) * (p[1] - p[2]) FOR p IN list_zip(a.v, b.v)]), b.id) AS n
+            FROM m a JOIN m b ON a.id <> b.id),
+        s AS (SELECT (SELECT count(*) FROM m) AS small, (SELECT count(*) FROM embeddings) - 2 * (SELECT count(*) FROM m) AS missing),
+        b AS (SELECT id AS base, missing // small + CASE WHEN row_number() OVER (ORDER BY {_hash("id", "42:base")}, id) <= missing % small THEN 1 ELSE 0 END AS copies FROM m, s),
+        c AS (SELECT base, unnest(range(1, copies + 1)) AS i FROM b),
+        p AS (SELECT base, {_hash("(" + draw + ")", "42:neighbour")} % least(5, (SELECT small FROM s) - 1) + 1 AS n,
+            {_hash("(" + draw + ")", "42:gap")} / 4503599627370496.0::DOUBLE AS gap FROM c)
+        SELECT base, neighbour, {_r("gap", 9)} AS gap, {_r("list_sum([q[1] + gap * (q[2] - q[1]) FOR q IN list_zip(av, bv)])", 5)} AS total
+        FROM p JOIN d USING (base, n)"""
     return o

@@ -51,7 +51,8 @@ RANK_EDGES = list(range(11))
 
 
 def query(fn: Query) -> Query:
-    _QUERIES[fn.__name__] = fn
+    # A trailing underscore keeps a query's name apart from the function it exercises.
+    _QUERIES[fn.__name__.rstrip("_")] = fn
     return fn
 
 
@@ -131,13 +132,13 @@ def pattern_filter(spark, sf):
 
 
 @query
-def month_flags(spark, sf):
+def month_flag_(spark, sf):
     flag = month_flag(F.col("o_orderdate"), period_start("199807"), period_end("199807"))
     return I.table(spark, sf, "orders").select("o_orderkey", flag.alias("flag"))
 
 
 @query
-def presence_flags(spark, sf):
+def presence_flag_(spark, sf):
     urgent = I.table(spark, sf, "orders").where("o_orderpriority = '1-URGENT'").select(F.col("o_custkey").alias("c_custkey"))
     return audience.presence_flag(I.table(spark, sf, "customer").select("c_custkey"), urgent, "c_custkey", "has_urgent")
 
@@ -156,7 +157,7 @@ def measure_families(spark, sf):
 
 
 @query
-def period_shifts(spark, sf):
+def period_shift_(spark, sf):
     day = F.to_date("o_orderdate")
     return I.table(spark, sf, "orders").select(
         "o_orderkey",
@@ -166,7 +167,7 @@ def period_shifts(spark, sf):
 
 
 @query
-def edge_bins(spark, sf):
+def edge_bin_(spark, sf):
     return I.table(spark, sf, "lineitem").groupBy(
         edge_bin(F.col("l_quantity"), [1, 10, 20, 30, 45]).alias("bin")
     ).agg(F.count(F.lit(1)).alias("n"))
@@ -682,6 +683,24 @@ def smote(spark, sf):
     return resampling.smote(rows, "vec_id", "embedding", "target", k=5, seed=42)
 
 
+@query
+def smote_points(spark, sf):
+    """Where each synthetic point lies: its two rows, the share of the way, and its coordinates' sum."""
+    rows = I.table(spark, sf, "embeddings").select("vec_id", "embedding", F.when(F.col("label") == 3, 1).otherwise(0).alias("target"))
+    made = resampling.smote_rows(rows, "vec_id", "embedding", "target", k=5, seed=42)
+    total = F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x)
+    return made.select("base", "neighbour", round_even(F.col("gap"), 9).alias("gap"), round_even(total, 5).alias("total"))
+
+
+@query
+def batch_score(spark, sf):
+    """A fitted model's scores of the whole set, in the stored layout."""
+    _, rows = _prepared(spark, sf)
+    model = training.fit_model(rows, "classification", _TREES)
+    scored = session.stored(scoring.batch_score(model, rows, "id"), "scored")
+    return scoring.score_table_class(scored, "id", "p0", "p1", "propensity", NEXT_MONTH, RUN, TRAIN_RUN)
+
+
 @query
 def shadow_selection(spark, sf):
     rows = I.model_rows(spark, sf)

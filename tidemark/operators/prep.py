@@ -19,6 +19,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.session import stored
+
 # Constants that stand for a missing value.
 MISSING_CATEGORY = "missing"
 MISSING_NUMBER = 0
@@ -107,6 +109,8 @@ def fit_target_encoder(
     head = encoded.limit(MAX_LOCAL_CATEGORIES + 1).collect()
     if len(head) <= MAX_LOCAL_CATEGORIES:
         encoded = df.sparkSession.createDataFrame(head, encoded.schema)
+    else:
+        encoded = stored(encoded, "encoding")  # read once per column
     return TargetEncoding(encoded, prior, tuple(cols))
 
 

@@ -131,6 +131,16 @@ def _closest(found: DataFrame, k: int) -> DataFrame:
     return found.withColumn("__n", F.row_number().over(w)).where(F.col("__n") <= k)
 
 
+def _named(found: DataFrame, key: str) -> DataFrame:
+    return found.select(
+        F.col("__id").alias(key),
+        F.col("__nb").alias("neighbour"),
+        F.col("__nb_vec").alias("neighbour_features"),
+        F.col("__d").alias("distance"),
+        F.col("__n").alias("n"),
+    )
+
+
 def nearest_neighbours(df: DataFrame, key: str, features: str, k: int, seed: int = 42) -> DataFrame:
     """The ``k`` nearest other rows of every row by Euclidean distance, ties by key.
 
@@ -139,16 +149,25 @@ def nearest_neighbours(df: DataFrame, key: str, features: str, k: int, seed: int
     """
     id_type = df.schema[key].dataType.simpleString()
     rows = df.select(F.col(key).alias("__id"), F.col(features).cast("array<double>").alias("__vec"))
-    n = rows.count()
-    wanted = min(MAX_PIVOTS, math.ceil(n / CELL_ROWS))
+    wanted = min(MAX_PIVOTS, math.ceil(rows.count() / CELL_ROWS))
+
+    def candidates_of(placed: DataFrame) -> DataFrame:
+        copies = Window.partitionBy("__vec").orderBy("__id")
+        ranked = placed.withColumn("__copy", F.row_number().over(copies))
+        return ranked.where(F.col("__copy") <= k + 1).drop("__copy")
+
+    if wanted <= 1:  # one cell: nothing to rule out
+        placed = rows.withColumn("cell", F.lit(0))
+        return _named(_closest(_visit(placed, candidates_of(placed), k, id_type), k), key)
+
     tagged = rows.withColumn("__h", hash_order(F.col("__id"), seed))
-    drawn = first_rows(tagged, "__h", "__id", wanted, RangeBuckets.uniform("__h", "__id", HASH_TOP)).select("__vec").collect()
+    even = RangeBuckets.uniform("__h", "__id", HASH_TOP)
+    drawn = first_rows(tagged, "__h", "__id", wanted, even).select("__vec").collect()
     pivots = np.unique(np.array([r[0] for r in drawn], dtype=float), axis=0)
 
     located = rows.withColumn("__c", _own_cell(pivots)("__vec")).select("__id", "__vec", "__c.cell", "__c.dist")
     placed = stored(located, "cells")  # read by every step below
-    copies = Window.partitionBy("__vec").orderBy("__id")
-    candidates = placed.withColumn("__copy", F.row_number().over(copies)).where(F.col("__copy") <= k + 1).drop("__copy")
+    candidates = candidates_of(placed)
     radius = np.full(len(pivots), -1.0)
     for r in candidates.groupBy("cell").agg(F.max("dist").alias("far")).collect():
         radius[r["cell"]] = r["far"]
@@ -163,14 +182,8 @@ def nearest_neighbours(df: DataFrame, key: str, features: str, k: int, seed: int
         .withColumn("__to", _cells_in_reach(pivots, radius)("__vec", "cell", "dist", "__bound"))
         .select("__id", "__vec", F.explode("__to").alias("cell"))
     )
-    found = at_home.unionByName(_visit(travellers, candidates, k, id_type)) if len(pivots) > 1 else at_home
-    return _closest(found, k).select(
-        F.col("__id").alias(key),
-        F.col("__nb").alias("neighbour"),
-        F.col("__nb_vec").alias("neighbour_features"),
-        F.col("__d").alias("distance"),
-        F.col("__n").alias("n"),
-    )
+    found = at_home.unionByName(_visit(travellers, candidates, k, id_type))
+    return _named(_closest(found, k), key)
 
 
 def smote_rows(df: DataFrame, key: str, features: str, label: str, k: int = 5, seed: int = 42) -> DataFrame:

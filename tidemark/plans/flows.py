@@ -40,6 +40,7 @@ from tidemark.operators.prep import fit_prep
 from tidemark.operators.registry import champion_decision, metric_percent
 from tidemark.operators.scoring import batch_score, latest_scores, score_table_class, score_table_regr
 from tidemark.operators.training import fit_model
+from tidemark.session import stored
 from tidemark.sources.datasets import materialize
 from tidemark.sources.models import save_model
 
@@ -110,6 +111,10 @@ def build_evaluation_set(spark: SparkSession, p: Project, month: str) -> DataFra
 
 
 def _stage(spark: SparkSession, p: Project, flow: str, month: str, base: str, policy: str, build) -> DataFrame:
+    """A stage dataset. Splits and ranks read it several times, so even with ``never`` there is a
+    scratch copy in the shared folder; no later run reads that one."""
+    if policy == "never":
+        return stored(build(spark, p, month), flow)
     return materialize(lambda: build(spark, p, month), spark, f"{base}/{p.model_name}/{flow}", month, policy)
 
 
