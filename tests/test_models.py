@@ -249,3 +249,21 @@ def test_the_three_flows(spark, sf, kind):
         assert len(result) == 10 and sum(r["PUBLICO"] for r in result) == scores.count()
         champions = spark.createDataFrame([], "MODEL_NAME string, DT_TRAIN string, METRIC int, SAFRA date")
         assert flows.challenge(p, champions, trained.metric, "199807", "r1").first()["accepted"]
+
+
+def test_worker_functions_need_no_package(tmp_path):
+    """Python workers may not have this package on their path."""
+    import subprocess
+    import sys
+
+    from pyspark import cloudpickle
+
+    blob = tmp_path / "f.pkl"
+    blob.write_bytes(cloudpickle.dumps(resampling._best_in_chunk(1)))
+    code = (
+        f"import pickle, pandas as pd; f = pickle.load(open({str(blob)!r}, 'rb'));"
+        "l = pd.DataFrame({'__id': [1], '__vec': [[0.0]]}); r = pd.DataFrame({'__cid': [2], '__cvec': [[3.0]]});"
+        "print(f(l, r)['__d'].iloc[0])"
+    )
+    out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, cwd="/", env={"PATH": "/usr/bin:/bin"})
+    assert out.stdout.strip() == "3.0", out.stderr

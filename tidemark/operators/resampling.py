@@ -13,10 +13,12 @@ that fills a third of the table is kept k + 1 times on the candidate side.
 from __future__ import annotations
 
 import math
+import sys
 from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
@@ -30,6 +32,9 @@ CELL_ROWS = 1000
 CHUNK_ROWS = 2000
 SLACK = 1e-9  # keeps rounding from ruling out a cell at the very bound
 
+# The small functions below travel to the Python workers whole, so workers need not have this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def _matrix(vectors: pd.Series) -> np.ndarray:
     return np.vstack(vectors.to_numpy()).astype(float) if len(vectors) else np.empty((0, 0))
