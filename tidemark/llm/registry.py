@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import quality
+from tidemark.llm import bpe, quality
 
-_MODULES = (quality,)
+_MODULES = (bpe, quality)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
