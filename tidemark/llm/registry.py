@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bpe, quality
+from tidemark.llm import bpe, quality, secrets
 
-_MODULES = (bpe, quality)
+_MODULES = (bpe, secrets, quality)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
