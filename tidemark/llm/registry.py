@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bpe, minhash, quality, secrets
+from tidemark.llm import bpe, line_chunks, minhash, quality, secrets
 
-_MODULES = (bpe, secrets, quality, minhash)
+_MODULES = (bpe, line_chunks, secrets, quality, minhash)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
