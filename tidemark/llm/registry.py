@@ -4,16 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bpe, line_chunks, minhash, quality, secrets
+from tidemark.llm import bpe, line_chunks, minhash, mixing, quality, secrets
 
-_MODULES = (bpe, line_chunks, secrets, quality, minhash)
+_MODULES = (bpe, line_chunks, secrets, mixing, quality, minhash)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {name: query for m in _MODULES for name, query in m.QUERIES.items()}
+    return {name: query for m in _MODULES for name, query in m.QUERIES.items()} | {"pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {name: sql for m in _MODULES for name, sql in getattr(m, "ORACLE_SQL", {}).items()}
+    found = {name: sql for m in _MODULES for name, sql in getattr(m, "ORACLE_SQL", {}).items()}
+    return found | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})
