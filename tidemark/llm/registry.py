@@ -7,9 +7,9 @@ from collections.abc import Callable
 import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bpe, line_chunks, minhash, mixing, quality, secrets
+from tidemark.llm import bpe, line_chunks, minhash, mixing, quality, secrets, urls
 
-_MODULES = (bpe, line_chunks, secrets, mixing, quality, minhash)
+_MODULES = (bpe, urls, line_chunks, secrets, mixing, quality, minhash)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
