@@ -7,9 +7,9 @@ from collections.abc import Callable
 import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bpe, line_chunks, minhash, mixing, order_minhash, quality, secrets, urls
+from tidemark.llm import bpe, line_chunks, lm_scores, minhash, mixing, order_minhash, passages, quality, secrets, urls
 
-_MODULES = (bpe, urls, line_chunks, secrets, mixing, quality, minhash, order_minhash)
+_MODULES = (bpe, passages, urls, line_chunks, secrets, mixing, quality, minhash, order_minhash, lm_scores)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
