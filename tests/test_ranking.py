@@ -117,6 +117,48 @@ def test_other_score_types(spark, kind):
     assert R.first_rows(df, "score", "key", 123, buckets=20).where("want > 123").count() == 0
 
 
+@pytest.fixture(params=["UTC", "America/New_York"])
+def zone(spark, request):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", request.param)
+    yield request.param
+    spark.conf.set("spark.sql.session.timeZone", before)
+
+
+@pytest.mark.parametrize("kind", ["timestamp", "timestamp_ntz", "date"])
+def test_times_across_a_clock_change(spark, zone, kind):
+    """Ten seconds a row over the night of 10 March 2024."""
+    micros = (F.col("id") * 7919 % 2000) * 10_000_001
+    if kind == "timestamp_ntz":
+        score = F.expr("timestamp_ntz'2024-03-10 00:30:00'") + F.make_dt_interval(secs=(micros / 1e6).cast("decimal(18,6)"))
+    else:
+        score = F.timestamp_micros(F.lit(1710030600000000) + micros)
+        score = F.date_add(F.lit("2024-01-01").cast("date"), (micros / 86_400e4).cast("int")) if kind == "date" else score
+    df = spark.range(2000).select(F.col("id").alias("key"), score.alias("score"))
+    df = df.withColumn("want", F.row_number().over(Window.orderBy("score", "key")))
+    assert R.global_rank(df, "score", "key", buckets=20).where("rank <> want").count() == 0
+    assert R.first_rows(df, "score", "key", 777, buckets=20).where("want > 777").count() == 0
+    assert sorted(r["count"] for r in R.quantile_bin(df, "score", "key", 4).groupBy("bin").count().collect()) == [500] * 4
+
+
+@pytest.mark.parametrize("hot", ["CAST(0.5 AS DECIMAL(12,2))", "double('infinity')", "double('-infinity')", "timestamp_ntz'2024-01-01 00:00:00'"])
+def test_hot_scores_of_all_kinds_are_split(spark, hot):
+    other = "timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(0, 0, 0, id)" if "ntz" in hot else "CAST(id / 10 AS DECIMAL(12,2))" if "DECIMAL" in hot else "CAST(id AS DOUBLE)"
+    df = spark.range(9000).select(F.col("id").alias("key"), F.expr(f"CASE WHEN id % 3 < 2 THEN {hot} ELSE {other} END").alias("score"))
+    b = R.RangeBuckets.fit(df, "score", "key", 32)
+    assert b.assign(df).groupBy("__bucket").count().agg(F.max("count")).first()[0] <= 4 * 9000 / 32
+    want = df.withColumn("want", F.row_number().over(Window.orderBy("score", "key")))
+    assert R.global_rank(want, "score", "key", buckets=32).where("rank <> want").count() == 0
+
+
+def test_full_buckets_are_cut_again(skewed, monkeypatch):
+    plain = ranked_plainly(skewed).persist()
+    monkeypatch.setattr(R, "CUT_ROWS", 150)
+    for n in (1, 999, 2500, 4000):
+        got = R.first_rows(plain, "score", "key", n, buckets=4)
+        assert got.count() == n and got.where(F.col("want") > n).count() == 0
+
+
 def test_running_sums_before_and_total(spark):
     df = spark.range(1000).select((F.col("id") * 7 % 1000 / 10).alias("s"), (F.col("id") % 5).alias("v"))
     b = R.RangeBuckets.fit(df, "s", buckets=16)

@@ -31,14 +31,20 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-MAX_BUCKETS = 1024  # bounds the split list and, with it, the offset table
-CUT_BUCKETS = 512  # fine buckets leave little to sort when only a few ranks are asked for
+CUT_BUCKETS = 512  # splits of one sketching pass when only a few ranks are asked for
+CUT_ROWS = 1_000_000  # a bucket with more rows is cut again before it is sorted
 HEAVY_HITS = 4  # a score found at this many splits is split by key
 SKETCH_SIZE = 8000  # rank error below 0.1 %; the sketches only balance the work
 EXACT_DOUBLE = 2**53
 MAX_CUT_BINS = 64  # beyond this many bins a rank column is cheaper than a chain of comparisons
 
-_EXACT = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DateType)
+# Types whose values all have a number of their own, below EXACT_DOUBLE.
+_EXACT = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DateType, T.TimestampType, T.TimestampNTZType)
+BEYOND = 1.5e308  # stands for infinity among halved doubles, which stay below 0.9e308
+
+
+def _exact(dtype: T.DataType) -> bool:
+    return isinstance(dtype, _EXACT) or isinstance(dtype, T.DecimalType) and dtype.precision <= 15
 
 
 def _type(df: DataFrame, col: str) -> T.DataType:
@@ -57,13 +63,22 @@ def _number(df: DataFrame, col: str, skip: int = 0) -> Column:
     c = present(df, col)
     if isinstance(dtype, T.DateType):
         return F.unix_date(c).cast("double")
-    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
-        return F.unix_micros(c.cast("timestamp")).cast("double")
+    if isinstance(dtype, T.TimestampType):
+        return F.unix_micros(c).cast("double")
+    if isinstance(dtype, T.TimestampNTZType):
+        # Micros of the wall clock itself: no time zone has a say in the order.
+        day = F.unix_date(c.cast("date")).cast("double") * F.lit(86_400e6)
+        return day + F.hour(c) * F.lit(3_600e6) + F.minute(c) * F.lit(60e6) + F.extract(F.lit("SECOND"), c).cast("double") * F.lit(1e6)
     if isinstance(dtype, T.StringType):
         # Six bytes after the prefix that all values share, as a number: byte order is string order.
         raw = F.hex(F.substring(F.encode(c, "UTF-8"), skip + 1, 6))
         return F.conv(F.rpad(raw, 12, "0"), 16, 10).cast("double")
-    return c.cast("double") + F.lit(0.0)  # -0.0 and 0.0 are one value
+    number = c.cast("double") + F.lit(0.0)  # -0.0 and 0.0 are one value
+    if isinstance(dtype, (T.FloatType, T.DoubleType)):
+        # Halved, so that infinities get finite numbers beyond all others and are values like any other.
+        half = number / F.lit(2.0)
+        return F.when(number == math.inf, BEYOND).when(number == -math.inf, -BEYOND).otherwise(half)
+    return number
 
 
 def _shared_prefix(low: str | None, high: str | None) -> int:
@@ -76,7 +91,7 @@ def _shared_prefix(low: str | None, high: str | None) -> int:
 
 def default_buckets(df: DataFrame) -> int:
     tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return max(16, min(MAX_BUCKETS, 4 * tasks))
+    return max(16, 4 * tasks)
 
 
 @dataclass(frozen=True)
@@ -112,7 +127,9 @@ class RangeBuckets:
             aggs.append(sketched(_number(df, key, skip)).alias("k"))
         row = df.agg(*aggs).first()
         found = list(row["s"] or [])
-        exact = isinstance(_type(df, score), _EXACT) and (row["top"] or 0) <= EXACT_DOUBLE
+        kind = _type(df, score)
+        whole = not isinstance(kind, (T.FloatType, T.DoubleType, T.DecimalType))
+        exact = _exact(kind) and not (whole and (row["top"] or 0) > EXACT_DOUBLE)
         hits: dict[float, int] = {}
         for v in found:
             hits[v] = hits.get(v, 0) + 1
@@ -152,8 +169,18 @@ class RangeBuckets:
         return work.withColumn(out, bucket.cast("bigint")).drop(*names, *outs)
 
 
+def _portable(df: DataFrame, col: str) -> Column:
+    """The column in a form that the driver hands back unchanged, whatever its time zone."""
+    dtype = _type(df, col)
+    if isinstance(dtype, T.TimestampType):
+        return F.unix_micros(F.col(col))
+    return F.col(col).cast("string") if isinstance(dtype, T.TimestampNTZType) else F.col(col)
+
+
 def _literal(value: Any, dtype: T.DataType) -> str:
-    """A value read from a column, as SQL of the column's type."""
+    """A value read from a :func:`_portable` column, as SQL of the column's type."""
+    if isinstance(dtype, T.TimestampType):
+        return f"timestamp_micros({value})"
     if isinstance(value, str):
         text = "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
     elif isinstance(value, float):
@@ -167,7 +194,7 @@ def _literal(value: Any, dtype: T.DataType) -> str:
 
 @dataclass(frozen=True)
 class RankCuts:
-    """Rows found at given ranks: ``rows[rank] = (score, key)``.
+    """Rows found at given ranks: ``rows[rank] = (score, key)``, in :func:`_portable` form.
 
     Comparisons are built as SQL text: a chain of them is one expression to hand over, not hundreds.
     """
@@ -216,11 +243,13 @@ def rank_cuts(
     key: str,
     ranks: Callable[[int], Sequence[int]],
     buckets: int | RangeBuckets | None = None,
+    last: bool = False,
 ) -> RankCuts:
     """Exact rows at ``ranks(n)`` in the ascending order of (score, key).
 
-    Three narrow passes: sketch, bucket counts, and a sort of the buckets that hold a rank. Each
-    returns a bounded number of rows to the driver.
+    Narrow passes: sketch, bucket counts, and a sort of the buckets that hold a rank. A bucket with
+    more than CUT_ROWS rows is sketched and counted again by itself, so what one task sorts does not
+    grow with the input. The row of the highest rank is only looked for with ``last``. Each pass returns a bounded number of rows to the driver.
     """
     slim = df.select(*dict.fromkeys((score, key)))
     known = isinstance(buckets, RangeBuckets)
@@ -228,8 +257,9 @@ def rank_cuts(
     tagged = b.assign(slim)
     # Rows without a score fall away here, not in a filter that would compute the bucket twice.
     counts = [(r["__bucket"], r["count"]) for r in tagged.groupBy("__bucket").count().collect() if r["__bucket"] >= 0]
-    n = sum(size for _, size in counts)
-    wanted = sorted({r for r in ranks(n) if 0 < r < n})
+    sizes = dict(counts)
+    n = sum(sizes.values())
+    wanted = sorted({r for r in ranks(n) if 0 < r < n + last})
     if not wanted:
         return RankCuts(n, score, key, {})
     place: list[tuple[int, int, int]] = []
@@ -240,21 +270,30 @@ def rank_cuts(
             place.append((rank, bucket, rank - done))
             rank = next(todo, None)
         done += size
-    inside = tagged.where(F.col("__bucket").isin(sorted({p[1] for p in place})))
+    found = {}
+    for bucket in sorted({p[1] for p in place if CUT_ROWS < sizes[p[1]] < n}):
+        positions = [pos for _, at, pos in place if at == bucket]
+        again = rank_cuts(tagged.where(F.col("__bucket") == bucket).select(*slim.columns), score, key, lambda _, p=positions: p, last=True)
+        found |= {(bucket, pos): again.rows[pos] for pos in positions if pos in again.rows}
+    rest = {p[1] for p in place if (p[1], p[2]) not in found}
+    inside = tagged.where(F.col("__bucket").isin(sorted(rest)))
     w = Window.partitionBy("__bucket").orderBy(score, key)
     by_bucket: dict[int, list[int]] = {}
     for _, bucket, pos in place:
-        by_bucket.setdefault(bucket, []).append(pos)
+        if (bucket, pos) not in found:
+            by_bucket.setdefault(bucket, []).append(pos)
+    if not by_bucket:
+        return RankCuts(n, score, key, {r: found[(bucket, pos)] for r, bucket, pos in place})
     hit = F.expr(
         " OR ".join(f"(__bucket = {b} AND __pos IN ({', '.join(map(str, ps))}))" for b, ps in by_bucket.items())
     )
     next_same = (F.lead(key).over(w) == F.col(key)) & (F.lead(score).over(w) == F.col(score))
     placed = inside.withColumns({"__pos": F.row_number().over(w), "__twin": next_same})
-    found = {}
-    for r in placed.where(hit).collect():
+    placed = placed.where(hit).select("__bucket", "__pos", "__twin", _portable(df, score).alias("__at_s"), _portable(df, key).alias("__at_k"))
+    for r in placed.collect():
         if r["__twin"]:
-            raise ValueError(f"{key} must be unique to break ties of {score}: {r[key]!r} repeats")
-        found[r["__bucket"], r["__pos"]] = (r[score], r[key])
+            raise ValueError(f"{key} must be unique to break ties of {score}: {r['__at_k']!r} repeats")
+        found[r["__bucket"], r["__pos"]] = (r["__at_s"], r["__at_k"])
     return RankCuts(n, score, key, {r: found[(bucket, pos)] for r, bucket, pos in place})
 
 
