@@ -7,6 +7,7 @@ from decimal import Decimal
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
+from test_plans import plan
 
 from tidemark.functions import (
     as_int64,
@@ -171,11 +172,22 @@ def test_encoding_unseen_null_and_single_row(spark):
     assert got["s"] == pytest.approx(prior) and got["a"] == pytest.approx(w * 2 / 3 + (1 - w) * prior)
 
 
-def test_encoding_with_more_categories_than_fit_locally(spark, monkeypatch):
-    monkeypatch.setattr(prep, "MAX_LOCAL_CATEGORIES", 1)
-    train = spark.createDataFrame([("a", 1), ("b", 0)], "c string, y int")
-    got = {r["c"]: r["c_enc"] for r in prep.fit_target_encoder(train, ["c"], "y", smoothing=1.0).transform(train).collect()}
-    assert got == {"a": 0.75, "b": 0.25}
+def test_encoding_with_many_categories(spark):
+    train = spark.range(120_000).select(F.concat(F.lit("c"), "id").alias("c"), (F.col("id") % 2).alias("y"))
+    got = prep.fit_target_encoder(train, ["c"], "y", smoothing=1.0).transform(train)
+    assert got.where("c_enc <> 0.25 + y * 0.5").count() == 0 and got.count() == 120_000
+
+
+def test_small_encoding_table_leaves_the_rows_where_they_are(spark, tmp_path):
+    spark.range(5000).select((F.col("id") % 5).cast("string").alias("c"), (F.col("id") % 2).alias("y")).write.parquet(str(tmp_path / "t"))
+    rows = spark.read.parquet(str(tmp_path / "t"))
+    coded = prep.fit_target_encoder(rows, ["c"], "y").transform(rows)
+    assert "BroadcastHashJoin" in plan(coded) and "Exchange hashpartitioning" not in plan(coded)
+
+
+def test_prepared_columns_may_have_any_name(spark):
+    rows = spark.createDataFrame([("a", 1.0, 1), ("b", 2.0, 0)], "`my cat` string, `n.x` double, y int")
+    assert prep.fit_prep(rows, ["my cat"], ["n.x"], "y").transform(rows).first()["features"].size == 2
 
 
 def test_nan_is_missing(spark):

@@ -25,8 +25,6 @@ from tidemark.session import stored
 MISSING_CATEGORY = "missing"
 MISSING_NUMBER = 0
 
-MAX_LOCAL_CATEGORIES = 100_000
-
 
 def _filled_number(df: DataFrame, col: str, value: float) -> Column:
     c = F.col(col)
@@ -85,8 +83,8 @@ def fit_target_encoder(
     ``additive`` weights the category n / (n + smoothing); ``sigmoid`` weights it
     1 / (1 + exp(-(n - min_samples) / smoothing)), and a category of one row gets the overall mean.
 
-    All columns are counted in one pass. Up to ``MAX_LOCAL_CATEGORIES`` categories the table becomes
-    a local one, small enough to broadcast; a larger one stays distributed and joins by shuffle.
+    All columns are counted in one pass. The table is written and read again, so Spark knows its size:
+    a small one is broadcast and the rows stay where they are, a large one joins by shuffle.
     """
     prior = df.agg(F.avg(F.col(label).cast("double"))).first()[0]
     pairs = F.array(*[F.struct(F.lit(c).alias("col_name"), F.col(c).cast("string").alias("category")) for c in cols])
@@ -106,12 +104,7 @@ def fit_target_encoder(
     encoded = stats.select(
         "col_name", "category", (weight * F.col("mean") + (1 - weight) * F.lit(prior)).alias("encoded")
     )
-    head = encoded.limit(MAX_LOCAL_CATEGORIES + 1).collect()
-    if len(head) <= MAX_LOCAL_CATEGORIES:
-        encoded = df.sparkSession.createDataFrame(head, encoded.schema)
-    else:
-        encoded = stored(encoded, "encoding")  # read once per column
-    return TargetEncoding(encoded, prior, tuple(cols))
+    return TargetEncoding(stored(encoded, "encoding"), prior, tuple(cols))
 
 
 @dataclass(frozen=True)
@@ -166,21 +159,23 @@ def prep_stages(
     Categories are target-encoded with additive smoothing, everything else is cast to double.
     ``extra`` takes further Spark ML stages over ``features``.
     """
-    fill = [f"coalesce(cast({c} as string), '{MISSING_CATEGORY}') AS __c_{c}" for c in cats]
-    fill += [f"coalesce(nanvl(cast({c} as double), null), cast({MISSING_NUMBER} as double)) AS __n_{c}" for c in nums]
+    # Inner columns are numbered: the given names may hold any characters.
+    quoted = lambda c: "`" + c.replace("`", "``") + "`"
+    fill = [f"coalesce(cast({quoted(c)} as string), '{MISSING_CATEGORY}') AS __c_{i}" for i, c in enumerate(cats)]
+    fill += [f"coalesce(nanvl(cast({quoted(c)} as double), null), cast({MISSING_NUMBER} as double)) AS __n_{i}" for i, c in enumerate(nums)]
     stages: list = [SQLTransformer(statement=f"SELECT *, {', '.join(fill)} FROM __THIS__")]
     if cats:
         stages.append(
             StringIndexer(
-                inputCols=[f"__c_{c}" for c in cats],
-                outputCols=[f"__i_{c}" for c in cats],
+                inputCols=[f"__c_{i}" for i in range(len(cats))],
+                outputCols=[f"__i_{i}" for i in range(len(cats))],
                 handleInvalid="keep",
             )
         )
         stages.append(
             TargetEncoder(
-                inputCols=[f"__i_{c}" for c in cats],
-                outputCols=[f"__e_{c}" for c in cats],
+                inputCols=[f"__i_{i}" for i in range(len(cats))],
+                outputCols=[f"__e_{i}" for i in range(len(cats))],
                 labelCol=label,
                 targetType="continuous",
                 smoothing=smoothing,
@@ -189,11 +184,11 @@ def prep_stages(
         )
         # The encoder's output keeps the indexer's metadata, and trees would take the encoded number for
         # a category. A computed column has none.
-        plain = ", ".join(f"__e_{c} + 0.0D AS __x_{c}" for c in cats)
+        plain = ", ".join(f"__e_{i} + 0.0D AS __x_{i}" for i in range(len(cats)))
         stages.append(SQLTransformer(statement=f"SELECT *, {plain} FROM __THIS__"))
     assembled = features if not scale and sample_variance is None and not extra else "__assembled"
     stages.append(
-        VectorAssembler(inputCols=[f"__x_{c}" for c in cats] + [f"__n_{c}" for c in nums], outputCol=assembled)
+        VectorAssembler(inputCols=[f"__x_{i}" for i in range(len(cats))] + [f"__n_{i}" for i in range(len(nums))], outputCol=assembled)
     )
     last = assembled
     if scale:
