@@ -66,8 +66,8 @@ def neighbours_by_brute_force(points, keys, k):
 
 
 def test_nearest_neighbours_with_copies_equal_brute_force(spark, monkeypatch):
-    """A third of the rows are one point; cells and chunks are small enough to need many of both."""
-    monkeypatch.setattr(resampling, "CELL_ROWS", 30)
+    """A third of the rows are one point; chunks are small enough to need many of them."""
+    monkeypatch.setattr(resampling, "BLOCK_ROWS", 7)
     monkeypatch.setattr(resampling, "CHUNK_ROWS", 40)
     rng = random.Random(1)
     data = [(i, [1.0, 2.0, 3.0] if i % 3 == 0 else [rng.random() * 9 + (i % 4) * 20 for _ in range(3)]) for i in range(240)]

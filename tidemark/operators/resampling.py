@@ -27,9 +27,8 @@ from tidemark.functions.scalars import HASH_TOP, hash_order
 from tidemark.operators.ranking import RangeBuckets, first_rows, rank_cuts
 from tidemark.session import stored
 
-MAX_PIVOTS = 512  # bounds what the driver holds and each task receives
-CELL_ROWS = 1000
 CHUNK_ROWS = 2000
+BLOCK_ROWS = 256
 SLACK = 1e-9  # keeps rounding from ruling out a cell at the very bound
 
 # The small functions below travel to the Python workers whole, so workers need not have this package.
@@ -92,13 +91,18 @@ def _best_in_chunk(k: int):
         x, s = _matrix(left["__vec"]), _matrix(right["__cvec"])
         ids, others = left["__id"].to_numpy(), right["__cid"].to_numpy()
         found: list[tuple] = []
-        for i in range(len(x)):
-            d = _distances(s, x[i])
-            d[others == ids[i]] = np.inf
-            near = np.flatnonzero(d <= np.partition(d, min(k, len(d)) - 1)[min(k, len(d)) - 1])
-            near = near[np.isfinite(d[near])]
-            for j in near[np.lexsort((others[near], d[near]))][:k]:
-                found.append((ids[i], others[j], s[j], d[j]))
+        xx, ss, kth = (x * x).sum(axis=1), (s * s).sum(axis=1), min(k, len(s)) - 1
+        for at in range(0, len(x), BLOCK_ROWS):
+            block, own = x[at : at + BLOCK_ROWS], ids[at : at + BLOCK_ROWS]
+            # Squared distances of a block by one matrix product; those near the k-th are computed exactly.
+            rough = xx[at : at + BLOCK_ROWS, None] + ss[None, :] - 2 * (block @ s.T)
+            rough[own[:, None] == others[None, :]] = np.inf
+            limit = np.partition(rough, kth, axis=1)[:, kth] + SLACK * (1 + xx[at : at + BLOCK_ROWS] + ss.max())
+            for i, id in enumerate(own):
+                near = np.flatnonzero((rough[i] <= limit[i]) & np.isfinite(rough[i]))
+                d = _distances(s[near], block[i])
+                for j in np.lexsort((others[near], d))[:k]:
+                    found.append((id, others[near[j]], s[near[j]], d[j]))
         return pd.DataFrame(found, columns=names)
 
     return best
@@ -150,22 +154,19 @@ def nearest_neighbours(df: DataFrame, key: str, features: str, k: int, seed: int
     """The ``k`` nearest other rows of every row by Euclidean distance, ties by key.
 
     Returns key, ``neighbour``, ``neighbour_features``, ``distance`` and ``n`` (1 = nearest).
-    ``features`` is an array of numbers; the key must be unique.
+    ``features`` is an array of numbers; the key must be unique. Rows without features have no
+    neighbours and are none. Cells are as many as the square root of the rows, so finding a row's
+    cell and searching it cost about the same at every size.
     """
     id_type = df.schema[key].dataType.simpleString()
-    rows = df.select(F.col(key).alias("__id"), F.col(features).cast("array<double>").alias("__vec"))
-    wanted = min(MAX_PIVOTS, math.ceil(rows.count() / CELL_ROWS))
+    rows = df.select(F.col(key).alias("__id"), F.col(features).cast("array<double>").alias("__vec")).where("__vec is not null")
+    wanted = max(1, math.ceil(math.sqrt(rows.count())))
 
     def candidates_of(placed: DataFrame) -> DataFrame:
         copies = Window.partitionBy("__vec").orderBy("__id")
         ranked = placed.withColumn("__copy", F.row_number().over(copies))
         return ranked.where(F.col("__copy") <= k + 1).drop("__copy")
 
-    if wanted <= 1:  # one cell: nothing to rule out
-        # Zero for every row, but not a literal: a join on a literal would turn into a nested loop.
-        placed = rows.withColumn("cell", F.pmod(F.xxhash64("__id"), F.lit(1)).cast("int"))
-        return _named(_closest(_visit(placed, candidates_of(placed), k, id_type), k), key)
-
     tagged = rows.withColumn("__h", hash_order(F.col("__id"), seed))
     even = RangeBuckets.uniform("__h", "__id", HASH_TOP)
     drawn = first_rows(tagged, "__h", "__id", wanted, even).select("__vec").collect()
