@@ -207,9 +207,9 @@ def edit_fingerprints(docs: DataFrame, id: str = "doc_id", text: str = "text", k
     walked = stored(rows.mapInArrow(_neighbours(k, coordinates, size), f"id long, h long, {_SQL}, kind int, body string"), "fingerprints")
     ends = walked.filter("kind > 0").select("id", "h", "kind", "body")
     order = Window.orderBy(F.col("id").asc_nulls_first(), "h", "kind")
-    first = ends.orderBy(F.col("id").asc_nulls_first(), "h", "kind").limit(1).select(F.col("body").alias("first"))
-    last = ends.withColumn("following", F.lead("body").over(order)).filter("kind = 2").join(F.broadcast(first))
-    last = last.select("id", "body", F.coalesce("following", "first").alias("following"))
+    first = F.first("body").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    last = ends.select("id", "kind", "body", F.coalesce(F.lead("body").over(order), first).alias("following"))
+    last = last.filter("kind = 2").select("id", "body", "following")
     rest = last.mapInArrow(_pairs(k, coordinates, size), f"id long, {_SQL}")
     names = ["id", *(n for n, _ in _FIELDS)]
     return walked.filter("kind = 0").select(names).union(rest.select(names)).withColumnRenamed("id", id)
