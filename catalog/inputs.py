@@ -82,6 +82,7 @@ def external_cards(spark: SparkSession, sf: str) -> DataFrame:
     nothing = F.filter(limits(price), lambda x: F.lit(False))
     return lines_by_customer(spark, sf).select(
         "customer_id",
+        F.to_date("l_shipdate").alias("since"),
         F.when(F.col("l_quantity") > 1, F.col("l_partkey")).alias("card_id"),
         F.when(flag == "A", limits(price)).when(flag == "N", limits(price, price / 2)).otherwise(nothing).alias("limits"),
     )

@@ -37,11 +37,11 @@ ACTIVITY = """activity AS (
 CARDS = (
     LINES
     + """, cards AS (
-    SELECT customer_id, CASE WHEN l_quantity > 1 THEN l_partkey END AS card_id,
+    SELECT customer_id, CAST(l_shipdate AS DATE) AS since, CASE WHEN l_quantity > 1 THEN l_partkey END AS card_id,
         CASE l_returnflag WHEN 'A' THEN [l_extendedprice] WHEN 'N' THEN [l_extendedprice, l_extendedprice / 2]
              ELSE [] END AS limits
     FROM lines),
-limits AS (SELECT customer_id, card_id, unnest(limits) AS amount FROM cards)"""
+limits AS (SELECT customer_id, since, card_id, unnest(limits) AS amount FROM cards)"""
 )
 
 DEVICES = """devices AS (
@@ -284,7 +284,7 @@ def oracle_sql() -> dict[str, str]:
     o["sql_source"] = """SELECT o_orderpriority, count(*) AS n, max(o_totalprice) AS top FROM orders
         WHERE o_orderdate >= DATE '1998-07-01' AND o_orderdate < DATE '1998-08-01' AND o_orderstatus <> 'P' GROUP BY 1"""
     o["snapshot_roundtrip"] = "SELECT o_orderkey, o_totalprice, o_orderstatus FROM orders WHERE o_orderstatus IN ('P', 'O')"
-    o["append_roundtrip"] = "SELECT o_orderkey, o_orderpriority, o_totalprice FROM orders WHERE o_orderstatus IN ('F', 'O')"
+    o["append_roundtrip"] = "SELECT o_orderkey, o_orderpriority, o_totalprice FROM orders"
 
     o["audience_active"] = f"WITH {DEVICES} SELECT customer_id FROM active"
     o["pattern_filter"] = f"""WITH {NOTIFICATIONS} SELECT batch_id, campaign_id, count(*) AS n FROM notifications
@@ -316,7 +316,7 @@ def oracle_sql() -> dict[str, str]:
         WHERE c_custkey IN (SELECT customer_id FROM activity WHERE month_id = 199807)"""
     o["unnest_limits"] = f"WITH {CARDS} SELECT customer_id, count(*) AS limits, {_r('sum(amount)', 2)} AS amount FROM limits GROUP BY 1"
     o["training_set"] = f"""WITH {DEVICES}, {_balances(*W[:2])}, {CARDS}, big AS (
-            SELECT customer_id, least(count(DISTINCT card_id), 10) AS target FROM limits WHERE card_id > 1500 GROUP BY 1)
+            SELECT customer_id, least(count(DISTINCT card_id), 10) AS target FROM limits WHERE since < DATE '1998-08-01' GROUP BY 1)
         SELECT customer_id, "SALDO_EM_CONTA30", "SALDO_EM_CONTA60", CAST(coalesce(target, 0) AS BIGINT) AS target
         FROM active LEFT JOIN saldo30 USING (customer_id) LEFT JOIN saldo60 USING (customer_id) LEFT JOIN big USING (customer_id)"""
     o["scoring_set"] = f"""WITH {DEVICES}, {_balances(*W_NEXT)} SELECT customer_id, "SALDO_EM_CONTA30", "SALDO_EM_CONTA60", "SALDO_EM_CONTA90"
@@ -368,6 +368,11 @@ def oracle_sql() -> dict[str, str]:
     )
     o["customer_scoring_base"] = _features("")
 
+    o["rank_timestamps"] = "SELECT o_orderkey, o_orderdate, row_number() OVER (ORDER BY o_orderdate, o_orderkey) AS rank FROM orders"
+    o["rank_decimal_ties"] = """WITH t AS (SELECT o_orderkey, CAST(floor(o_totalprice / 100000) AS DECIMAL(12,2)) AS step FROM orders)
+        SELECT *, row_number() OVER (ORDER BY step, o_orderkey) AS rank FROM t"""
+    o["rank_string_key"] = """WITH t AS (SELECT 'order-' || lpad(CAST(o_orderkey AS VARCHAR), 12, '0') AS key, o_orderpriority FROM orders)
+        SELECT *, row_number() OVER (ORDER BY o_orderpriority, key) AS rank FROM t"""
     o["global_rank"] = f"WITH {SCORED} SELECT id, level, row_number() OVER (ORDER BY level, id) AS rank FROM scored"
     o["decile"] = f"WITH {SCORED}, {_bin('p0, id', 10, 'scored')} SELECT id, p0, bin AS decile FROM binned"
     o["decile_ties"] = f"WITH {SCORED}, {_bin('level, id', 7, 'scored')} SELECT id, level, bin FROM binned"
@@ -412,6 +417,13 @@ def oracle_sql() -> dict[str, str]:
         probs AS (SELECT bin, sum(target)::DOUBLE / count(target) AS prob FROM binned GROUP BY 1)
         SELECT id, {_r("p1", 6)} AS p1, target, bin - 1 AS bin, {_r("prob", 6)} AS calibrated,
             CAST(CASE WHEN prob >= 0.5 THEN 1 ELSE 0 END AS BIGINT) AS prediction FROM binned JOIN probs USING (bin)"""
+    o["binned_calibration_edges"] = f"""WITH {SCORED}, {_bin("p1, id", 20, "scored")},
+        probs AS (SELECT bin, sum(target)::DOUBLE / count(target) AS prob FROM binned GROUP BY 1),
+        ends AS (SELECT p1 AS end_p1, id AS end_id FROM binned JOIN (SELECT unnest(range(1, 20)) AS k) ON r = 1 + k * (n - 1) // 20),
+        new AS (SELECT id, p1 * 0.75::DOUBLE AS p1 FROM scored),
+        placed AS (SELECT id, 1 + count(end_id) AS bin FROM new LEFT JOIN ends ON p1 > end_p1 OR (p1 = end_p1 AND id > end_id) GROUP BY id)
+        SELECT id, CAST(bin - 1 AS BIGINT) AS bin, {_r("prob", 6)} AS calibrated, CAST(CASE WHEN prob >= 0.5 THEN 1 ELSE 0 END AS BIGINT) AS prediction
+        FROM placed JOIN probs USING (bin)"""
     o["optimal_threshold"] = f"""{_roc(SCORED_DOCS, "p1")} SELECT {_r("threshold", 9)} AS threshold, {_r("fpr", 9)} AS fpr, {_r("tpr", 9)} AS tpr,
         {_r("sqrt(tpr * (1 - fpr))", 9)} AS gmean FROM points WHERE kept ORDER BY sqrt(tpr * (1 - fpr)) DESC, points.threshold DESC LIMIT 1"""
     o["apply_threshold"] = f"""WITH {SCORED} SELECT target, CAST(CASE WHEN p1 >= 0.55::DOUBLE THEN 1 ELSE 0 END AS BIGINT) AS prediction,
@@ -468,7 +480,7 @@ def oracle_sql() -> dict[str, str]:
     o["champion_decision"] = f"""WITH {REGISTRY}, best AS (SELECT "MODEL_NAME", max("METRIC") AS "BEST_METRIC" FROM registry
             WHERE "SAFRA" < DATE '1998-01-01' AND "MODEL_NAME" <> '5-LOW' GROUP BY 1)
         SELECT r.*, "BEST_METRIC", "BEST_METRIC" IS NULL OR "METRIC" + 15 >= "BEST_METRIC" AS accepted FROM registry r LEFT JOIN best USING ("MODEL_NAME")
-        WHERE "SAFRA" >= DATE '1998-01-01' AND "SAFRA" < DATE '1999-01-01'"""
+        WHERE "SAFRA" >= DATE '1998-01-01'"""
     o["select_model"] = f"WITH {REGISTRY} " + " UNION ALL ".join(
         f"({_selected(cond, case)})"
         for cond, case in (('"METRIC" >= 40', "in_use"), ("FALSE", "not_in_use"), ('"METRIC" > 100', "none_yet"))

@@ -91,23 +91,23 @@ def sql_source(spark, sf):
 
 @query
 def snapshot_roundtrip(spark, sf):
-    """Two months written, one overwritten, the other reused as stored."""
+    """One month built and then reused as stored, another written and overwritten."""
     path = session.work_path(spark, "snapshot")
     orders = I.table(spark, sf, "orders").select("o_orderkey", "o_totalprice", "o_orderstatus")
-    sources.write_snapshot(orders.where("o_orderstatus = 'P'"), path, "199807")
+    sources.materialize(lambda: orders.where("o_orderstatus = 'P'"), spark, path, "199807")
     sources.write_snapshot(orders.where("o_orderstatus = 'F'"), path, "199808")
     sources.write_snapshot(orders.where("o_orderstatus = 'O'"), path, "199808")
-    kept = sources.materialize(lambda: orders.limit(0), spark, path, "199807")
+    kept = sources.materialize(lambda: orders.where("o_orderstatus = 'F'"), spark, path, "199807")
     return kept.unionByName(sources.read_dataset(spark, path, "199808"))
 
 
 @query
 def append_roundtrip(spark, sf):
-    """Two appends without a header, read back by position."""
+    """Three appends without a header, read back by position."""
     path = session.work_path(spark, "append")
     orders = I.table(spark, sf, "orders")
     columns = ["o_orderkey", "o_orderpriority", "o_totalprice"]
-    for status in ("F", "O"):
+    for status in ("F", "O", "P"):
         sources.append_rows(orders.where(F.col("o_orderstatus") == status), path, columns, "csv")
     return sources.read_rows(spark, path, orders.select(*columns).schema, "csv")
 
@@ -218,7 +218,7 @@ def training_set(spark, sf):
     src = I.sources(spark, sf)
     pub = campaign.active_customers(src, I.RULES)
     feats = campaign.balance_features(src, I.MONTH)
-    goal = campaign.customer_target(I.external_cards(spark, sf), as_of=F.col("card_id") > 1500)
+    goal = campaign.customer_target(I.external_cards(spark, sf), as_of=F.col("since") < F.lit("1998-08-01").cast("date"))
     return datasets.training_set(pub, feats, goal, KEY, drop=["SALDO_EM_CONTA90"])
 
 
@@ -351,6 +351,26 @@ def global_rank(spark, sf):
     return ranking.global_rank(I.scored_orders(spark, sf).select("id", "level"), "level", "id")
 
 
+@query
+def rank_timestamps(spark, sf):
+    """Order times without a zone, many of them shared."""
+    return ranking.global_rank(I.table(spark, sf, "orders").select("o_orderkey", "o_orderdate"), "o_orderdate", "o_orderkey")
+
+
+@query
+def rank_decimal_ties(spark, sf):
+    """Totals in steps of a hundred thousand: a few decimals hold almost all rows."""
+    step = F.floor(F.col("o_totalprice") / 100000).cast("decimal(12,2)").alias("step")
+    return ranking.global_rank(I.table(spark, sf, "orders").select("o_orderkey", step), "step", "o_orderkey")
+
+
+@query
+def rank_string_key(spark, sf):
+    """Priorities as text, ties broken by a key that is text too."""
+    key = F.concat(F.lit("order-"), F.lpad(F.col("o_orderkey").cast("string"), 12, "0")).alias("key")
+    return ranking.global_rank(I.table(spark, sf, "orders").select(key, "o_orderpriority"), "o_orderpriority", "key")
+
+
 @query
 def decile(spark, sf):
     return ranking.quantile_bin(I.scored_orders(spark, sf).select("id", "p0"), "p0", "id", 10, "decile")
@@ -473,6 +493,15 @@ def binned_calibration(spark, sf):
     return rounded(out, 6, "p1", "calibrated")
 
 
+@query
+def binned_calibration_edges(spark, sf):
+    """Lower scores than those of the fit, in the bins of the fit."""
+    rows = I.scored_orders(spark, sf).select("id", "p1", "target")
+    new = rows.select("id", (F.col("p1") * F.lit(0.75)).alias("p1"))
+    out = scoring.binned_calibration(rows, "p1", "target", 20, "id", new, edges="training")
+    return rounded(out.select("id", "bin", "calibrated", "prediction"), 6, "calibrated")
+
+
 @query
 def optimal_threshold(spark, sf):
     out = metrics.optimal_threshold(stored_documents(spark, sf), "p1", "target")
@@ -593,9 +622,9 @@ def latest_trained(spark, sf):
 
 @query
 def champion_decision(spark, sf):
-    """Every run of 1998 against the champions of the years before."""
+    """Every run from 1998 on against the champions of the years before."""
     runs = I.registry(spark, sf)
-    before, after = runs.where("SAFRA < DATE '1998-01-01'"), runs.where("SAFRA >= DATE '1998-01-01' AND SAFRA < DATE '1999-01-01'")
+    before, after = runs.where("SAFRA < DATE '1998-01-01'"), runs.where("SAFRA >= DATE '1998-01-01'")
     return registry.champion_decision(before.where("MODEL_NAME <> '5-LOW'"), after, tolerance=15)
 
 

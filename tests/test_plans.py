@@ -10,7 +10,7 @@ from catalog import inputs as I
 from catalog import queries as Q
 from tidemark import session, sources
 from tidemark.functions import trailing_windows
-from tidemark.operators import features, ranking
+from tidemark.operators import audience, features, ranking
 
 
 def plan(df, mode: str = "simple") -> str:
@@ -111,3 +111,8 @@ def test_hot_customer_does_not_change_features(spark):
     got = features.trailing_features(rows, "k", "d", trailing_windows("199808"), {"n": features.event_count(F.lit(True))})
     assert got.where("k = 0").first()["n30"] == 1000
     assert ranking.quantile_bin(got, "n30", "k", 4).groupBy("bin").count().count() == 4
+
+
+def test_uniqueness_check_of_numbers_is_a_hash_aggregate(spark):
+    rows = spark.range(100).select("id", (F.col("id") / 3).alias("x"), F.current_date().alias("d"))
+    assert "SortAggregate" not in plan(audience.star_join(spark.range(100), [rows], "id"))

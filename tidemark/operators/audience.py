@@ -9,6 +9,7 @@ from typing import Any
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.functions.scalars import NO, YES
 
@@ -60,13 +61,19 @@ def one_row_per_key(df: DataFrame, key: str) -> DataFrame:
     """``df`` unchanged, failing at run time if a key repeats.
 
     The check sits in the values it returns, so it cannot be pruned away. A table already grouped
-    by the key needs no further exchange for it.
+    by the key needs no further exchange for it. Of a single row the maximum is the value itself, and
+    numbers and dates have a maximum that is aggregated by hash.
     """
+    fixed = (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType, T.BooleanType)
+    repeats = F.concat(F.lit(f"{key} repeats: "), F.col(f"`{key}`").cast("string"))
+    single = F.count(F.lit(1)) == 1
+
+    def checked(c: str) -> Column:
+        value = F.max(f"`{c}`") if isinstance(df.schema[c].dataType, fixed) else F.first(f"`{c}`")
+        return F.when(single, value).otherwise(F.raise_error(repeats)).alias(c)
+
     rest = [c for c in df.columns if c != key]
-    checked = F.when(F.count(F.lit(1)) == 1, F.first(F.struct(*rest))).otherwise(
-        F.raise_error(F.concat(F.lit(f"{key} repeats: "), F.first(F.col(key)).cast("string")))
-    )
-    return df.groupBy(key).agg(checked.alias("__row")).select(key, "__row.*")
+    return df.groupBy(key).agg(*[checked(c) for c in rest]) if rest else df.groupBy(key).agg(single.alias("__one")).select(key)
 
 
 def star_join(

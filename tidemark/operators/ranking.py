@@ -345,15 +345,19 @@ def bin_of_rank(rank: Column, n: int, q: int) -> Column:
     return F.when(rank.isNotNull(), F.greatest(F.lit(1), whole.cast("bigint")))  # greatest skips NULL
 
 
+def bin_by_cuts(df: DataFrame, cuts: RankCuts, q: int, out: str = "bin") -> DataFrame:
+    """Bin 1..q of each row by the last rows of the bins, found on these rows or on others."""
+    beyond = [f"CAST({cuts.above_sql(df, r)} AS BIGINT)" for r in bin_edges(cuts.n, q) if r < cuts.n]
+    number = " + ".join(["1L", *beyond])
+    return df.withColumn(out, F.expr(f"CASE WHEN {cuts.scored_sql(df)} THEN {number} END"))
+
+
 def quantile_bin(
     df: DataFrame, score: str, key: str, q: int, out: str = "bin", buckets: int | None = None
 ) -> DataFrame:
     """Equal-frequency bin 1..q of each row's rank; NULL where there is no score."""
     if q <= MAX_CUT_BINS:
-        cuts = rank_cuts(df, score, key, lambda n: bin_edges(n, q), buckets)
-        beyond = [f"CAST({cuts.above_sql(df, r)} AS BIGINT)" for r in bin_edges(cuts.n, q) if r < cuts.n]
-        number = " + ".join(["1L", *beyond])
-        return df.withColumn(out, F.expr(f"CASE WHEN {cuts.scored_sql(df)} THEN {number} END"))
+        return bin_by_cuts(df, rank_cuts(df, score, key, lambda n: bin_edges(n, q), buckets), q, out)
     b = RangeBuckets.fit(df, score, key, buckets)
     ranked = rank_within(df, b, "__rank")
     return ranked.withColumn(out, bin_of_rank(F.col("__rank"), b.n, q)).drop("__rank")

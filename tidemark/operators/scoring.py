@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.scalars import edge_bin, scaled_int
 from tidemark.operators.audience import with_run_columns
-from tidemark.operators.ranking import quantile_bin, rank_edge_bin
+from tidemark.operators.ranking import bin_by_cuts, bin_edges, quantile_bin, rank_cuts, rank_edge_bin
 
 SCORE_FACTOR = 10000  # fixed value: stored scores are ten-thousandths
 
@@ -65,7 +65,10 @@ def score_table_regr(
 
 def fit_binned_calibration(df: DataFrame, score: str, label: str, n_bins: int, key: str) -> DataFrame:
     """Mean label per equal-frequency bin of the score: ``(bin, prob)``, bins from 0."""
-    binned = quantile_bin(df.select(key, score, label), score, key, n_bins, "__b")
+    return _bin_means(quantile_bin(df.select(key, score, label), score, key, n_bins, "__b"), label)
+
+
+def _bin_means(binned: DataFrame, label: str) -> DataFrame:
     return (
         binned.where(F.col("__b").isNotNull())
         .groupBy((F.col("__b") - 1).alias("bin"))
@@ -74,15 +77,28 @@ def fit_binned_calibration(df: DataFrame, score: str, label: str, n_bins: int, k
 
 
 def binned_calibration(
-    df: DataFrame, score: str, label: str, n_bins: int, key: str, apply_to: DataFrame | None = None
+    df: DataFrame,
+    score: str,
+    label: str,
+    n_bins: int,
+    key: str,
+    apply_to: DataFrame | None = None,
+    edges: str = "own",
 ) -> DataFrame:
     """Calibrated probability and class of each row of ``apply_to`` (of ``df`` if not given).
 
-    New rows are binned by their own ranks, as the fit was. A bin unknown to the fit gives 0.
+    New rows are binned by their own ranks, as the fit was, or with ``edges="training"`` by where the
+    fit's bins ended. The fit's ranks are found once. A bin unknown to the fit gives 0.
     """
-    table = fit_binned_calibration(df, score, label, n_bins, key)
-    target = df if apply_to is None else apply_to
-    binned = quantile_bin(target, score, key, n_bins, "__b").withColumn("bin", F.col("__b") - 1).drop("__b")
+    if edges not in ("own", "training"):
+        raise ValueError("edges must be 'own' or 'training'")
+    cuts = rank_cuts(df, score, key, lambda n: bin_edges(n, n_bins))
+    table = _bin_means(bin_by_cuts(df, cuts, n_bins, "__b"), label)
+    if apply_to is None or edges == "training":
+        binned = bin_by_cuts(df if apply_to is None else apply_to, cuts, n_bins, "__b")
+    else:
+        binned = quantile_bin(apply_to, score, key, n_bins, "__b")
+    binned = binned.withColumn("bin", F.col("__b") - 1).drop("__b")
     # n_bins rows: bounded by the argument.
     return (
         binned.join(F.broadcast(table), "bin", "left")

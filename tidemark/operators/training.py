@@ -21,6 +21,7 @@ from pyspark.storagelevel import StorageLevel
 from tidemark.functions.scalars import HASH_TOP, hash_order
 from tidemark.operators.datasets import train_test
 from tidemark.operators.ranking import RangeBuckets, default_buckets, rank_within
+from tidemark.session import stored
 
 KINDS = ("classification", "regression")
 
@@ -204,9 +205,11 @@ def permuted_columns(df: DataFrame, key: str, cols: Sequence[str], seed: int, pr
     rng = random.Random(seed)
     tagged = df.withColumn("__h", hash_order(F.col(key), seed))
     b = RangeBuckets.uniform("__h", key, HASH_TOP, default_buckets(df))
-    ranked = rank_within(tagged, b, "__r").drop("__h")
-    n = df.count()
-    shifts = [rng.randrange(1, n) if n > 1 else 0 for _ in cols]
+    # Read by both sides of the join below; its file footers hold the number of rows.
+    ranked = stored(rank_within(tagged, b, "__r").drop("__h"), "ranked")
+    n = ranked.count()
+    # Different shifts, so that no two columns stay together, as far as there are rows for it.
+    shifts = rng.sample(range(1, n), len(cols)) if n > len(cols) else [1 + i % (n - 1) if n > 1 else 0 for i in range(len(cols))]
     moves = F.array(
         *[
             F.struct(
