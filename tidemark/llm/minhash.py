@@ -10,10 +10,12 @@ No group is ever expanded into pairs:
 1. Texts with one shingle set form a class; its least id stands for it from then on.
 2. In every bucket each member is compared with the bucket's least member, exactly and on whole
    sets. Components of these links are labels.
-3. Buckets that still hold several labels may hide links between members. A shingle that no other
-   text of these buckets has is in no overlap; counting them gives each text an upper bound for its
-   similarity with any other. Only pairs of different labels whose bounds allow a link are joined,
-   and then compared exactly.
+3. Buckets that still hold several labels may hide links between members of different labels. Only
+   pairs that the bitmaps below allow are joined, and then compared exactly.
+
+Pairs are held against parity bitmaps before they are compared: each shingle of a set flips one of 1024
+bits, so two sets differ in at least as many shingles as their bitmaps in bits. This rules out pairs
+for certain, never a link.
 
 Sizes, shingles and links: words are runs without ASCII white space, A-Z lower-cased; shingles are
 five words, or the whole text if it has fewer; sets are compared by 64-bit hashes. Null and empty
@@ -31,7 +33,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.graph import components
@@ -43,6 +45,7 @@ WORDS = 5
 PERCENT = 85
 BANDS = 28
 ROWS = 5
+PARITY_WORDS = 16
 CHUNK = 4096  # shingles that are hashed at a time
 
 
@@ -90,19 +93,34 @@ def band_keys(least: np.ndarray, bands: int, rows: int) -> np.ndarray:
     return (key ^ (key >> np.uint64(29))).view(np.int64)
 
 
+def parity(hashes: np.ndarray) -> np.ndarray:
+    """A bit for each of 1024 classes of shingles: whether the set has an odd number of them."""
+    odd = np.bincount((hashes >> np.uint64(3)) & np.uint64(64 * PARITY_WORDS - 1), minlength=64 * PARITY_WORDS) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
+def _may_link(percent: int, a: str, b: str) -> Column:
+    """Whether two sets of sizes n_``a``, n_``b`` and bitmaps bits_``a``, bits_``b`` can be linked."""
+    sizes = F.col(f"n_{a}") + F.col(f"n_{b}")
+    apart = sum(F.bit_count(F.col(f"bits_{a}")[k].bitwiseXOR(F.col(f"bits_{b}")[k])) for k in range(PARITY_WORDS))
+    return (100 + percent) * (sizes - apart) >= 2 * percent * sizes
+
+
 def _sketches(words: int, bands: int, rows: int) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes, first, second, keys = [], [], [], []
+            sizes, first, second, keys, bits = [], [], [], [], []
             for text in batch.column(1).to_pylist():
                 found = shingles(text, words)
                 digest = np.frombuffer(hashlib.blake2b(found.tobytes(), digest_size=16).digest(), np.int64)
                 sizes.append(len(found))
                 first.append(int(digest[0]))
                 second.append(int(digest[1]))
+                bits.append(parity(found))
                 keys.append(band_keys(signature(found, bands * rows), bands, rows) if len(found) else [])
-            columns = [batch.column(0), pa.array(sizes, pa.int64()), pa.array(first, pa.int64()), pa.array(second, pa.int64()), pa.array(keys, pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays(columns, names=["id", "n", "h1", "h2", "bands"])
+            lists = pa.list_(pa.int64())
+            columns = [batch.column(0), *(pa.array(c, pa.int64()) for c in (sizes, first, second)), pa.array(bits, lists), pa.array(keys, lists)]
+            yield pa.RecordBatch.from_arrays(columns, names=["id", "n", "h1", "h2", "bits", "bands"])
 
     return run
 
@@ -130,21 +148,14 @@ def _verifier(words: int, percent: int) -> Callable:
     return run
 
 
-def _emit_shingles(words: int) -> Callable:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                found = shingles(text, words).view(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(found), key, np.int64)), pa.array(found)], names=["id", "h"])
-
-    return run
-
-
 def _verified(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
-    """The pairs (a, b) of ``pairs`` that are linked, compared on whole sets."""
+    """The pairs (a, b) of ``pairs`` that are linked, compared on whole sets.
+
+    Texts are as large as the corpus, so they are joined by a shuffle at every size.
+    """
     left = texts.select(F.col("id").alias("a"), F.col("body").alias("ta"))
     right = texts.select(F.col("id").alias("b"), F.col("body").alias("tb"))
-    both = pairs.join(right, "b").join(left, "a").select("a", "b", "ta", "tb")
+    both = pairs.join(right.hint("merge"), "b").join(left.hint("merge"), "a").select("a", "b", "ta", "tb")
     return stored(both.mapInArrow(_verifier(words, percent), "a long, b long").distinct(), "links")
 
 
@@ -154,7 +165,7 @@ def near_duplicates(
     """One row per row of ``docs``: the id, ``n_shingles``, ``component_id`` (the least id reachable over
     links of at least ``percent`` hundredths) and ``kept`` (whether it is that document)."""
     source = docs.select(F.col(f"`{id}`").cast("long").alias("id"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("body"))
-    sketches = stored(source.mapInArrow(_sketches(words, bands, rows), "id long, n long, h1 long, h2 long, bands array<long>"), "sketches")
+    sketches = stored(source.mapInArrow(_sketches(words, bands, rows), "id long, n long, h1 long, h2 long, bits array<long>, bands array<long>"), "sketches")
     able = sketches.filter((F.col("n") > 0) & F.col("id").isNotNull())
 
     # 1. Classes of equal sets.
@@ -166,14 +177,17 @@ def near_duplicates(
     alone = able.join(repeated.select("id").distinct(), "id", "left_anti")
 
     # 2. Every bucket's members against its least one.
+    sets = stored(alone.select("id", "n", "bits").dropDuplicates(["id"]), "sets")
     buckets = alone.select("id", "n", F.explode("bands").alias("key"))
     leaders = buckets.groupBy("key").agg(F.min("id").alias("leader"), F.max("id").alias("last"), F.count("*").alias("size"))
     leaders = stored(leaders.filter("leader <> last").select("key", "leader", "size"), "leaders")
     shared = stored(buckets.join(leaders, "key"), "buckets")
     wanted = shared.filter("id <> leader").select(F.col("leader").alias("a"), F.col("id").alias("b")).distinct()
-    wanted = stored(wanted, "pairs")
-    ends = wanted.select(F.col("a").alias("id")).union(wanted.select(F.col("b").alias("id"))).distinct()
-    texts = stored(source.join(ends, "id", "left_semi").dropDuplicates(["id"]), "texts")
+    marks = lambda side: sets.select(F.col("id").alias(side), F.col("n").alias(f"n_{side}"), F.col("bits").alias(f"bits_{side}"))
+    wanted = wanted.join(marks("a"), "a").join(marks("b"), "b").filter(_may_link(percent, "a", "b"))
+    wanted = stored(wanted.select("a", "b"), "pairs")
+    near = shared.select("id").distinct().hint("merge")
+    texts = stored(source.join(near, "id", "left_semi").dropDuplicates(["id"]), "texts")
     links = _verified(wanted, texts, words, percent)
     labels = components(links)
 
@@ -183,18 +197,9 @@ def near_duplicates(
     mixed = labelled.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low <> high").select("key")
     mixed = stored(mixed, "mixed")
     open_ = stored(labelled.join(mixed, "key", "left_semi"), "open")
-    unsettled = open_.select("id", "n").distinct()
-    held = texts.join(unsettled.select("id"), "id", "left_semi").mapInArrow(_emit_shingles(words), "id long, h long")
-    own = held.groupBy("h").agg(F.count("*").alias("c"), F.min("id").alias("id")).filter("c = 1").groupBy("id").agg(F.count("*").alias("own"))
-    # An overlap is at most n - own. The union is then at least both sizes less that overlap.
-    most = (F.col("n") - F.coalesce("own", F.lit(0))).alias("most")
-    bounds = stored(unsettled.join(own, "id", "left").select("id", most).filter(100 * F.col("most") >= percent * F.col("n")), "bounds")
-    able_ = open_.join(bounds, "id")
-    x = able_.select("key", *(F.col(c).alias(c + "_x") for c in ("id", "n", "label", "most")))
-    y = able_.select("key", *(F.col(c).alias(c + "_y") for c in ("id", "n", "label", "most")))
-    sizes = F.col("n_x") + F.col("n_y")
-    room = lambda side: (100 + percent) * F.col(side) >= percent * sizes
-    pairs = x.join(y, "key").filter((F.col("id_x") < F.col("id_y")) & (F.col("label_x") != F.col("label_y")) & room("most_x") & room("most_y"))
+    possible = stored(open_.join(sets.select("id", "bits"), "id"), "possible")
+    x, y = (possible.select("key", *(F.col(c).alias(f"{c}_{side}") for c in ("id", "n", "label", "bits"))) for side in "xy")
+    pairs = x.join(y, "key").filter((F.col("id_x") < F.col("id_y")) & (F.col("label_x") != F.col("label_y")) & _may_link(percent, "x", "y"))
     pairs = pairs.select(F.col("id_x").alias("a"), F.col("id_y").alias("b")).distinct()
     more = _verified(stored(pairs, "pairs"), texts, words, percent)
 
