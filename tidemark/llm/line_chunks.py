@@ -77,8 +77,8 @@ def repeated_chunks(docs: DataFrame, id: str = "doc_id", text: str = "text", div
     first = stored(first.select("d1", "d2", F.col("place.start").alias("at"), F.col("place.h").alias("of")), "first")
     hits = hits.join(first, ["d1", "d2"]).withColumn("earliest", F.col("same") & (F.col("start") == F.col("at")) & (F.col("h") == F.col("of")))
     spans = hits.groupBy("id", "h").agg(F.collect_list(F.struct("start", "end", "d1", "d2", "earliest")).alias("spans"))
-    # Bytes of the proposed chunks; each text moves once.
-    texts = rows.select(F.col("id").alias("i"), F.col("h").alias("g"), "body").join(spans, F.col("i").eqNullSafe(F.col("id")) & (F.col("g") == F.col("h")))
+    # Bytes of the proposed chunks. Texts are as large as the corpus, so they are joined by a shuffle at every size.
+    texts = rows.select(F.col("id").alias("i"), F.col("h").alias("g"), "body").join(spans.hint("merge"), F.col("i").eqNullSafe(F.col("id")) & (F.col("g") == F.col("h")))
     pieces = texts.select("id", "h", "body", F.explode("spans").alias("s")).select("id", "h", "s.*", F.expr("substring(body, cast(s.start as int) + 1, cast(s.end - s.start as int))").alias("bytes"))
     pieces = stored(pieces, "pieces")
     kept = pieces.filter("earliest").select("d1", "d2", F.col("bytes").alias("original")).dropDuplicates(["d1", "d2"])
@@ -92,7 +92,7 @@ def without_repeated_chunks(docs: DataFrame, id: str = "doc_id", text: str = "te
     cuts = stored(gone.groupBy("id", "h").agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("__cuts")), "cuts")
     cuts = cuts.select(F.col("id").alias("__id"), F.col("h").alias("__h"), "__cuts")
     body, c = F.col(f"`{text}`"), F.col("__cuts")
-    joined = docs.join(cuts, F.col(f"`{id}`").cast("long").eqNullSafe(F.col("__id")) & (F.xxhash64(body) == F.col("__h")), "left")
+    joined = docs.join(cuts.hint("merge"), F.col(f"`{id}`").cast("long").eqNullSafe(F.col("__id")) & (F.xxhash64(body) == F.col("__h")), "left")
     before = F.transform(
         c,
         lambda cut, i: F.substring(body, F.coalesce(F.get(c, i - 1)["end"], F.lit(0)).cast("int") + 1, (cut["start"] - F.coalesce(F.get(c, i - 1)["end"], F.lit(0))).cast("int")),
