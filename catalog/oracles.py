@@ -487,7 +487,8 @@ def oracle_sql() -> dict[str, str]:
     )
 
     draw = "base || ':' || i"
-    o["smote_points"] = f"""WITH m AS (SELECT vec_id AS id, [CAST(x AS DOUBLE) FOR x IN embedding] AS v FROM embeddings WHERE label = 3),
+    for name, minority in (("smote_points", "label = 3"), ("smote_points_many", "label < 4")):
+        o[name] = f"""WITH m AS (SELECT vec_id AS id, [CAST(x AS DOUBLE) FOR x IN embedding] AS v FROM embeddings WHERE {minority}),
         d AS (SELECT a.id AS base, b.id AS neighbour, a.v AS av, b.v AS bv,
             row_number() OVER (PARTITION BY a.id ORDER BY list_sum([(p[1] - p[2]) * (p[1] - p[2]) FOR p IN list_zip(a.v, b.v)]), b.id) AS n
             FROM m a JOIN m b ON a.id <> b.id),
@@ -498,4 +499,12 @@ def oracle_sql() -> dict[str, str]:
             {_hash("(" + draw + ")", "42:gap")} / 4503599627370496.0::DOUBLE AS gap FROM c)
         SELECT base, neighbour, {_r("gap", 9)} AS gap, {_r("list_sum([q[1] + gap * (q[2] - q[1]) FOR q IN list_zip(av, bv)])", 5)} AS total
         FROM p JOIN d USING (base, n)"""
+    o["smote_classes"] = """WITH c AS (SELECT count(*) FILTER (label = 3) AS few, count(*) FILTER (label IS NULL OR label <> 3) AS many FROM embeddings)
+        SELECT 1 AS target, FALSE AS synthetic, few AS n FROM c UNION ALL SELECT 0, FALSE, many FROM c UNION ALL SELECT 1, TRUE, many - few FROM c"""
+    noise = _hash("o_orderkey", "noise")
+    o["fit_facts"] = f"""SELECT count(*) AS n_rows, count(*) AS n_sum_one, TRUE AS better_than_chance,
+        CAST(count(*) FILTER ((o_totalprice > 250000 AND o_orderstatus <> 'P') OR (month(o_orderdate) = 12 AND {noise} > 2251799813685248)) AS BIGINT) AS n_positive FROM orders"""
+    o["model_roundtrip_differences"] = "SELECT count(*) AS n_rows, CAST(0 AS BIGINT) AS n_different FROM orders"
+    o["batch_score_deciles"] = """WITH r AS (SELECT row_number() OVER () AS r, count(*) OVER () AS n FROM orders)
+        SELECT CAST(greatest(1, ((r - 1) * 10 + n - 2) // (n - 1)) AS BIGINT) AS "DECIL", count(*) AS n FROM r GROUP BY 1"""
     return o

@@ -642,7 +642,7 @@ def select_model(spark, sf):
 
 # --- models (no SQL counterpart) -------------------------------------------------------------
 
-_TREES = {"maxIter": 5, "maxDepth": 3, "seed": 1}
+_TREES = {"maxIter": 20, "maxDepth": 3, "seed": 1}
 _NUMBERS = ["price", "month", "weekday"]
 
 
@@ -659,6 +659,17 @@ def fit_classifier(spark, sf):
     return scoring.batch_score(model, rows, "id")
 
 
+@query
+def fit_facts(spark, sf):
+    """What must hold of any fitted classifier's scores: all rows, probabilities, and far better than chance."""
+    _, rows = _prepared(spark, sf)
+    model = training.fit_model(rows, "classification", _TREES, unbalanced=True)
+    scored = session.stored(scoring.batch_score(model, rows, "id").join(rows.select("id", "target"), "id"), "scored")
+    facts = scored.agg(F.count("*").alias("n_rows"), F.count_if(F.abs(F.col("p0") + F.col("p1") - 1) < 1e-9).alias("n_sum_one"), F.sum("target").alias("n_positive"))
+    auc = metrics.roc_auc(scored, "p1", "target").select((F.col("roc_auc") >= 0.9).alias("better_than_chance"))
+    return facts.withColumn("k", F.lit(1)).join(auc.withColumn("k", F.lit(1)), "k").drop("k")
+
+
 @query
 def fit_regressor(spark, sf):
     _, rows = _prepared(spark, sf)
@@ -678,12 +689,27 @@ def model_roundtrip(spark, sf):
     return scoring.batch_score(sources.load_model(uri, "propensity", "199808", RUN), I.model_rows(spark, sf), "id")
 
 
+@query
+def model_roundtrip_differences(spark, sf):
+    """Rows whose score differs between a model and the one read back."""
+    from pyspark.ml import PipelineModel
+
+    prepared, rows = _prepared(spark, sf)
+    model = PipelineModel(stages=[*prepared.stages, training.fit_model(rows, "classification", _TREES)])
+    uri = session.work_path(spark, "models")
+    sources.save_model(model, uri, "propensity", "199808", RUN)
+    raw = I.model_rows(spark, sf)
+    before = scoring.batch_score(model, raw, "id").withColumnRenamed("p1", "before").drop("p0")
+    after = scoring.batch_score(sources.load_model(uri, "propensity", "199808", RUN), raw, "id")
+    return before.join(after, "id").agg(F.count("*").alias("n_rows"), F.count_if(F.col("before") != F.col("p1")).alias("n_different"))
+
+
 @query
 def hyperparameter_search(spark, sf):
     _, rows = _prepared(spark, sf)
     space = {"stepSize": ("loguniform", 0.01, 0.3), "maxDepth": ("categorical", [2, 3, 4]), "minInstancesPerNode": ("int", 1, 50)}
     found = training.search(
-        rows, "id", "classification", space, training.mean_squared_error, "minimize", 3, 42, params={"maxIter": 3, "seed": 1}
+        rows, "id", "classification", space, training.mean_squared_error, "minimize", 10, 42, params={"maxIter": 3, "seed": 1}
     )
     return found.trials
 
@@ -712,6 +738,22 @@ def smote(spark, sf):
     return resampling.smote(rows, "vec_id", "embedding", "target", k=5, seed=42)
 
 
+@query
+def smote_classes(spark, sf):
+    """Rows of each class, real and synthetic: both classes end up as large as the larger one."""
+    rows = I.table(spark, sf, "embeddings").select("vec_id", "embedding", F.when(F.col("label") == 3, 1).otherwise(0).alias("target"))
+    return resampling.smote(rows, "vec_id", "embedding", "target", k=5, seed=42).groupBy("target", "synthetic").agg(F.count("*").alias("n"))
+
+
+@query
+def smote_points_many(spark, sf):
+    """As smote_points, for a smaller class of four labels: many cells."""
+    rows = I.table(spark, sf, "embeddings").select("vec_id", "embedding", F.when(F.col("label") < 4, 1).otherwise(0).alias("target"))
+    made = resampling.smote_rows(rows, "vec_id", "embedding", "target", k=5, seed=42)
+    total = F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x)
+    return made.select("base", "neighbour", round_even(F.col("gap"), 9).alias("gap"), round_even(total, 5).alias("total"))
+
+
 @query
 def smote_points(spark, sf):
     """Where each synthetic point lies: its two rows, the share of the way, and its coordinates' sum."""
@@ -730,6 +772,12 @@ def batch_score(spark, sf):
     return scoring.score_table_class(scored, "id", "p0", "p1", "propensity", NEXT_MONTH, RUN, TRAIN_RUN)
 
 
+@query
+def batch_score_deciles(spark, sf):
+    """Rows of each decile of a fitted model's scores: as even as the number of rows allows."""
+    return batch_score(spark, sf).groupBy("DECIL").agg(F.count("*").alias("n"))
+
+
 @query
 def shadow_selection(spark, sf):
     rows = I.model_rows(spark, sf)
