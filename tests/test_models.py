@@ -2,6 +2,7 @@
 
 import math
 import random
+from dataclasses import replace
 from datetime import date
 
 import numpy as np
@@ -251,6 +252,30 @@ def test_the_three_flows(spark, sf, kind):
         assert flows.challenge(p, champions, trained.metric, "199807", "r1").first()["accepted"]
 
 
+def test_a_tuned_and_thresholded_model_is_chosen_loaded_and_its_scores_appended(spark, sf):
+    p = replace(project(sf, "classification"), space={"maxDepth": ("categorical", [1, 2])}, trials=2, threshold=True, unbalanced=True, scale=True)
+    base, models, target = (work_path(spark, x) for x in ("stages", "models", "scores"))
+    trained = flows.train(spark, p, "199807", "r1", base, models)
+    assert trained.trials.count() == 2
+    low = trained.model.stages[-1].getThresholds()[1]
+    rows = trained.model.transform(flows.build_training_set(spark, p, "199807")).select("prediction", vector_to_array("probability")[1].alias("p1"))
+    assert 0 < low < 1 and rows.where((F.col("p1") > low) != (F.col("prediction") == 1)).count() == 0
+    registry = spark.createDataFrame([(p.model_name, "r1", 60, date(1998, 7, 1))], "MODEL_NAME string, DT_TRAIN string, METRIC int, SAFRA date")
+    table = flows.score_selected(spark, p, registry, None, models, "199807", "r2", base, target)
+    assert spark.read.parquet(target).count() == table.count() > 0 and table.first()["DT_TRAIN"] == "r1"
+    with pytest.raises(LookupError):
+        flows.score_selected(spark, p, registry.limit(0), None, models, "199807", "r2", base)
+
+
+def test_regression_bins_of_ranks_in_the_flows(spark, sf):
+    p = replace(project(sf, "regression"), bin_on="rank", edges=(0, 5, 10, 20))
+    base, models = work_path(spark, "stages"), work_path(spark, "models")
+    trained = flows.train(spark, p, "199807", "r1", base, models)
+    scores = flows.score(spark, p, trained.model, "199807", "r2", "r1", base)
+    assert {r["DECIL"]: r["count"] for r in scores.groupBy("DECIL").count().collect() if r["DECIL"]} == {1: 5, 2: 5, 3: 10}
+    assert flows.evaluate(spark, p, scores, "199807", "r3", base).count() > 0
+
+
 def test_worker_functions_need_no_package(tmp_path):
     """Python workers may not have this package on their path."""
     import subprocess

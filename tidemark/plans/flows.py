@@ -32,17 +32,18 @@ from tidemark.operators.evaluation import eval_table_class, eval_table_regr, lif
 from tidemark.operators.metrics import (
     classification_report,
     confusion_bins,
+    optimal_threshold,
     regression_metrics,
     roc_auc,
     spearman,
 )
 from tidemark.operators.prep import fit_prep
-from tidemark.operators.registry import champion_decision, metric_percent
+from tidemark.operators.registry import champion_decision, metric_percent, select_model
 from tidemark.operators.scoring import batch_score, latest_scores, score_table_class, score_table_regr
-from tidemark.operators.training import fit_model
+from tidemark.operators.training import Metric, fit_model, mean_squared_error, search
 from tidemark.session import stored
-from tidemark.sources.datasets import materialize
-from tidemark.sources.models import save_model
+from tidemark.sources.datasets import append_rows, materialize
+from tidemark.sources.models import load_model, save_model
 
 TableFor = Callable[[SparkSession, str], DataFrame]
 
@@ -68,7 +69,17 @@ class Project:
     test_share: float = 0.5
     variance_threshold: float | None = None
     model_params: Mapping[str, Any] = field(default_factory=dict)
+    scale: bool = False
+    extra: Sequence[Any] = ()  # further Spark ML stages over the features
+    make: Callable[..., Any] | None = None  # another estimator
+    unbalanced: bool = False  # weigh the classes
+    space: Mapping[str, tuple] | None = None  # parameters to search
+    trials: int = 50
+    tune_metric: Metric = mean_squared_error
+    tune_direction: str = "minimize"
+    threshold: bool = False  # predict class 1 from the best threshold of the fitting part on
     edges: Sequence[float] = tuple(range(11))
+    bin_on: str = "value"  # or rank: what the edges of a regression apply to
     seed: int = 42
 
     def later(self, month: str, periods: int) -> str:
@@ -82,6 +93,7 @@ class Trained:
     metric: DataFrame
     metadata: DataFrame
     path: str
+    trials: DataFrame | None = None
 
 
 def build_training_set(spark: SparkSession, p: Project, month: str) -> DataFrame:
@@ -121,13 +133,31 @@ def _stage(spark: SparkSession, p: Project, flow: str, month: str, base: str, po
 def train(
     spark: SparkSession, p: Project, month: str, run: str, base: str, models: str, policy: str = "always"
 ) -> Trained:
-    """Build the set once, fit preparation and model on one part, report on the other, save."""
+    """Build the set once, fit preparation and model on one part, report on the other, save.
+
+    With ``space`` the parameters are searched first, on the fitting part alone. With ``threshold``
+    the stored model itself predicts class 1 for probabilities above the best threshold.
+    """
     rows = _stage(spark, p, "train", month, base, policy, build_training_set)
     if p.balance:
         rows = undersample(rows, "target", p.key, p.seed)
     fit_rows, test_rows = train_test(rows, p.key, p.test_share, p.seed)
-    prep = fit_prep(fit_rows, p.categories, p.numbers, "target", p.variance_threshold)
-    fitted: Model = fit_model(prep.transform(fit_rows), p.kind, p.model_params)
+    prep = fit_prep(fit_rows, p.categories, p.numbers, "target", p.variance_threshold, scale=p.scale, extra=p.extra)
+    prepared, params, trials = prep.transform(fit_rows), dict(p.model_params), None
+    if p.space or p.threshold:
+        prepared = stored(prepared.select(p.key, "target", "features"), "prepared")
+    if p.space:
+        found = search(
+            prepared, p.key, p.kind, p.space, p.tune_metric, p.tune_direction, p.trials, p.seed, params=params, make=p.make
+        )
+        params, trials = params | found.best_params, found.trials
+    fitted: Model = fit_model(prepared, p.kind, params, unbalanced=p.unbalanced, make=p.make)
+    if p.threshold and p.kind == "classification":
+        seen = fitted.transform(prepared).select("target", vector_to_array("probability")[1].alias("p1"))
+        best = optimal_threshold(stored(seen, "probabilities"), "p1", "target").first()
+        if best is not None and 0 < best["threshold"] < 1:
+            # The likelier class after division by these; saved with the model.
+            fitted = fitted.setThresholds([1 - best["threshold"], best["threshold"]])
     model = PipelineModel(stages=[*prep.stages, fitted])
     path = save_model(model, models, p.model_name, month, run)
     scored = model.transform(test_rows)
@@ -139,7 +169,7 @@ def train(
         report = regression_metrics(scored, "target", "prediction")
         metric = spearman(scored, "target", "prediction", p.key)
     facts = [profile(rows, "target", "dataset"), profile(fit_rows, "target", "train")]
-    return Trained(model, report, metric, reduce(DataFrame.unionByName, facts), path)
+    return Trained(model, report, metric, reduce(DataFrame.unionByName, facts), path, trials)
 
 
 def challenge(p: Project, champions: DataFrame, metric: DataFrame, month: str, run: str, tolerance: float = 0) -> DataFrame:
@@ -176,7 +206,32 @@ def score(
     scored = _stage(spark, p, f"score-{run}", month, base, policy, raw)
     if p.kind == "classification":
         return score_table_class(scored, p.key, "p0", "p1", p.model_name, stamp, run, train_run)
-    return score_table_regr(scored, p.key, "pred", p.edges, p.model_name, stamp, run, train_run)
+    return score_table_regr(scored, p.key, "pred", p.edges, p.model_name, stamp, run, train_run, p.bin_on)
+
+
+def score_selected(
+    spark: SparkSession,
+    p: Project,
+    registry: DataFrame,
+    champions: DataFrame | None,
+    models: str,
+    month: str,
+    run: str,
+    base: str,
+    target: str | None = None,
+    policy: str = "always",
+) -> DataFrame:
+    """:func:`score` with the champion, or else the last run trained up to the month, loaded from
+    ``models``; the table is appended to ``target`` if that is given."""
+    pick = select_model(registry, champions, p.model_name, period_start(month, p.unit)).first()
+    if pick is None:
+        raise LookupError(f"no trained model of {p.model_name} up to {month}")
+    trained = pick["SAFRA"].strftime("%Y%m" if p.unit == "month" else "%Y-%m-%d")
+    model = load_model(models, p.model_name, trained, pick["DT_TRAIN"])
+    table = score(spark, p, model, month, run, pick["DT_TRAIN"], base, policy)
+    if target is not None:
+        append_rows(table, target, table.columns)
+    return table
 
 
 def evaluate(
@@ -194,5 +249,5 @@ def evaluate(
         return eval_table_class(table, p.model_name, stamp, run, train_run)
     rows = rows.withColumn("SCORES", F.col("SCORES").cast("double"))
     return eval_table_regr(
-        confusion_bins(rows, "target", "SCORES", p.edges), p.model_name, stamp, run, train_run
+        confusion_bins(rows, "target", "SCORES", p.edges, p.bin_on, p.key), p.model_name, stamp, run, train_run
     )
