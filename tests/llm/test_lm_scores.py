@@ -31,11 +31,12 @@ def agree(got, rows):
     assert all(g[2] == pytest.approx(w[2], abs=1e-3) for g, w in zip(got, want))
 
 
-def test_scores(spark):
+def test_scores(spark, monkeypatch):
     rng = random.Random(9)
     rows = [(i, "".join(rng.choice("aabbc é🙂") for _ in range(rng.randrange(80)))) for i in range(60)]
     rows += [(100, None), (101, ""), (102, "x"), (103, "aab" * 5000), (103, "aab" * 5000), (None, "no id")]
     docs = spark.createDataFrame([(i, t, 1, 2) for i, t in rows], "doc_id long, text string, h int, block int")
+    monkeypatch.setattr(L, "HELD_CHARS", 300)
     for block_chars in (500, 10**7):
         agree(L.scores(docs, block_chars=block_chars).collect(), rows)
     assert L.scores(docs.limit(0)).count() == 0

@@ -18,7 +18,7 @@ from __future__ import annotations
 
 import math
 import sys
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -34,6 +34,7 @@ ORDER = 4
 BACKOFF = 0.4
 LEAST = 5
 BLOCK_CHARS = 12_000_000
+HELD_CHARS = 1_000_000
 
 
 def _codes(text: str) -> np.ndarray:
@@ -58,22 +59,55 @@ def _final(x: np.ndarray) -> np.ndarray:
     return (x ^ (x >> np.uint64(29))).view(np.int64)
 
 
+def _summed(hashes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct hashes, ascending, and the sums of their counts."""
+    order = np.argsort(hashes)
+    hashes = hashes[order]
+    starts = np.flatnonzero(np.r_[True, hashes[1:] != hashes[:-1]]) if len(hashes) else np.empty(0, np.int64)
+    return hashes[starts], np.add.reduceat(counts[order], starts) if len(hashes) else counts
+
+
+def _counted(texts: list[str], order: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(n, distinct hashes, counts) of some texts' n-grams."""
+    parts: list[list[np.ndarray]] = [[] for _ in range(order)]
+    for text in texts:
+        for n, hashes in enumerate(gram_hashes(_codes(text), order)):
+            parts[n].append(hashes)
+    for n in range(order):
+        if parts[n]:
+            joined = np.sort(_final(np.concatenate(parts[n])))
+            parts[n] = []
+            starts = np.flatnonzero(np.r_[True, joined[1:] != joined[:-1]])
+            yield n + 1, joined[starts], np.diff(np.r_[starts, len(joined)])
+
+
+def _some(texts: pa.ChunkedArray, chars: int) -> Iterator[list[str]]:
+    """The texts, about ``chars`` characters at a time."""
+    held: list[str] = []
+    size = 0
+    for text in texts:
+        held.append(text.as_py())
+        size += len(held[-1])
+        if size >= chars:
+            yield held
+            held, size = [], 0
+    if held:
+        yield held
+
+
 def _counter(order: int) -> Callable:
-    """A block's texts (block, body) to its n-gram counts (block, n, h, c)."""
+    """A block's texts (block, body) to its n-gram counts (block, n, h, c).
+
+    The n-grams of some texts are held at a time, and the counts of all.
+    """
 
     def run(texts: pa.Table) -> pa.Table:
         block = texts.column("block")[0].as_py()
-        parts: list[list[np.ndarray]] = [[] for _ in range(order)]
-        for text in texts.column("body").to_pylist():
-            for n, hashes in enumerate(gram_hashes(_codes(text), order)):
-                parts[n].append(hashes)
-        rows = []
-        for n, hashes in enumerate(parts):
-            if hashes:
-                joined = np.sort(_final(np.concatenate(hashes)))
-                parts[n] = []
-                starts = np.flatnonzero(np.r_[True, joined[1:] != joined[:-1]])
-                rows.append((n + 1, joined[starts], np.diff(np.r_[starts, len(joined)])))
+        found: list[list[tuple[np.ndarray, np.ndarray]]] = [[] for _ in range(order)]
+        for some in _some(texts.column("body"), HELD_CHARS):
+            for n, hashes, counts in _counted(some, order):
+                found[n - 1].append((hashes, counts))
+        rows = [(n + 1, *_summed(*map(np.concatenate, zip(*parts)))) for n, parts in enumerate(found) if parts]
         size = sum(len(h) for _, h, _ in rows)
         return pa.table(
             {
