@@ -144,12 +144,21 @@ class Weights:
     on_good: dict[str, float]
     on_poor: dict[str, float]
 
+    def numbers(self) -> list[float]:
+        return [self.prior, *self.on_good.values(), *self.on_poor.values()]
+
     def posterior(self, votes: dict[str, Column]) -> Column:
-        """Probability that a text with these votes is good; a rule that abstains has no say."""
-        odds = F.lit(math.log(self.prior / (1 - self.prior)))
+        """Probability that a text with these votes is good; a rule that abstains has no say.
+
+        The log odds are looked up by the vote in constant arrays, so the code that Spark compiles is
+        the same in every round and for all weights.
+        """
+        odds, prior = F.lit(0.0), math.log(self.prior / (1 - self.prior))
         for name, vote in votes.items():
             good, poor = self.on_good[name], self.on_poor[name]
-            odds = odds + F.when(vote > 0, math.log(good / (1 - poor))).when(vote < 0, math.log((1 - good) / poor)).otherwise(0.0)
+            table = (math.log((1 - good) / poor), 0.0, math.log(good / (1 - poor)))
+            odds = odds + F.get(F.array(*(F.lit(x + prior) for x in table)), vote + 1)
+            prior = 0.0
         return F.round(1 / (1 + F.exp(-odds)), 9)
 
 
@@ -163,7 +172,7 @@ def fitted(measures: DataFrame, column: str = "quality", rounds: int = 12) -> We
 
     The belief above counts as BELIEF_TEXTS votes on texts of each kind, so a rule that hardly votes
     keeps cautious weights. No rule is turned around: a vote against stays likelier on poor texts than
-    on good ones. An empty table gives the belief.
+    on good ones. Ends when nothing moves by 0.0001, or after ``rounds``. An empty table gives the belief.
     """
     patterns = measures.groupBy(*(v.cast("byte").alias(n) for n, v in rules(F.col(column)).items())).agg(F.count("*").alias("n"))
     patterns = stored(patterns.coalesce(1), "vote-patterns")
@@ -180,7 +189,9 @@ def fitted(measures: DataFrame, column: str = "quality", rounds: int = 12) -> We
         good = {n: round(min(0.999, max(0.5, rate("good", n, BELIEF.on_good))), 6) for n in RULES}
         poor = {n: round(min(0.999, max(1.001 - good[n], rate("poor", n, BELIEF.on_poor))), 6) for n in RULES}
         prior = (found["good"] + BELIEF_TEXTS * BELIEF.prior) / (found["good"] + found["poor"] + BELIEF_TEXTS)
-        weights = Weights(round(min(0.999, max(0.05, prior)), 6), good, poor)
+        before, weights = weights, Weights(round(min(0.999, max(0.05, prior)), 6), good, poor)
+        if all(abs(x - y) < 1e-4 for x, y in zip(weights.numbers(), before.numbers())):
+            break
     return weights
 
 
