@@ -3,7 +3,8 @@
 Two permutations serve all signature coordinates: the first scatters a text's shingles over a circle
 of 2 ** 32 places, the second is read from each of them at a start that moves on by one place from
 coordinate to coordinate. Coordinates are banded; texts that agree in a band are candidates. With 28
-bands of 5 a pair at similarity 0.85 is missed with a chance below 1e-7.
+bands of 5 a pair at similarity 0.85 is missed with a chance below 1e-7; lower thresholds need more
+bands (40 at 0.80, for 1.3e-7).
 
 No group is ever expanded into pairs:
 
@@ -212,9 +213,9 @@ def near_duplicates(
     )
 
 
-def keep_first(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
+def keep_first(docs: DataFrame, id: str = "doc_id", text: str = "text", percent: int = PERCENT, bands: int = BANDS) -> DataFrame:
     """The rows of ``docs`` that stay: one document of each group, and rows without an id."""
-    found = near_duplicates(docs, id, text)
+    found = near_duplicates(docs, id, text, percent=percent, bands=bands)
     gone = found.filter(~F.col("kept")).select(F.col(id).alias("__gone")).distinct()
     return docs.join(gone, F.col(f"`{id}`") == F.col("__gone"), "left_anti")
 
