@@ -63,3 +63,46 @@ def test_query(spark, sf):
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()]
     want = sorted((i, len(c), ",".join(f"{a}:{b}" for a, b in c), t) for i, t, c in brute(rows))
     assert sorted(map(tuple, L.op4_line_chunks(spark, sf).select("doc_id", "n_removed", "removed", "text").collect())) == want
+
+
+def common_lines(rows):
+    """Places (row, line) of every line that stands in two neighbouring lines an earlier place has."""
+    seen, gone = {}, set()
+    for n, (_, t) in enumerate(rows):
+        lines = t.split("\n")
+        for k in range(len(lines) - 1):
+            m, j = seen.setdefault((lines[k], lines[k + 1]), (n, k))
+            if m != n or k > j + 1:
+                gone |= {(n, k), (n, k + 1)}
+    return gone
+
+
+def test_chunks_have_two_lines_at_least():
+    rng = random.Random(5)
+    for n in range(2, 60):
+        assert min(c for _, _, c in L.line_chunks("\n".join(str(rng.random()) for _ in range(n)))) >= 2
+
+
+def test_planted_passages_of_two_to_ten_lines_go_whole(spark):
+    rng = random.Random(6)
+    own = lambda n: [f"own {rng.random()} é" for _ in range(n)]
+    rows = []
+    for size in [*range(2, 11)] * 4:
+        passage = own(size)
+        rows += [(len(rows) + k, "\n".join(own(rng.randrange(5)) + passage + own(rng.choice([0, 1, 4])))) for k in range(2)]
+    rows += [(500, rows[3][1]), (501, "x\nx\nx"), (502, "y\ny\ny\ny"), (503, "single\n" + own(1)[0]), (504, "single\n" + own(1)[0])]
+    gone = common_lines(rows)
+    want = {}
+    for n, (i, t) in enumerate(rows):
+        left = [x for k, x in enumerate(t.split("\n")) if (n, k) not in gone]
+        if left:
+            want[i] = left
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    left = {r.doc_id: r.text.removesuffix("\n").split("\n") for r in L.dedup_documents(docs).collect()}
+    assert left == want and 500 not in left and left[501] == ["x"] * 3 and left[502] == ["y"] * 2
+
+
+def test_blank_lines_are_no_lines_of_a_passage(spark):
+    rows = [(1, "a\n\nb\n\nc\n"), (2, "d\n\nb\n\n"), (3, "a\n\nb"), (4, "\n\n\n"), (5, "\n\n\n"), (6, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r.doc_id: r.text for r in L.dedup_documents(docs).collect()} == {i: t for i, t in rows if i != 3}

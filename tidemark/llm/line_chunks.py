@@ -1,9 +1,17 @@
-"""Line dedup by content-defined chunks of lines.
+"""Line dedup by content-defined chunks of lines, or by every two neighbouring lines.
 
-A text is split at line feeds. A rolling hash over the hashes of the last two lines decides where a
-chunk ends, so a passage is cut in the same places wherever it stands, but for its first lines. Chunks
-of several lines that occur more than once among all documents lose all occurrences but the
-earliest (by id, then place in the text), provided their bytes are the same: digests only propose.
+A text is split at line feeds. The hash of a line decides whether a chunk may end there, so a passage is
+cut in the same places wherever it stands, but for its first lines. No chunk has fewer than two lines,
+unless the text has one: a cut right after a cut waits for the next line that qualifies, and a last line
+by itself joins the chunk before it. Chunks of several lines that occur more than once among all
+documents lose all occurrences but the earliest (by id, then place in the text), provided their bytes
+are the same: digests only propose.
+
+Chunks miss repeated passages that no cut falls into. ``dedup_documents`` therefore proposes every two
+neighbouring lines, at every place, so that a repeated passage of two or more lines goes from its first
+line to its last wherever it stands. There, lines of white space lie between lines and are none
+themselves, the line feed after the second line is not compared, and an occurrence that overlaps the
+earliest one stays. A line that goes is always held by an earlier place.
 
 Results: offsets count code points, ends are exclusive, and a chunk includes the line feeds that end
 its lines. A null text has no chunks and stays null. Single lines are never removed. Rows that share id
@@ -25,8 +33,8 @@ from tidemark.session import stored
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-WINDOW = 2
-DIVISOR = 3
+DIVISOR = 2
+LEAST = 2
 MASK = (1 << 64) - 1
 
 
@@ -34,28 +42,46 @@ def line_chunks(text: str, divisor: int = DIVISOR) -> Iterator[tuple[int, int, i
     """(start, end, number of lines) of the chunks of ``text``, in order; they cover all of it."""
     lines = text.split("\n")
     start = at = count = 0
-    rolling = last = 0
+    held = None
     for i, line in enumerate(lines):
         own = xxhash.xxh3_64_intdigest(line.encode("utf-8"))
-        # Takes the line in and, as the window is two lines, everything before the last one out.
-        rolling, last = (last * 0x9E3779B97F4A7C15 + own) & MASK, own
         at += len(line) + (i + 1 < len(lines))
         count += 1
-        if (((rolling * 0xD6E8FEB86659FD93) & MASK) >> 32) % divisor == 0:
-            yield start, at, count
+        if count >= LEAST and (((own * 0xD6E8FEB86659FD93) & MASK) >> 32) % divisor == 0:
+            if held:
+                yield held
+            held = start, at, count
             start, count = at, 0
+    if held and 0 < count < LEAST:
+        held, count = (held[0], at, held[2] + count), 0
+    if held:
+        yield held
     if count:
         yield start, at, count
 
 
-def _proposals(divisor: int) -> Callable:
+def line_pairs(text: str) -> Iterator[tuple[int, int, int]]:
+    """(start, end, 2) of every two lines that follow each other, but for white space, in order."""
+    at = 0
+    before = None
+    for line in text.split("\n"):
+        end = min(at + len(line) + 1, len(text))
+        if line and not line.isspace():
+            if before is not None:
+                yield before, end, 2
+            before = at
+        at = end
+
+
+def _proposals(cut: Callable, pairs: bool) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
             for id, h, text in zip(*(c.to_pylist() for c in batch.columns)):
-                for start, end, count in line_chunks(text, divisor):
+                for start, end, count in cut(text):
                     if count > 1:
-                        digest = xxhash.xxh3_128_digest(text[start:end].encode("utf-8"))
+                        piece = text[start:end].removesuffix("\n") if pairs else text[start:end]
+                        digest = xxhash.xxh3_128_digest(piece.encode("utf-8"))
                         halves = (int.from_bytes(digest[:8], "big", signed=True), int.from_bytes(digest[8:], "big", signed=True))
                         rows.append((id, h, start, end, *halves))
             columns = list(zip(*rows)) if rows else [()] * 6
@@ -64,31 +90,60 @@ def _proposals(divisor: int) -> Callable:
     return run
 
 
-def repeated_chunks(docs: DataFrame, id: str = "doc_id", text: str = "text", divisor: int = DIVISOR) -> DataFrame:
-    """The chunks that go: (id, h, start, end), h being the hash of the text."""
+def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(id, h, sorted spans) to the spans without overlaps; those that touch become one."""
+    for batch in batches:
+        rows = []
+        for id, h, spans in zip(*(c.to_pylist() for c in batch.columns)):
+            start, last = spans[0]["start"], spans[0]["end"]
+            for span in spans[1:]:
+                if span["start"] > last:
+                    rows.append((id, h, start, last))
+                    start = span["start"]
+                last = max(last, span["end"])
+            rows.append((id, h, start, last))
+        columns = list(zip(*rows)) if rows else [()] * 4
+        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["id", "h", "start", "end"])
+
+
+def repeated_chunks(docs: DataFrame, id: str = "doc_id", text: str = "text", divisor: int = DIVISOR, pairs: bool = False) -> DataFrame:
+    """The chunks that go: (id, h, start, end), h being the hash of the text. With ``pairs``, every two
+    neighbouring lines are proposed instead of chunks, and what goes of a text is merged."""
     rows = docs.select(F.col(f"`{id}`").cast("long").alias("id"), F.xxhash64(F.col(f"`{text}`")).alias("h"), F.col(f"`{text}`").alias("body")).filter("body is not null")
-    chunks = stored(rows.mapInArrow(_proposals(divisor), "id long, h long, start long, end long, d1 long, d2 long").distinct(), "chunks")
+    cut = line_pairs if pairs else lambda text: line_chunks(text, divisor)
+    chunks = stored(rows.mapInArrow(_proposals(cut, pairs), "id long, h long, start long, end long, d1 long, d2 long").distinct(), "chunks")
     # The earliest place of each digest, level by level, so that every step is a plain minimum.
     order = F.coalesce("id", F.lit((1 << 63) - 1))
     proposed = chunks.groupBy("d1", "d2").agg(F.count("*").alias("c"), F.min(order).alias("least")).filter("c > 1").drop("c")
     proposed = stored(proposed, "proposed")
     hits = stored(chunks.join(proposed, ["d1", "d2"]).withColumn("same", order == F.col("least")), "hits")
-    first = hits.filter("same").groupBy("d1", "d2").agg(F.min(F.struct("start", "h")).alias("place"))
-    first = stored(first.select("d1", "d2", F.col("place.start").alias("at"), F.col("place.h").alias("of")), "first")
-    hits = hits.join(first, ["d1", "d2"]).withColumn("earliest", F.col("same") & (F.col("start") == F.col("at")) & (F.col("h") == F.col("of")))
+    first = hits.filter("same").groupBy("d1", "d2").agg(F.min(F.struct("start", "h", "end")).alias("place"))
+    first = stored(first.select("d1", "d2", F.col("place.start").alias("at"), F.col("place.h").alias("of"), F.col("place.end").alias("to")), "first")
+    here = F.col("same") & (F.col("h") == F.col("of"))
+    hits = hits.join(first, ["d1", "d2"]).withColumn("earliest", here & (F.col("start") == F.col("at")))
+    if pairs:  # those that overlap the earliest stay
+        hits = hits.filter(F.col("earliest") | ~(here & (F.col("start") < F.col("to"))))
     spans = hits.groupBy("id", "h").agg(F.collect_list(F.struct("start", "end", "d1", "d2", "earliest")).alias("spans"))
     # Bytes of the proposed chunks. Texts are as large as the corpus, so they are joined by a shuffle at every size.
     texts = rows.select(F.col("id").alias("i"), F.col("h").alias("g"), "body").join(spans.hint("merge"), F.col("i").eqNullSafe(F.col("id")) & (F.col("g") == F.col("h")))
     pieces = texts.select("id", "h", "body", F.explode("spans").alias("s")).select("id", "h", "s.*", F.expr("substring(body, cast(s.start as int) + 1, cast(s.end - s.start as int))").alias("bytes"))
+    if pairs:
+        pieces = pieces.withColumn("bytes", F.regexp_replace("bytes", r"\n\z", ""))
     pieces = stored(pieces, "pieces")
     kept = pieces.filter("earliest").select("d1", "d2", F.col("bytes").alias("original")).dropDuplicates(["d1", "d2"])
-    return pieces.filter("not earliest").join(stored(kept, "originals"), ["d1", "d2"]).filter("bytes = original").select("id", "h", "start", "end").distinct()
+    gone = pieces.filter("not earliest").join(stored(kept, "originals"), ["d1", "d2"]).filter("bytes = original").select("id", "h", "start", "end").distinct()
+    if not pairs:
+        return gone
+    lists = gone.groupBy("id", "h").agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("spans"))
+    return lists.mapInArrow(_merged, "id long, h long, start long, end long")
 
 
-def without_repeated_chunks(docs: DataFrame, id: str = "doc_id", text: str = "text", into: str = "removed", divisor: int = DIVISOR) -> DataFrame:
+def without_repeated_chunks(
+    docs: DataFrame, id: str = "doc_id", text: str = "text", into: str = "removed", divisor: int = DIVISOR, pairs: bool = False
+) -> DataFrame:
     """``docs`` with the repeated chunks cut from ``text``; the array ``into`` has their (start, end) in
     the original text, null where nothing was removed. A column already called ``into`` is replaced."""
-    gone = repeated_chunks(docs, id, text, divisor)
+    gone = repeated_chunks(docs, id, text, divisor, pairs)
     cuts = stored(gone.groupBy("id", "h").agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("__cuts")), "cuts")
     cuts = cuts.select(F.col("id").alias("__id"), F.col("h").alias("__h"), "__cuts")
     body, c = F.col(f"`{text}`"), F.col("__cuts")
@@ -104,9 +159,9 @@ def without_repeated_chunks(docs: DataFrame, id: str = "doc_id", text: str = "te
 
 
 def dedup_documents(docs: DataFrame, id: str = "doc_id", text: str = "text", chars: str | None = "n_chars") -> DataFrame:
-    """``docs`` after the removal, with its columns. ``chars``, where there is such a column, is counted
+    """``docs`` after the removal by pairs of lines, with its columns. ``chars``, where there is such a column, is counted
     anew. Documents of which no word is left are dropped; those without words before stay."""
-    out = without_repeated_chunks(docs, id, text, "__removed")
+    out = without_repeated_chunks(docs, id, text, "__removed", pairs=True)
     out = out.filter(F.col("__removed").isNull() | F.col(f"`{text}`").rlike(r"[^\x20\x09-\x0D]"))
     if chars in docs.columns:
         kind = docs.schema[chars].dataType
