@@ -1,6 +1,8 @@
 import hashlib
 import math
+import random
 import re
+import string
 from collections import Counter
 
 from hypothesis import given, settings
@@ -70,3 +72,31 @@ def test_query(spark, sf):
     assert len(rows) == len(texts)
     for r in rows:
         check(r, texts[r.doc_id])
+
+
+def found(text):
+    limits = [(re.compile(x.pattern), x.width, x.bits, x.digits) for x in S.LIMITS]
+    return [(a, b) for a, b, kind in S.scan(text, limits, [re.compile(x) for x in S.ALLOWED]) if kind == "entropy"]
+
+
+def test_recall_by_alphabet_and_length():
+    rng = random.Random(11)
+    low, up, digits = string.ascii_lowercase, string.ascii_uppercase, string.digits
+    for alphabet in (low + digits, up + digits, up + "234567", low + "234567", low + up + digits):
+        for length, least in ((20, 0.85), (24, 0.92), (32, 0.97)):
+            hits = sum(bool(found("x " + "".join(rng.choice(alphabet) for _ in range(length)) + " y")) for _ in range(400))
+            assert hits >= least * 400, (alphabet, length, hits)
+
+
+def test_names_beside_a_secret_do_not_clear_it():
+    secret = "q7m2x9k4t8w3z6v1n5b0c"
+    mixed = "Zq8sPk2LmT9vRw4XbN7cYd3F"
+    for text in (f"sample_client_key={secret}", f"sample_client_key={mixed}", f"example_id_{mixed}", f"x={mixed}=", f"{mixed}=={mixed}"):
+        assert found(text), text
+    a, b = found(f"sample_client_key={mixed}")[0]
+    assert (a, b) == (18, 42)
+
+
+def test_clean_texts_have_no_finds():
+    clean = "lichkeitungenschaftlichkeiten internationalization_of_things conference2 ABCDEFGHIJKLMNOPQRST 2024-01-01T00:00:00 /usr/local/lib/python/site-packages 12345678901234567890123 sample_client_key=placeholder ACCOUNTINGDEPARTMENTREPORT1"
+    assert found(clean) == []

@@ -1,11 +1,12 @@
 """Secret scan: fixed patterns, and windows of high entropy that no pattern names.
 
 Candidate strings are runs of characters that keys are made of. Within a candidate, runs of each
-character class (hexadecimal; letters, digits and the marks of base64) are read with a window of
-fixed width. The window's Shannon entropy follows from its character counts; one step takes one
-character out and one in, so it costs the same for any width. Windows over the class's limit are
-merged into spans. Spans that an allow-list pattern matches, or that lie inside a pattern's span, are
-left out. Texts are read whole, row by row; nothing is shuffled.
+character class (hexadecimal; lower-case letters and digits; capitals and digits; letters, digits and
+the marks of base64) are read with a window of fixed width. A = ends a run, but for padding. The window's Shannon entropy follows from its character counts; one step takes one
+character out and one in, so it costs the same for any width. Windows over the class's limit, with
+the class's least number of digits, are merged into spans. An allow-list pattern that begins with ^ is
+held against the whole span; of any other only the parts between marks that it occurs in are taken
+out, and the rest is read again. Spans inside a pattern's span are left out. Texts are read whole, row by row; nothing is shuffled.
 
 Offsets count code points, ends are exclusive. A null text counts as empty. Rows stay as they are.
 """
@@ -39,15 +40,24 @@ CANDIDATE = re.compile(r"[A-Za-z0-9+/=_-]{20,}")
 
 @dataclass(frozen=True)
 class Limit:
-    """Runs of ``pattern`` are read in windows of ``width``; more than ``bits`` a character is suspect."""
+    """Runs of ``pattern`` are read in windows of ``width``; more than ``bits`` a character is suspect
+    where the window has ``digits`` digits at least."""
 
     pattern: str
     width: int
     bits: float
+    digits: int = 0
 
 
-LIMITS = (Limit(r"[0-9a-f]{20,}", 20, 3.0), Limit(r"[0-9A-F]{20,}", 20, 3.0), Limit(r"[A-Za-z0-9+/=_-]{20,}", 20, 3.85))
-# A suspect span that one of these matches somewhere is none.
+LIMITS = (
+    Limit(r"[0-9a-f]{20,}", 20, 3.0),
+    Limit(r"[0-9A-F]{20,}", 20, 3.0),
+    Limit(r"[a-z0-9]{20,}", 20, 3.4, 2),
+    Limit(r"[A-Z0-9]{20,}", 20, 3.4, 2),
+    Limit(r"[A-Za-z0-9+/_-]{20,}(?:={1,2}(?![A-Za-z0-9+/=_-]))?", 20, 3.85),
+)
+MARKS = re.compile(r"[=_/+-]")
+# What one of these matches is no secret.
 ALLOWED = (
     r"^[0-9]+$",
     r"^[a-z]+$",
@@ -69,23 +79,26 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
     return found
 
 
-def suspect(run: str, width: int, bits: float) -> Iterator[tuple[int, int]]:
-    """Merged spans of the windows of ``run`` with more than ``bits`` of entropy a character."""
+def suspect(run: str, width: int, bits: float, digits: int = 0) -> Iterator[tuple[int, int]]:
+    """Merged spans of the windows of ``run`` with more than ``bits`` of entropy a character and
+    ``digits`` digits at least."""
     counts: dict[str, int] = {}
     # Entropy is log2(width) - total / width, where total sums c * log2(c) over the counts.
     weight = [c * math.log2(c) if c else 0.0 for c in range(width + 1)]
     most = (math.log2(width) - bits) * width
-    total, start, end = 0.0, -1, -1
+    total, start, end, numeric = 0.0, -1, -1, 0
     for i, char in enumerate(run):
+        numeric += "0" <= char <= "9"
         c = counts.get(char, 0)
         total += weight[c + 1] - weight[c] if c < width else 0.0
         counts[char] = c + 1
         if i >= width:
             gone = run[i - width]
+            numeric -= "0" <= gone <= "9"
             c = counts[gone]
             total += weight[c - 1] - (weight[c] if c <= width else weight[width])
             counts[gone] = c - 1
-        if i >= width - 1 and total < most - 1e-9:
+        if i >= width - 1 and total < most - 1e-9 and numeric >= digits:
             if i - width + 1 > end:
                 if end > 0:
                     yield start, end
@@ -95,6 +108,24 @@ def suspect(run: str, width: int, bits: float) -> Iterator[tuple[int, int]]:
         yield start, end
 
 
+def unallowed(text: str, start: int, end: int, limit: tuple[int, float, int], allowed) -> Iterator[tuple[int, int]]:
+    """What the allow-list leaves of a suspect span."""
+    whole = [p for p in allowed if p.pattern.startswith("^")]
+    words = [p for p in allowed if not p.pattern.startswith("^")]
+    if any(p.search(text[start:end]) for p in whole):
+        return
+    if not any(p.search(text[start:end]) for p in words):
+        yield start, end
+        return
+    at = left = start
+    for stop in [*(m.start() for m in MARKS.finditer(text, start, end)), end]:
+        if any(p.search(text[at:stop]) for p in words):
+            yield from ((left + a, left + b) for a, b in suspect(text[left:at], *limit) if not any(p.search(text[left + a : left + b]) for p in allowed))
+            left = min(stop + 1, end)
+        at = min(stop + 1, end)
+    yield from ((left + a, left + b) for a, b in suspect(text[left:end], *limit) if not any(p.search(text[left + a : left + b]) for p in allowed))
+
+
 def scan(text: str, limits, allowed) -> list[tuple[int, int, str]]:
     """All spans of a text by start, then by kind in the order of KINDS; limits and patterns compiled."""
     found = base_spans(text)
@@ -103,16 +134,20 @@ def scan(text: str, limits, allowed) -> list[tuple[int, int, str]]:
         found += [(m.start(), m.end(), "hex") for m in HEX.finditer(text)]
         base = list(found)
         for m in candidates:
-            spans: list[tuple[int, int]] = []
-            for pattern, width, bits in limits:
+            spans: set[tuple[int, int]] = set()
+            for pattern, *limit in limits:
                 for run in pattern.finditer(text, m.start(), m.end()):
-                    spans += [(run.start() + a, run.start() + b) for a, b in suspect(run.group(), width, bits)]
-            last = -1
-            for a, b in sorted(set(spans), key=lambda s: (s[0], -s[1])):
-                if b <= last or any(s <= a and b <= e for s, e, _ in base) or any(p.search(text[a:b]) for p in allowed):
+                    for a, b in suspect(run.group(), *limit):
+                        spans.update(unallowed(text, run.start() + a, run.start() + b, limit, allowed))
+            joined: list[list[int]] = []
+            for a, b in sorted(spans):
+                if any(s <= a and b <= e for s, e, _ in base):
                     continue
-                found.append((a, b, "entropy"))
-                last = b
+                if joined and a < joined[-1][1]:
+                    joined[-1][1] = max(joined[-1][1], b)
+                else:
+                    joined.append([a, b])
+            found += [(a, b, "entropy") for a, b in joined]
     return sorted(found, key=lambda s: (s[0], KINDS.index(s[2]), s[1]))
 
 
@@ -122,7 +157,7 @@ def _joined(spans) -> str:
 
 def _scanner(limits: tuple[Limit, ...], allowed: tuple[str, ...]) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        compiled = [(re.compile(x.pattern), x.width, x.bits) for x in limits]
+        compiled = [(re.compile(x.pattern), x.width, x.bits, x.digits) for x in limits]
         allow = [re.compile(x) for x in allowed]
         for batch in batches:
             spans = [scan(t, compiled, allow) for t in batch.column(batch.num_columns - 1).to_pylist()]
