@@ -68,3 +68,26 @@ def test_passages_of_fifty_words_are_caught(spark, sf):
     later = {d for ids in where.values() for d in ids if d > min(ids)}
     caught = {r[0] for r in brute(rows)}
     assert later and len(later & caught) >= 0.97 * len(later)
+
+
+def test_long_sentences_without_marks_are_cut_alike(spark):
+    rng = random.Random(14)
+    words = lambda n: " ".join("".join(rng.choice("abcdefg") for _ in range(6)) for _ in range(n))
+    rows = []
+    for i in range(20):
+        passage = words(80)
+        rows += [(2 * i, f"{words(40)} {passage} {words(35)}"), (2 * i + 1, f"{words(33)} {passage} {words(51)}")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    gone = got(P.repeated_passages(docs))
+    assert {g[0] for g in gone} == {2 * i + 1 for i in range(20)}
+    assert all(51 <= sum(g[3] for g in gone if g[0] == 2 * i + 1) <= 80 for i in range(20))
+
+
+def test_scripts_without_spaces(spark):
+    rng = random.Random(15)
+    sentence = lambda n: "".join(chr(rng.randrange(0x4E00, 0x9000)) for _ in range(n)) + "。"
+    passage = "".join(sentence(20) for _ in range(5))
+    thai = "".join(chr(rng.randrange(0x0E01, 0x0E2F)) for _ in range(300))
+    rows = [(1, sentence(30) + passage), (2, sentence(15) + passage + sentence(12)), (3, "ก\n" + thai), (4, "ข\n" + thai + "\nค")]
+    left = {r.doc_id: r.text for r in P.without_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert left == {1: rows[0][1], 2: rows[1][1].replace(passage, ""), 3: rows[2][1], 4: "ข\nค"}

@@ -1,7 +1,10 @@
 """Substring dedup by hashing normalised units.
 
 Texts are split into lines, and lines after sentence marks, so that a passage is found wherever it
-stands in a paragraph; sentences of few words are taken together. A unit is normalised (lower case, white space folded) and hashed. Digests are
+stands in a paragraph; sentences of few words are taken together. Marks of scripts that set no space after
+them count as well. Sentences of over LONG_WORDS words are cut after words that their hash with the word
+before chooses, so that a passage in a line without marks is cut alike wherever it stands. In scripts
+without spaces between words, two characters count as a word. A unit is normalised (lower case, white space folded) and hashed. Digests are
 grouped over all documents; the occurrence with the least id, then the first in the text, is kept, and
 all others are marked. Marked units that follow each other form a passage, and passages of at least
 MIN_WORDS words are removed. Common short phrases alone are not.
@@ -30,19 +33,51 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 MIN_WORDS = 25
 UNIT_WORDS = 4
+LONG_WORDS = 30
+CUT = 4
+MARKS = re.compile(r"[.!?؟۔।॥።]+[\"')\]»”’]*[^\S\n]+|[。！？．｡]+[\"')\]」』”’）》】]*[^\S\n]*|\n+|$")
+WORD = re.compile(r"\S+\s*")
+# Thai, Lao, Burmese, Khmer, kana and Chinese characters.
+UNSPACED = re.compile(r"[\u0E00-\u0EFF\u1000-\u109F\u1780-\u17FF\u3040-\u30FF\u3400-\u4DBF\u4E00-\u9FFF\uF900-\uFAFF\U00020000-\U0003FFFF]")
 NO_ID = (1 << 63) - 1
 
 
+def size(unit: str) -> int:
+    """The words of a normalised unit."""
+    return unit.count(" ") + 1 + (0 if unit.isascii() else len(UNSPACED.findall(unit)) // 2)
+
+
+def _ends(text: str) -> Iterator[int]:
+    """Where sentences, lines and the pieces of long sentences end."""
+    at = 0
+    for m in MARKS.finditer(text):
+        end = m.end()
+        if end - at > 2 * LONG_WORDS:
+            found = list(WORD.finditer(text, at, end))
+            if len(found) > LONG_WORDS:
+                since, before = 0, ""
+                for w in found[:-1]:
+                    word = w.group().rstrip().lower()
+                    since += 1
+                    if since >= UNIT_WORDS and xxhash.xxh3_64_intdigest(f"{before} {word}".encode("utf-8", "surrogatepass")) % CUT == 0:
+                        yield w.end()
+                        since = 0
+                    before = word
+        yield end
+        at = end
+
+
 def units(text: str, least: int = UNIT_WORDS) -> Iterator[tuple[int, int, str]]:
     """(start, end, normalised text) of the units: sentences of a line, the next ones taken along while
     there are fewer than ``least`` words. Lines end a unit whatever its length; blank ones have none."""
     start = at = 0
     words: list[str] = []
-    for m in re.finditer(r"[.!?]+[\"')\]]*[^\S\n]+|\n+|$", text):
-        words += text[at : m.end()].split()
-        at = m.end()
-        if len(words) >= least or words and (at == len(text) or text[at - 1] == "\n"):
-            yield start, at, " ".join(words).lower()
+    for end in _ends(text):
+        words += text[at:end].split()
+        at = end
+        unit = " ".join(words).lower()
+        if words and (size(unit) >= least or at == len(text) or text[at - 1] == "\n"):
+            yield start, at, unit
         elif words:
             continue
         start, words = at, []
@@ -54,7 +89,7 @@ def _rows(text: str) -> list[tuple]:
     out = []
     for no, (start, end, unit) in enumerate(units(text)):
         digest = xxhash.xxh3_128_digest(unit.encode("utf-8", "surrogatepass"))
-        out.append((no, start, end, unit.count(" ") + 1, digest in seen, int.from_bytes(digest[:8], "big", signed=True), int.from_bytes(digest[8:], "big", signed=True)))
+        out.append((no, start, end, size(unit), digest in seen, int.from_bytes(digest[:8], "big", signed=True), int.from_bytes(digest[8:], "big", signed=True)))
         seen.add(digest)
     return out
 
