@@ -7,9 +7,9 @@ from collections.abc import Callable
 import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bpe, chat, line_chunks, lm_scores, minhash, mixing, order_minhash, passages, quality, search, secrets, urls
+from tidemark.llm import bpe, chat, clusters, line_chunks, lm_scores, minhash, mixing, order_minhash, passages, quality, search, secrets, urls
 
-_MODULES = (bpe, passages, urls, line_chunks, secrets, mixing, quality, minhash, order_minhash, lm_scores, chat, search)
+_MODULES = (bpe, passages, urls, line_chunks, secrets, mixing, quality, minhash, order_minhash, lm_scores, chat, search, clusters)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
