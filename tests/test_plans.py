@@ -99,8 +99,6 @@ def test_checkpoint_folder_comes_from_the_session(spark):
 
 def test_no_plan_joins_without_a_key(spark, sf):
     for name in Q.queries():
-        if name in ("fit_classifier", "fit_regressor", "model_roundtrip", "hyperparameter_search", "calibrate", "feature_importance", "shadow_selection", "smote"):
-            continue
         text = plan(Q.queries()[name](spark, sf))
         assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text, name
 

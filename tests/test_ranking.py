@@ -167,3 +167,60 @@ def test_running_sums_before_and_total(spark):
     want = got.withColumn("w", F.coalesce(F.sum("v").over(w), F.lit(0)))
     assert want.where("v_before <> w or v_total <> 2000").count() == 0
     assert math.isclose(df.count(), 1000)
+
+
+def _fullest(df, b):
+    return b.assign(df).where("__bucket >= 0").groupBy("__bucket").count().agg(F.max("count")).first()[0]
+
+
+@pytest.mark.parametrize(
+    "score,key",
+    [
+        ("IF(id % 3 < 2, 'hot', concat('s', id % 977))", "id"),
+        ("CAST(IF(id % 3 < 2, 0.77, id / 7) AS DECIMAL(18,2))", "id"),
+        ("CAST(IF(id % 3 < 2, 12345678901234567890123, id) AS DECIMAL(38,2))", "concat('k-', id)"),
+        ("id % 3 < 2", "concat('same-long-prefix-', lpad(id, 9, '0'))"),
+        ("1", "IF(id = 77, 'outlier', concat('zz-', lpad(id, 9, '0')))"),
+        ("binary(IF(id % 3 < 2, 'hot', concat('s', id % 977)))", "id"),
+    ],
+)
+def test_hot_scores_and_uneven_keys_of_any_type(spark, score, key):
+    """Two thirds of the rows or all of them with one score: no bucket holds three times its share."""
+    df = spark.range(0, 20000, numPartitions=6).select(F.expr(score).alias("score"), F.expr(key).alias("key"))
+    assert _fullest(df, R.RangeBuckets.fit(df, "score", "key", 40)) <= 3 * 20000 / 40
+    want = df.withColumn("want", F.row_number().over(Window.orderBy("score", "key")))
+    assert R.global_rank(want, "score", "key", buckets=40).where("rank <> want").count() == 0
+    n, q = 20000, 7
+    bins = R.quantile_bin(want, "score", "key", q, buckets=40)
+    assert bins.where(F.col("bin") != F.greatest(F.lit(1), F.call_function("div", (F.col("want") - 1) * q + n - 2, F.lit(n - 1)))).count() == 0
+    mean = df.withColumn("want", F.rank().over(Window.orderBy("score")) + (F.count("*").over(Window.partitionBy("score")) - 1) / 2)
+    assert R.average_rank(mean, "score", "key", "mean", buckets=40).where("mean <> want").count() == 0
+
+
+@pytest.mark.parametrize("use", ["rank", "bin 10", "bin 65", "cut", "sample"])
+def test_repeated_keys_are_an_error_everywhere(spark, use):
+    """A hundred keys ten times each, all with one score."""
+    df = spark.range(1000).select(F.lit(0.5).alias("score"), (F.col("id") % 100).alias("key"))
+    with pytest.raises(Exception, match="must be unique"):
+        if use == "rank":
+            R.global_rank(df, "score", "key").collect()
+        elif use == "sample":
+            R.rank_cuts(df, "score", "key", lambda n: [n // 3])
+        elif use == "cut":
+            R.first_rows(df, "score", "key", 500).collect()
+        else:
+            R.quantile_bin(df, "score", "key", int(use.split()[1])).collect()
+
+
+def test_buckets_follow_the_rows_and_full_ones_are_split(spark, monkeypatch):
+    df = spark.range(30000).select(F.when(F.col("id") < 25000, 1.0).otherwise(F.col("id").cast("double")).alias("score"), F.col("id").alias("key"))
+    monkeypatch.setattr(R, "BUCKET_ROWS", 300)
+    b = R.RangeBuckets.fit(df, "score", "key")
+    assert 90 <= len(b.points) <= 100
+    # Splits that balance nothing: all rows are in two buckets, which are split until none is too full.
+    poor = R.RangeBuckets(30000, "score", "key", ((2.0, None),)).counted(df)
+    assert max(poor.sizes) <= 1200 and sum(poor.sizes) == 30000
+    want = df.withColumn("want", F.row_number().over(Window.orderBy("score", "key")))
+    assert R.rank_within(want, R.RangeBuckets(30000, "score", "key", ((2.0, None),)), "rank").where("rank <> want").count() == 0
+    sums = R.running_sums(want.select("score", (F.col("key") % 5).alias("v")).groupBy("score").agg(F.sum("v").alias("v")), R.RangeBuckets.fit(df, "score"), ["v"])
+    assert sums.agg(F.max("v_before") + F.max_by("v", "score"), F.max("v_total")).first() == (60000, 60000)

@@ -1,50 +1,46 @@
 """Exact global order without a global sort.
 
 Deciles, seeded samples, splits and ROC sums all need a row's place in the order of the whole
-dataset. A window without PARTITION BY would send every row to one task. Here one aggregate
-pass (mergeable quantile sketches of the score and of the key) yields range splits; the splits
-turn each row into a bucket number that grows with the order, and exact per-bucket counts do
+dataset. A window without PARTITION BY would send every row to one task. Here the rows are counted,
+a seeded sample of (score, key) rows gives range splits in the columns' own types, and a search among the
+splits turns each row into a bucket number that grows with the order; exact per-bucket counts do
 the rest. The splits only balance the work: any splits give the same ranks.
 
 * :func:`rank_cuts` finds the rows at given ranks. Only the few buckets that hold those ranks
   are sorted; nothing else is shuffled. Bins, samples and splits are then plain comparisons
   with those rows, inside the scan stage.
-* :func:`global_rank` numbers all rows: one shuffle on the bucket plus a small table of offsets.
+* :func:`global_rank` numbers all rows: one shuffle on the bucket.
 
-Ties are broken by a unique key. One score may hold any share of the rows: a score that fills
-several splits becomes a bucket of its own and is split further by ranges of the key.
-Rows whose score is NULL or NaN have no rank.
+There are as many buckets as the rows need, and a bucket that came out too full is split again. Ties are
+broken by a unique key. Splits are rows and not scores, so one score may hold any share of the rows, of
+whatever type score and key are. Rows whose score is NULL or NaN have no rank.
+
+Two rows with the same score and key have no order: numbering raises where it meets them, bins and cuts
+where any of the sorted buckets holds them, which is always so where they would change the result.
 
 The input must give the same rows each time it is computed; write it out first if it does not.
 """
 
 from __future__ import annotations
 
+import json
 import math
 from collections.abc import Callable, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from decimal import Decimal
 from typing import Any
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-CUT_BUCKETS = 512  # splits of one sketching pass when only a few ranks are asked for
+CUT_BUCKETS = 512  # buckets of one pass when only a few ranks are asked for
 CUT_ROWS = 1_000_000  # a bucket with more rows is cut again before it is sorted
-HEAVY_HITS = 4  # a score found at this many splits is split by key
-SKETCH_SIZE = 8000  # rank error below 0.1 %; the sketches only balance the work
-EXACT_DOUBLE = 2**53
-MAX_CUT_BINS = 64  # beyond this many bins a rank column is cheaper than a chain of comparisons
-
-# Types whose values all have a number of their own, below EXACT_DOUBLE.
-_EXACT = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DateType, T.TimestampType, T.TimestampNTZType)
-BEYOND = 1.5e308  # stands for infinity among halved doubles, which stay below 0.9e308
-
-
-def _exact(dtype: T.DataType) -> bool:
-    return isinstance(dtype, _EXACT) or isinstance(dtype, T.DecimalType) and dtype.precision <= 15
+BUCKET_ROWS = 250_000  # rows of a bucket that are aimed at when all rows are numbered
+LEAST_BUCKETS = 16
+MOST_BUCKETS = 16_384  # splits are literals of the plan; beyond this, buckets grow
+SAMPLE = 32  # sampled rows per split: a bucket is within a fifth of its size, two times out of three
+SPREAD = 64  # parts for rows that have no place, or need none
 
 
 def _type(df: DataFrame, col: str) -> T.DataType:
@@ -57,144 +53,186 @@ def present(df: DataFrame, col: str) -> Column:
     return F.nanvl(c, F.lit(None)) if isinstance(_type(df, col), (T.FloatType, T.DoubleType)) else c
 
 
-def _number(df: DataFrame, col: str, skip: int = 0) -> Column:
-    """A double that never decreases as the column grows."""
+def _portable(df: DataFrame, col: str) -> Column:
+    """The column in a form that the driver hands back unchanged, whatever its time zone."""
     dtype = _type(df, col)
-    c = present(df, col)
+    if isinstance(dtype, T.TimestampType):
+        return F.unix_micros(F.col(col))
+    return F.col(col).cast("string") if isinstance(dtype, T.TimestampNTZType) else F.col(col)
+
+
+def _literal(value: Any, dtype: T.DataType) -> str:
+    """A value read from a :func:`_portable` column, as SQL of the column's type."""
+    if isinstance(dtype, T.TimestampType):
+        return f"timestamp_micros({value})"
+    if isinstance(value, str):
+        text = "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    elif isinstance(value, float):
+        text = f"{value!r}D" if math.isfinite(value) else f"double('{value}')"
+    elif isinstance(value, (int, Decimal)):
+        text = str(value)
+    else:
+        text = f"'{value}'"
+    return f"CAST({text} AS {dtype.simpleString()})"
+
+
+def _plain(df: DataFrame, col: str) -> Column:
+    """The column as a number, text or truth value that compares as the column does, in any time zone."""
+    dtype, c = _type(df, col), F.col(col)
     if isinstance(dtype, T.DateType):
-        return F.unix_date(c).cast("double")
+        return F.unix_date(c)
     if isinstance(dtype, T.TimestampType):
-        return F.unix_micros(c).cast("double")
+        return F.unix_micros(c)
     if isinstance(dtype, T.TimestampNTZType):
         # Micros of the wall clock itself: no time zone has a say in the order.
-        day = F.unix_date(c.cast("date")).cast("double") * F.lit(86_400e6)
-        return day + F.hour(c) * F.lit(3_600e6) + F.minute(c) * F.lit(60e6) + F.extract(F.lit("SECOND"), c).cast("double") * F.lit(1e6)
-    if isinstance(dtype, T.StringType):
-        # Six bytes after the prefix that all values share, as a number: byte order is string order.
-        raw = F.hex(F.substring(F.encode(c, "UTF-8"), skip + 1, 6))
-        return F.conv(F.rpad(raw, 12, "0"), 16, 10).cast("double")
-    number = c.cast("double") + F.lit(0.0)  # -0.0 and 0.0 are one value
-    if isinstance(dtype, (T.FloatType, T.DoubleType)):
-        # Halved, so that infinities get finite numbers beyond all others and are values like any other.
-        half = number / F.lit(2.0)
-        return F.when(number == math.inf, BEYOND).when(number == -math.inf, -BEYOND).otherwise(half)
-    return number
+        clock = F.hour(c) * F.lit(3600) + F.minute(c) * F.lit(60) + F.extract(F.lit("SECOND"), c)
+        return F.unix_date(c.cast("date")).cast("bigint") * F.lit(86_400_000_000) + (clock * 1_000_000).cast("bigint")
+    return F.hex(c) if isinstance(dtype, T.BinaryType) else c
+
+
+def _row(df: DataFrame, cols: Sequence[str]) -> Column:
+    """The columns as one value that compares as the rows are ordered; the first one's NaN is NULL."""
+    held = lambda i, c: F.when((F.col(c) if i else present(df, c)).isNotNull(), _plain(df, c))
+    return F.struct(*[held(i, c).alias(f"c{i}") for i, c in enumerate(cols)])
 
 
-def _shared_prefix(low: str | None, high: str | None) -> int:
-    a, b = (low or "").encode(), (high or "").encode()
-    n = 0
-    while n < min(len(a), len(b)) and a[n] == b[n]:
-        n += 1
-    return n
+def _constant(values: Sequence, kind: T.DataType) -> Column:
+    """A constant array; as one piece of text, which is planned faster than thousands of literals."""
+    text = json.dumps(values, default=str)
+    return F.from_json(F.lit(text), T.ArrayType(kind), {"mode": "FAILFAST"})
 
 
-def default_buckets(df: DataFrame) -> int:
-    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return max(16, 4 * tasks)
+def _rows_of(points: Sequence[tuple]) -> list[dict]:
+    return [{f"c{i}": v for i, v in enumerate(p)} for p in points]
+
+
+def count_reached(df: DataFrame, cols: Sequence[str], points: Sequence[tuple], out: str, strict: bool = False) -> DataFrame:
+    """Add the number of ``points`` at or below each row (with ``strict``: below it).
+
+    The points, in order and in the form of :func:`_plain`, are one constant array; a chain of columns
+    halves the range that is left, so a row takes as many comparisons as the count has bits.
+    """
+    work = df.withColumn("__row", _row(df, cols)).withColumn(out, F.lit(0))
+    array = _constant(_rows_of(points), work.schema["__row"].dataType)
+    for bit in reversed(range(len(points).bit_length())):
+        at = F.get(array, F.col(out) + (2**bit - 1))
+        reached = at < F.col("__row") if strict else at <= F.col("__row")
+        work = work.withColumn(out, F.col(out) + F.when(reached, 2**bit).otherwise(0))
+    # A filter on the number must not be moved below the chain, where each link would be written out
+    # twice for every one above it: the term that adds nothing keeps it here.
+    return work.withColumn(out, F.col(out) + F.spark_partition_id() * 0).drop("__row")
+
+
+def _sampled(df: DataFrame, cols: Sequence[str], share: float, most: int) -> list[tuple]:
+    """About ``share`` of the rows, in order and in the form of :func:`_plain`, chosen by their hash."""
+    inside = df.select(*dict.fromkeys(cols))
+    if share < 1:
+        inside = inside.where(F.pmod(F.xxhash64(*dict.fromkeys(cols)), F.lit(1 << 40)) < F.lit(int(share * (1 << 40))))
+    found = inside.select(_row(df, cols).alias("at")).distinct().limit(most + 1).agg(F.sort_array(F.collect_list("at")).alias("rows")).first()["rows"]
+    if len(found) > most:
+        raise RuntimeError(f"a sample of {cols} holds more than {most} rows")
+    return [tuple(r) for r in found]
 
 
 @dataclass(frozen=True)
 class RangeBuckets:
-    """Range splits of a dataset, held as literals."""
+    """Range splits of a dataset, held as literals: rows from one point on and before the next are a bucket."""
 
     n: int  # rows that have a score
     score: str
     key: str | None
-    score_splits: tuple[float, ...]
-    heavy: tuple[int, ...]
-    key_splits: tuple[float, ...]
-    key_skip: int
+    points: tuple[tuple[Any, ...], ...]  # of (score, key) or (score,), ascending
+    sizes: tuple[int, ...] = ()  # rows of the buckets, once counted
 
     @staticmethod
     def fit(df: DataFrame, score: str, key: str | None = None, buckets: int | None = None) -> "RangeBuckets":
-        """One pass over two columns; the driver receives two short arrays."""
-        parts = buckets or default_buckets(df)
-        at = [i / parts for i in range(1, parts)]
-        skip = 0
-        if key is not None and isinstance(_type(df, key), T.StringType):
-            skip = _shared_prefix(*df.agg(F.min(key), F.max(key)).first())
-        s = _number(df, score)
-        shares = F.array(*[F.lit(x) for x in at])
-
-        def sketched(x: Column) -> Column:
-            # A sketch of no rows has no quantiles to give.
-            sketch = F.kll_sketch_agg_double(x, SKETCH_SIZE)
-            return F.when(F.count(x) > 0, F.kll_sketch_get_quantile_double(sketch, shares))
-
-        aggs = [F.count(s).alias("n"), F.max(F.abs(s)).alias("top"), sketched(s).alias("s")]
-        if key is not None:
-            aggs.append(sketched(_number(df, key, skip)).alias("k"))
-        row = df.agg(*aggs).first()
-        found = list(row["s"] or [])
-        kind = _type(df, score)
-        whole = not isinstance(kind, (T.FloatType, T.DoubleType, T.DecimalType))
-        exact = _exact(kind) and not (whole and (row["top"] or 0) > EXACT_DOUBLE)
-        hits: dict[float, int] = {}
-        for v in found:
-            hits[v] = hits.get(v, 0) + 1
-        heavy_values = [v for v, h in hits.items() if exact and h >= HEAVY_HITS]
-        points = {v for v in found if math.isfinite(v)}
-        points |= {math.nextafter(v, math.inf) for v in heavy_values if math.isfinite(v)}
-        splits = (-math.inf, *(sorted(points) or [0.0]), math.inf)  # two buckets at least
-        heavy = tuple(splits.index(v) for v in heavy_values if math.isfinite(v))
-        keys = sorted({v for v in (row["k"] if key is not None else None) or [] if math.isfinite(v)})
-        return RangeBuckets(row["n"], score, key, splits, heavy, (-math.inf, *keys, math.inf), skip)
+        """Two passes over the columns: the number of rows, and a sample of them.
+
+        Without a key the splits balance the distinct scores. The driver gets some SAMPLE rows a bucket.
+        """
+        cols = [score] if key is None else [score, key]
+        slim = df.select(*dict.fromkeys(cols)).where(present(df, score).isNotNull())
+        rows, values = slim.agg(F.count(F.lit(1)), F.approx_count_distinct(present(df, score)) if key is None else F.lit(0)).first()
+        spread = values if key is None else rows
+        parts = buckets or min(MOST_BUCKETS, max(LEAST_BUCKETS, -(-spread // BUCKET_ROWS)))
+        wanted = SAMPLE * parts
+        found = _sampled(slim, cols, wanted / max(1, spread), 4 * wanted + 100)
+        return RangeBuckets(rows, score, key, _even(found, parts))
 
     @staticmethod
     def uniform(score: str, key: str, top: int, parts: int = CUT_BUCKETS) -> "RangeBuckets":
-        """Splits of a score known to be spread evenly over 0..top, such as a hash: no pass needed."""
-        inner = [top / parts * i for i in range(1, parts)]
-        return RangeBuckets(0, score, key, (-math.inf, *inner, math.inf), (), (-math.inf, math.inf), 0)
+        """Splits of a whole-numbered score known to be spread evenly over 0..top, such as a hash: no pass needed."""
+        return RangeBuckets(0, score, key, tuple((top * i // parts, None) for i in range(1, parts)))
+
+    def counted(self, df: DataFrame) -> "RangeBuckets":
+        """With the sizes of the buckets; a bucket of over four times BUCKET_ROWS is split again first."""
+        slim = df.select(*dict.fromkeys((self.score, self.key)))
+        now, most = self, 4 * BUCKET_ROWS
+        while True:
+            found = {r["__bucket"]: r["count"] for r in now.assign(slim).groupBy("__bucket").count().collect()}
+            sizes = tuple(found.get(i, 0) for i in range(len(now.points) + 1))
+            full = [i for i, size in enumerate(sizes) if size > most]
+            room = MOST_BUCKETS - len(sizes)
+            now = replace(now, n=sum(sizes), sizes=sizes)
+            if not full or room <= 0:
+                return now
+            rows = sum(sizes[i] for i in full)
+            parts = min(room, -(-rows // BUCKET_ROWS))
+            inside = now.assign(slim).where(F.col("__bucket").isin(full)).drop("__bucket")
+            more = _sampled(inside, [self.score, self.key], SAMPLE * parts / rows, 4 * SAMPLE * parts + 100)
+            points = now.merged(inside, _even(more, parts))
+            if len(points) == len(now.points):
+                return now  # nothing but equal rows: numbering them will say so
+            now = replace(now, points=points)
+
+    def merged(self, df: DataFrame, more: Sequence[tuple]) -> tuple[tuple, ...]:
+        """The points and more of them, in order (which only Spark knows for every type)."""
+        every = list(dict.fromkeys([*self.points, *more]))
+        kind = df.select(_row(df, [self.score, self.key]).alias("at")).schema["at"].dataType
+        pairs = _constant([{"at": a, "i": i} for i, a in enumerate(_rows_of(every))], T.StructType([T.StructField("at", kind), T.StructField("i", T.IntegerType())]))
+        order = df.sparkSession.range(1).select(F.sort_array(pairs)["i"].alias("i")).first()["i"]
+        return tuple(every[i] for i in order)
 
     @property
-    def width(self) -> int:
-        return len(self.key_splits)
+    def heavy(self) -> tuple[Any, ...]:
+        """Scores that fill a bucket, or share it with the next."""
+        scores = [p[0] for p in self.points]
+        return tuple(dict.fromkeys(a for a, b in zip(scores, scores[1:]) if a == b))
 
     def assign(self, df: DataFrame, out: str = "__bucket") -> DataFrame:
-        """Add the bucket number; it is negative, and spread by key, where there is no score."""
-        work = df.withColumn("__s", F.coalesce(_number(df, self.score), F.lit(0.0)))
-        names, splits = ["__s"], [list(self.score_splits)]
-        if self.key is not None and len(self.key_splits) > 2:
-            work = work.withColumn("__k", F.coalesce(_number(df, self.key, self.key_skip), F.lit(0.0)))
-            names.append("__k")
-            splits.append(list(self.key_splits))
-        outs = [f"{n}b" for n in names]
-        work = Bucketizer(splitsArray=splits, inputCols=names, outputCols=outs).transform(work)
-        sb = F.col("__sb").cast("bigint")
-        kb = F.col("__kb").cast("bigint") if "__k" in names else F.lit(0).cast("bigint")
-        inner = F.when(sb.isin(list(self.heavy)), kb).otherwise(F.lit(0)) if self.heavy else F.lit(0)
-        number = sb * F.lit(self.width) + inner
-        bucket = F.when(present(df, self.score).isNull(), -1 - kb).otherwise(number)
-        return work.withColumn(out, bucket.cast("bigint")).drop(*names, *outs)
+        """Add the bucket number; it is negative, and spread, where there is no score."""
+        cols = [self.score] if self.key is None else [self.score, self.key]
+        spread = F.pmod(F.xxhash64(cols[-1]), F.lit(SPREAD)).cast("int")
+        placed = count_reached(df, cols, self.points, out)
+        return placed.withColumn(out, F.when(present(df, self.score).isNull(), -1 - spread).otherwise(F.col(out)).cast("bigint"))
 
+    def before(self) -> list[int]:
+        """Rows before each bucket."""
+        return [0, *_running(self.sizes)][: len(self.sizes)]
 
-def _portable(df: DataFrame, col: str) -> Column:
-    """The column in a form that the driver hands back unchanged, whatever its time zone."""
-    dtype = _type(df, col)
-    if isinstance(dtype, T.TimestampType):
-        return F.unix_micros(F.col(col))
-    return F.col(col).cast("string") if isinstance(dtype, T.TimestampNTZType) else F.col(col)
 
+def _running(sizes: Sequence[int]) -> list[int]:
+    out, total = [], 0
+    for size in sizes:
+        total += size
+        out.append(total)
+    return out
 
-def _literal(value: Any, dtype: T.DataType) -> str:
-    """A value read from a :func:`_portable` column, as SQL of the column's type."""
-    if isinstance(dtype, T.TimestampType):
-        return f"timestamp_micros({value})"
-    if isinstance(value, str):
-        text = "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
-    elif isinstance(value, float):
-        text = f"{value!r}D" if math.isfinite(value) else f"double('{value}')"
-    elif isinstance(value, (int, Decimal)):
-        text = str(value)
-    else:
-        text = f"'{value}'"
-    return f"CAST({text} AS {dtype.simpleString()})"
+
+def _even(found: Sequence[tuple], parts: int) -> tuple[tuple, ...]:
+    """``parts`` - 1 of the rows found, at even distances."""
+    at = sorted({i * len(found) // parts for i in range(1, parts)}) if found else []
+    return tuple(dict.fromkeys(found[i] for i in at))
+
+
+def _looked_up(values: Sequence[int], at: Column) -> Column:
+    """The value at a bucket's number, from a constant array; NULL for negative numbers."""
+    return F.get(_constant(list(values), T.LongType()), at.cast("int"))
 
 
 @dataclass(frozen=True)
 class RankCuts:
-    """Rows found at given ranks: ``rows[rank] = (score, key)``, in :func:`_portable` form.
+    """Rows found at given ranks: ``rows[rank] = (score, key)``, in :func:`_portable` form; ``plain`` has them in :func:`_plain` form.
 
     Comparisons are built as SQL text: a chain of them is one expression to hand over, not hundreds.
     """
@@ -203,6 +241,7 @@ class RankCuts:
     score: str
     key: str
     rows: dict[int, tuple[Any, Any]]
+    plain: dict[int, tuple[Any, Any]]
 
     def above_sql(self, df: DataFrame, rank: int) -> str:
         """SQL that holds for rows with a score that are ranked after ``rank``.
@@ -247,8 +286,8 @@ def rank_cuts(
 ) -> RankCuts:
     """Exact rows at ``ranks(n)`` in the ascending order of (score, key).
 
-    Narrow passes: sketch, bucket counts, and a sort of the buckets that hold a rank. A bucket with
-    more than CUT_ROWS rows is sketched and counted again by itself, so what one task sorts does not
+    Narrow passes: count, sample, bucket counts, and a sort of the buckets that hold a rank. A bucket with
+    more than CUT_ROWS rows is split and counted again by itself, so what one task sorts does not
     grow with the input. The row of the highest rank is only looked for with ``last``. Each pass returns a bounded number of rows to the driver.
     """
     slim = df.select(*dict.fromkeys((score, key)))
@@ -261,7 +300,9 @@ def rank_cuts(
     n = sum(sizes.values())
     wanted = sorted({r for r in ranks(n) if 0 < r < n + last})
     if not wanted:
-        return RankCuts(n, score, key, {})
+        return RankCuts(n, score, key, {}, {})
+    if not known and not b.points and n > CUT_ROWS:
+        raise ValueError(f"{key} must be unique to break ties of {score}: {n} rows are the same")
     place: list[tuple[int, int, int]] = []
     done, todo = 0, iter(wanted)
     rank = next(todo, None)
@@ -271,63 +312,61 @@ def rank_cuts(
             rank = next(todo, None)
         done += size
     found = {}
-    for bucket in sorted({p[1] for p in place if CUT_ROWS < sizes[p[1]] < n}):
+    for bucket in sorted({p[1] for p in place if sizes[p[1]] > CUT_ROWS}):
         positions = [pos for _, at, pos in place if at == bucket]
-        again = rank_cuts(tagged.where(F.col("__bucket") == bucket).select(*slim.columns), score, key, lambda _, p=positions: p, last=True)
-        found |= {(bucket, pos): again.rows[pos] for pos in positions if pos in again.rows}
-    rest = {p[1] for p in place if (p[1], p[2]) not in found}
-    inside = tagged.where(F.col("__bucket").isin(sorted(rest)))
-    w = Window.partitionBy("__bucket").orderBy(score, key)
+        inside = tagged.where(F.col("__bucket") == bucket).select(*slim.columns)
+        again = rank_cuts(inside, score, key, lambda _, p=positions: p, last=True)
+        found |= {(bucket, pos): (again.rows[pos], again.plain[pos]) for pos in positions}
     by_bucket: dict[int, list[int]] = {}
     for _, bucket, pos in place:
         if (bucket, pos) not in found:
             by_bucket.setdefault(bucket, []).append(pos)
-    if not by_bucket:
-        return RankCuts(n, score, key, {r: found[(bucket, pos)] for r, bucket, pos in place})
-    hit = F.expr(
-        " OR ".join(f"(__bucket = {b} AND __pos IN ({', '.join(map(str, ps))}))" for b, ps in by_bucket.items())
-    )
-    next_same = (F.lead(key).over(w) == F.col(key)) & (F.lead(score).over(w) == F.col(score))
-    placed = inside.withColumns({"__pos": F.row_number().over(w), "__twin": next_same})
-    placed = placed.where(hit).select("__bucket", "__pos", "__twin", _portable(df, score).alias("__at_s"), _portable(df, key).alias("__at_k"))
-    for r in placed.collect():
-        if r["__twin"]:
-            raise ValueError(f"{key} must be unique to break ties of {score}: {r['__at_k']!r} repeats")
-        found[r["__bucket"], r["__pos"]] = (r["__at_s"], r["__at_k"])
-    return RankCuts(n, score, key, {r: found[(bucket, pos)] for r, bucket, pos in place})
+    if by_bucket:
+        inside = tagged.where(F.col("__bucket").isin(sorted(by_bucket)))
+        w = Window.partitionBy("__bucket").orderBy(score, key)
+        hit = F.expr(
+            " OR ".join(f"(__bucket = {b} AND __pos IN ({', '.join(map(str, ps))}))" for b, ps in by_bucket.items())
+        )
+        # The row after a cut is checked with it, and so are all others of the sorted buckets.
+        placed = inside.withColumns({"__pos": F.row_number().over(w), "__twin": _twin(inside, score, key, w)})
+        placed = placed.where(hit | F.col("__twin")).select(
+            "__bucket", "__pos", "__twin", _portable(df, score).alias("__at_s"), _portable(df, key).alias("__at_k"), _row(df, [score, key]).alias("__at")
+        )
+        first = placed.limit(len(place) + 1) if len(place) < CUT_ROWS else placed
+        for r in first.collect():
+            if r["__twin"]:
+                raise ValueError(f"{key} must be unique to break ties of {score}: {r['__at_k']!r} repeats")
+            found[r["__bucket"], r["__pos"]] = ((r["__at_s"], r["__at_k"]), tuple(r["__at"]))
+    at = {r: found[(bucket, pos)] for r, bucket, pos in place}
+    return RankCuts(n, score, key, {r: x for r, (x, _) in at.items()}, {r: x for r, (_, x) in at.items()})
+
+
+def _twin(df: DataFrame, score: str, key: str, w: Any) -> Column:
+    """Whether the next row has the same score and key."""
+    row = F.struct(score, key)
+    return F.coalesce(F.lead(row).over(w) == row, F.lit(False))
 
 
 def global_rank(
     df: DataFrame, score: str, key: str, out: str = "rank", buckets: int | None = None
 ) -> DataFrame:
-    """Rank 1..n in the ascending order of (score, key), over the whole dataset."""
-    b = RangeBuckets.fit(df, score, key, buckets)
-    return rank_within(df, b, out)
-
-
-def _offsets(tagged: DataFrame) -> DataFrame:
-    """Rows before each bucket. One row per bucket, so the single-task window is small."""
-    w = Window.orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
-    counts = tagged.groupBy("__bucket").agg(F.count(F.lit(1)).alias("__n"))
-    ranked = F.when(F.col("__bucket") >= 0, F.col("__n"))  # rows without a score come first and count 0
-    before = F.coalesce(F.sum(ranked).over(w), F.lit(0))
-    return counts.select(
-        F.col("__bucket").alias("__ob"), F.when(F.col("__bucket") >= 0, before).alias("__before"), "__n"
-    )
+    """Rank 1..n in the ascending order of (score, key), over the whole dataset.
+
+    Two rows with the same score and key raise an error as the ranks are computed.
+    """
+    return rank_within(df, RangeBuckets.fit(df, score, key, buckets), out)
 
 
 def rank_within(df: DataFrame, b: RangeBuckets, out: str) -> DataFrame:
     """:func:`global_rank` with splits already found."""
-    tagged = b.assign(df)
-    offsets = _offsets(b.assign(df.select(*dict.fromkeys((b.score, b.key)))))
+    b = b if b.sizes else b.counted(df)
     w = Window.partitionBy("__bucket").orderBy(b.score, b.key)
-    # Bounded by the number of buckets, which the split literals fix.
-    return (
-        tagged.withColumn("__pos", F.row_number().over(w))
-        .join(F.broadcast(offsets), F.col("__bucket") == F.col("__ob"), "left")
-        .withColumn(out, (F.col("__before") + F.col("__pos")).cast("bigint"))
-        .drop("__bucket", "__pos", "__ob", "__before", "__n")
-    )
+    tagged = b.assign(df)
+    same = F.raise_error(F.concat(F.lit(f"{b.key} must be unique to break ties of {b.score}: "), F.col(b.key).cast("string"), F.lit(" repeats")))
+    place = tagged.withColumns({"__pos": F.row_number().over(w), "__twin": _twin(tagged, b.score, b.key, w)})
+    rank = _looked_up(b.before(), F.col("__bucket")) + F.col("__pos")
+    checked = F.when((F.col("__bucket") >= 0) & F.col("__twin"), same.cast("bigint")).otherwise(rank)
+    return place.withColumn(out, checked).drop("__bucket", "__pos", "__twin")
 
 
 def bin_edges(n: int, q: int) -> list[int]:
@@ -347,20 +386,16 @@ def bin_of_rank(rank: Column, n: int, q: int) -> Column:
 
 def bin_by_cuts(df: DataFrame, cuts: RankCuts, q: int, out: str = "bin") -> DataFrame:
     """Bin 1..q of each row by the last rows of the bins, found on these rows or on others."""
-    beyond = [f"CAST({cuts.above_sql(df, r)} AS BIGINT)" for r in bin_edges(cuts.n, q) if r < cuts.n]
-    number = " + ".join(["1L", *beyond])
-    return df.withColumn(out, F.expr(f"CASE WHEN {cuts.scored_sql(df)} THEN {number} END"))
+    ends = [cuts.plain[r] for r in bin_edges(cuts.n, q) if r < cuts.n]
+    placed = count_reached(df, [cuts.score, cuts.key], ends, "__ends", strict=True)
+    return placed.withColumn(out, F.when(F.expr(cuts.scored_sql(df)), F.col("__ends") + F.lit(1).cast("bigint"))).drop("__ends")
 
 
 def quantile_bin(
     df: DataFrame, score: str, key: str, q: int, out: str = "bin", buckets: int | None = None
 ) -> DataFrame:
     """Equal-frequency bin 1..q of each row's rank; NULL where there is no score."""
-    if q <= MAX_CUT_BINS:
-        return bin_by_cuts(df, rank_cuts(df, score, key, lambda n: bin_edges(n, q), buckets), q, out)
-    b = RangeBuckets.fit(df, score, key, buckets)
-    ranked = rank_within(df, b, "__rank")
-    return ranked.withColumn(out, bin_of_rank(F.col("__rank"), b.n, q)).drop("__rank")
+    return bin_by_cuts(df, rank_cuts(df, score, key, lambda n: bin_edges(n, q), buckets), q, out)
 
 
 def rank_edge_bin(
@@ -391,29 +426,30 @@ def first_rows(
 
 
 def average_rank(df: DataFrame, value: str, key: str, out: str, buckets: int | None = None) -> DataFrame:
-    """Rank of each value with ties given their mean rank.
+    """Rank of each value with ties given their mean rank; the key spreads the work and need not be unique.
 
-    A value that holds many rows has a bucket range of its own, and its mean rank follows from the
-    counts alone; its rows are spread by key. Other ties sit inside one bucket.
+    Values among the splits are counted by themselves: their mean rank follows from the counts alone,
+    however many rows they hold, and their rows are spread. All other values lie between two splits.
     """
     b = RangeBuckets.fit(df, value, key, buckets)
-    tagged = b.assign(df).withColumn("__sb", F.floor(F.col("__bucket") / b.width))
-    slim = b.assign(df.select(*dict.fromkeys((value, key))))
-    per_value = slim.groupBy(F.floor(F.col("__bucket") / b.width).alias("__ob")).agg(F.count(F.lit(1)).alias("__n"))
-    ranked = F.when(F.col("__ob") >= 0, F.col("__n"))
-    before = F.sum(ranked).over(Window.orderBy("__ob").rowsBetween(Window.unboundedPreceding, -1))
-    offsets = per_value.withColumn("__before", F.coalesce(before, F.lit(0)))
-    in_bucket = Window.partitionBy("__bucket").orderBy(value)
+    values = list(dict.fromkeys(p[:1] for p in b.points))
+
+    def classed(rows: DataFrame) -> DataFrame:
+        """Odd class: equal to a split's value. Even class: between two of them."""
+        most = count_reached(count_reached(rows, [value], values, "__most"), [value], values, "__least", strict=True)
+        return most.withColumn("__class", F.when(present(df, value).isNotNull(), F.col("__most") + F.col("__least"))).drop("__most", "__least")
+
+    found = {r["__class"]: r["count"] for r in classed(df.select(value)).groupBy("__class").count().collect()}
+    sizes = [found.get(i, 0) for i in range(2 * len(values) + 1)]
+    before = [0, *_running(sizes)][: len(sizes)]
+    own = F.col("__class") % 2 == 0
+    spread = -1 - F.pmod(F.xxhash64(key), F.lit(SPREAD)).cast("int")
+    tagged = classed(df).withColumn("__bucket", F.when(own, F.col("__class")).otherwise(spread))
     ties = Window.partitionBy("__bucket", value)
-    heavy = F.col("__sb").isin(list(b.heavy)) if b.heavy else F.lit(False)
-    light_rank = F.rank().over(in_bucket) + (F.count(F.lit(1)).over(ties) - 1) / F.lit(2.0)
-    rank = F.col("__before") + F.when(heavy, (F.col("__n") + 1) / F.lit(2.0)).otherwise(F.col("__light"))
-    return (
-        tagged.withColumn("__light", light_rank)
-        .join(F.broadcast(offsets), F.col("__sb") == F.col("__ob"), "left")
-        .withColumn(out, F.when(F.col("__bucket") >= 0, rank))
-        .drop("__bucket", "__sb", "__light", "__ob", "__n", "__before")
-    )
+    light = F.rank().over(Window.partitionBy("__bucket").orderBy(value)) + (F.count(F.lit(1)).over(ties) - 1) / F.lit(2.0)
+    heavy = (_looked_up(sizes, F.col("__class")) + 1) / F.lit(2.0)
+    rank = _looked_up(before, F.col("__class")) + F.when(own, F.col("__light")).otherwise(heavy)
+    return tagged.withColumn("__light", light).withColumn(out, rank).drop("__bucket", "__class", "__light")
 
 
 def running_sums(

@@ -20,7 +20,7 @@ from pyspark.storagelevel import StorageLevel
 
 from tidemark.functions.scalars import HASH_TOP, hash_order
 from tidemark.operators.datasets import train_test
-from tidemark.operators.ranking import RangeBuckets, default_buckets, rank_within
+from tidemark.operators.ranking import BUCKET_ROWS, LEAST_BUCKETS, MOST_BUCKETS, RangeBuckets, rank_within
 from tidemark.session import stored
 
 KINDS = ("classification", "regression")
@@ -204,7 +204,8 @@ def permuted_columns(df: DataFrame, key: str, cols: Sequence[str], seed: int, pr
     """
     rng = random.Random(seed)
     tagged = df.withColumn("__h", hash_order(F.col(key), seed))
-    b = RangeBuckets.uniform("__h", key, HASH_TOP, default_buckets(df))
+    parts = min(MOST_BUCKETS, max(LEAST_BUCKETS, -(-df.count() // BUCKET_ROWS)))
+    b = RangeBuckets.uniform("__h", key, HASH_TOP, parts)
     # Read by both sides of the join below; its file footers hold the number of rows.
     ranked = stored(rank_within(tagged, b, "__r").drop("__h"), "ranked")
     n = ranked.count()
