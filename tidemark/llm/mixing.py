@@ -175,7 +175,7 @@ def fitted_rates(rows: DataFrame, column: str = "mix", weights=WEIGHTS, budget:
     gram = np.zeros((n, n))
     for a, b in pairs:
         gram[a, b] = gram[b, a] = float(sums[f"g{a}{b}"]) / PARTS**2
-    inverse = np.linalg.pinv(gram, hermitian=True)
+    inverse = np.linalg.pinv(gram, rcond=1e-9, hermitian=True)
     shares = np.array(weights, float) / sum(weights)
     wanted = float(budget) if budget else sums[f"t{keep}"] / PARTS / shares[keep] if keep is not None and sums[f"t{keep}"] else total
     target = shares * wanted
@@ -211,10 +211,12 @@ def fitted_rates(rows: DataFrame, column: str = "mix", weights=WEIGHTS, budget:
         found = now.agg(
             *(F.sum(whole(F.col("t") * p[k]) * whole(F.col(c))).alias(f"{c}{k}") for c in "ry" for k in range(n)),
             F.sum(F.col("t") * (slope * F.col("old") / UNIT - F.least(F.lit(0.0), slope * most))).alias("gain"),
+            F.max(F.abs(F.col("r") - F.col("from"))).alias("moved"),
             F.sum((F.col("from") - F.col("r")).cast("double") * (F.col("r") - F.col("old")) * F.col("t")).alias("uphill"),
         ).first()
         miss, gap = (np.array([float(found[f"{c}{k}"]) for k in range(n)]) / (PARTS * UNIT) - target for c in "ry")
-        if found["gain"] <= SETTLED * (target @ inverse @ target):
+        # Where rates cannot be told apart in millionths, the gain may stay above its limit.
+        if found["gain"] <= SETTLED * (target @ inverse @ target) or found["moved"] <= 1:
             break
         if found["uphill"] > 0:  # momentum leads away from the targets: start it anew
             momentum, gap, anew = 1.0, miss, True
