@@ -504,6 +504,14 @@ def oracle_sql() -> dict[str, str]:
     noise = _hash("o_orderkey", "noise")
     o["fit_facts"] = f"""SELECT count(*) AS n_rows, count(*) AS n_sum_one, TRUE AS better_than_chance,
         CAST(count(*) FILTER ((o_totalprice > 250000 AND o_orderstatus <> 'P') OR (month(o_orderdate) = 12 AND {noise} > 2251799813685248)) AS BIGINT) AS n_positive FROM orders"""
+    o["saved_threshold_differences"] = "SELECT count(*) AS n_rows, CAST(0 AS BIGINT) AS n_different FROM orders"
+    # The largest, over all lower ends, of the least mean of the levels from there to any upper end.
+    o["isotonic_levels"] = f"""WITH g AS (
+        SELECT l_quantity AS level, sum(CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END)::DOUBLE AS y, count(*)::DOUBLE AS n FROM lineitem GROUP BY 1
+    ), c AS (SELECT *, sum(y) OVER (ORDER BY level) AS ys, sum(n) OVER (ORDER BY level) AS ns FROM g), least AS (
+        SELECT t.level, a.level AS low, min((b.ys - a.ys + a.y) / (b.ns - a.ns + a.n)) AS mean
+        FROM c t JOIN c a ON a.level <= t.level JOIN c b ON b.level >= t.level GROUP BY 1, 2
+    ) SELECT level, {_r("max(mean)", 9)} AS value FROM least GROUP BY 1"""
     o["model_roundtrip_differences"] = "SELECT count(*) AS n_rows, CAST(0 AS BIGINT) AS n_different FROM orders"
     o["batch_score_deciles"] = """WITH r AS (SELECT row_number() OVER () AS r, count(*) OVER () AS n FROM orders)
         SELECT CAST(greatest(1, ((r - 1) * 10 + n - 2) // (n - 1)) AS BIGINT) AS "DECIL", count(*) AS n FROM r GROUP BY 1"""

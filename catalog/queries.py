@@ -35,6 +35,7 @@ from tidemark.operators import (
     resampling,
     scoring,
     selection,
+    stages,
     target,
     training,
 )
@@ -704,6 +705,31 @@ def model_roundtrip_differences(spark, sf):
     return before.join(after, "id").agg(F.count("*").alias("n_rows"), F.count_if(F.col("before") != F.col("p1")).alias("n_different"))
 
 
+@query
+def saved_threshold_differences(spark, sf):
+    """Rows whose class from a saved, calibrated model is not what its threshold makes of its probability."""
+    from pyspark.ml import PipelineModel
+
+    prepared, rows = _prepared(spark, sf)
+    fit, own = datasets.train_test(rows, "id", 0.3, 7)
+    fitted = training.fit_model(fit, "classification", _TREES)
+    last = stages.fit_score_calibration(fitted.transform(own), "target", "isotonic", threshold=True)
+    uri = session.work_path(spark, "models")
+    sources.save_model(PipelineModel(stages=[*prepared.stages, fitted, last]), uri, "calibrated", "199808", RUN)
+    read = sources.load_model(uri, "calibrated", "199808", RUN)
+    out = read.transform(I.model_rows(spark, sf)).select("prediction", vector_to_array("probability")[1].alias("p1"))
+    told = metrics.apply_threshold(out, "p1", read.stages[-1].getOrDefault("threshold"), "told")
+    return told.agg(F.count("*").alias("n_rows"), F.count_if(F.col("told") != F.col("prediction")).alias("n_different"))
+
+
+@query
+def isotonic_levels(spark, sf):
+    """Returned lines by quantity, fitted by a function that never falls: its value at each quantity."""
+    rows = I.table(spark, sf, "lineitem").select(F.col("l_quantity").alias("level"), (F.col("l_returnflag") == "R").cast("int").alias("y"))
+    fitted = training.fit_calibration(rows, "level", "y", "isotonic")
+    return rounded(fitted.transform(rows.select("level").distinct(), "value"), 9, "value")
+
+
 @query
 def hyperparameter_search(spark, sf):
     _, rows = _prepared(spark, sf)

@@ -7,6 +7,7 @@ from datetime import date
 
 import numpy as np
 import pytest
+from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
@@ -257,9 +258,9 @@ def test_a_tuned_and_thresholded_model_is_chosen_loaded_and_its_scores_appended(
     base, models, target = (work_path(spark, x) for x in ("stages", "models", "scores"))
     trained = flows.train(spark, p, "199807", "r1", base, models)
     assert trained.trials.count() == 2
-    low = trained.model.stages[-1].getThresholds()[1]
+    low = trained.model.stages[-1].getOrDefault("threshold")
     rows = trained.model.transform(flows.build_training_set(spark, p, "199807")).select("prediction", vector_to_array("probability")[1].alias("p1"))
-    assert 0 < low < 1 and rows.where((F.col("p1") > low) != (F.col("prediction") == 1)).count() == 0
+    assert 0 < low < 1 and rows.where((F.col("p1") >= low) != (F.col("prediction") == 1)).count() == 0
     registry = spark.createDataFrame([(p.model_name, "r1", 60, date(1998, 7, 1))], "MODEL_NAME string, DT_TRAIN string, METRIC int, SAFRA date")
     table = flows.score_selected(spark, p, registry, None, models, "199807", "r2", base, target)
     assert spark.read.parquet(target).count() == table.count() > 0 and table.first()["DT_TRAIN"] == "r1"
@@ -292,3 +293,62 @@ def test_worker_functions_need_no_package(tmp_path):
     )
     out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, cwd="/", env={"PATH": "/usr/bin:/bin"})
     assert out.stdout.strip() == "3.0", out.stderr
+
+
+def pooled(rows):
+    """Adjacent violators of (score, y, w), one row at a time."""
+    blocks = []
+    for s, y, w in sorted(rows):
+        blocks.append([s, s, y * w, w])
+        while len(blocks) > 1 and blocks[-2][2] / blocks[-2][3] >= blocks[-1][2] / blocks[-1][3]:
+            _, high, y_, w_ = blocks.pop()
+            blocks[-1][1:] = [high, blocks[-1][2] + y_, blocks[-1][3] + w_]
+    return [(low, high, y / w, w) for low, high, y, w in blocks]
+
+
+@pytest.mark.parametrize("levels", [3, 400])
+def test_isotonic_blocks_equal_pooling_row_by_row(spark, monkeypatch, levels):
+    """Ranges of a few scores each, merged two at a time."""
+    from tidemark.operators import ranking, stages
+
+    monkeypatch.setattr(ranking, "BUCKET_ROWS", 5)
+    monkeypatch.setattr(stages, "MERGED", 2)
+    df = spark.range(3000).select((F.hash("id") % levels).cast("double").alias("s"), (F.rand(5) < 0.5 + (F.hash("id") % levels) / (3 * levels)).cast("int").alias("y")).persist()
+    got = sorted(tuple(r) for r in stages.isotonic_blocks(df, "s", F.col("y")).collect())
+    means = [(r.s, r.m, float(r.n)) for r in df.groupBy("s").agg(F.avg("y").alias("m"), F.count("*").alias("n")).collect()]
+    want = pooled(means)
+    assert [g[:2] for g in got] == [w[:2] for w in want]
+    assert all(abs(g[2] - w[2]) < 1e-9 and g[3] == w[3] for g, w in zip(got, want))
+
+
+@pytest.mark.parametrize("method", ["sigmoid", "isotonic"])
+def test_calibrated_model_is_saved_with_its_threshold(spark, sf, method):
+    p = replace(project(sf, "classification"), calibration=method, threshold=True)
+    base, models = work_path(spark, "stages"), work_path(spark, "models")
+    trained = flows.train(spark, p, "199807", "r1", base, models)
+    rows = flows.build_training_set(spark, p, "199807")
+    read = flows.PipelineModel.load(trained.path)
+    low = read.stages[-1].getOrDefault("threshold")
+    cols = (p.key, "prediction", vector_to_array("probability")[1].alias("p1"))
+    before, after = (sorted(tuple(r) for r in m.transform(rows).select(*cols).collect()) for m in (trained.model, read))
+    assert before == after and all((q >= low) == (c == 1.0) and 0 <= q <= 1 for _, c, q in after)
+    # The calibrated probability never falls as the model's own rises.
+    own = PipelineModel(stages=read.stages[:-1]).transform(rows).select(p.key, vector_to_array("probability")[1]).collect()
+    at = {k: q for k, _, q in after}
+    ordered = [at[k] for k, _ in sorted(map(tuple, own), key=lambda r: r[1])]
+    assert all(x <= y + 1e-12 for x, y in zip(ordered, ordered[1:]))
+
+
+def test_many_categories_are_encoded_and_saved_as_a_table(spark):
+    from tidemark.operators import prep
+
+    df = spark.range(60000).select(F.concat(F.lit("c'`"), (F.col("id") % 20000).cast("string")).alias("cat"), (F.col("id") % 7 == 0).cast("int").alias("target"), F.col("id").cast("double").alias("x"), F.col("id"))
+    model = prep.fit_prep(df, ["cat"], ["x"], "target", smoothing=2.0)
+    path = work_path(spark, "prep")
+    model.write().overwrite().save(path)
+    new = df.union(spark.createDataFrame([("new", 0, 1.0, -1), (None, 0, 2.0, -2)], df.schema))
+    got = {r.id: r.features for r in PipelineModel.load(path).transform(new).select("id", "features").collect()}
+    prior = df.agg(F.avg("target")).first()[0]
+    want = {r.c: r.e for r in df.groupBy("cat").agg(F.max(F.col("id") % 20000).alias("c"), ((F.sum("target") + 2.0 * prior) / (F.count("*") + 2.0)).alias("e")).collect()}
+    assert len(got) == 60002 and all(abs(got[i][0] - want[i % 20000]) < 1e-12 and got[i][1] == i for i in range(60000))
+    assert got[-1][0] == got[-2][0] == prior

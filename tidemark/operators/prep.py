@@ -10,8 +10,6 @@ from pyspark.ml.base import Estimator, Transformer
 from pyspark.ml.feature import (
     MinMaxScaler,
     SQLTransformer,
-    StringIndexer,
-    TargetEncoder,
     VarianceThresholdSelector,
     VectorAssembler,
 )
@@ -19,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.operators.stages import CategoryEncoder
 from tidemark.session import stored
 
 # Constants that stand for a missing value.
@@ -156,7 +155,7 @@ def prep_stages(
 ) -> Pipeline:
     """Impute, encode and assemble columns in a fixed order, as a Spark ML pipeline.
 
-    Categories are target-encoded with additive smoothing, everything else is cast to double.
+    Categories are target-encoded with additive smoothing by a stage that keeps them in a table, everything else is cast to double.
     ``extra`` takes further Spark ML stages over ``features``.
     """
     # Inner columns are numbered: the given names may hold any characters.
@@ -166,26 +165,13 @@ def prep_stages(
     stages: list = [SQLTransformer(statement=f"SELECT *, {', '.join(fill)} FROM __THIS__")]
     if cats:
         stages.append(
-            StringIndexer(
+            CategoryEncoder(
                 inputCols=[f"__c_{i}" for i in range(len(cats))],
-                outputCols=[f"__i_{i}" for i in range(len(cats))],
-                handleInvalid="keep",
-            )
-        )
-        stages.append(
-            TargetEncoder(
-                inputCols=[f"__i_{i}" for i in range(len(cats))],
-                outputCols=[f"__e_{i}" for i in range(len(cats))],
+                outputCols=[f"__x_{i}" for i in range(len(cats))],
                 labelCol=label,
-                targetType="continuous",
                 smoothing=smoothing,
-                handleInvalid="keep",
             )
         )
-        # The encoder's output keeps the indexer's metadata, and trees would take the encoded number for
-        # a category. A computed column has none.
-        plain = ", ".join(f"__e_{i} + 0.0D AS __x_{i}" for i in range(len(cats)))
-        stages.append(SQLTransformer(statement=f"SELECT *, {plain} FROM __THIS__"))
     assembled = features if not scale and sample_variance is None and not extra else "__assembled"
     stages.append(
         VectorAssembler(inputCols=[f"__x_{i}" for i in range(len(cats))] + [f"__n_{i}" for i in range(len(nums))], outputCol=assembled)

@@ -13,7 +13,7 @@ from pyspark.ml.base import Estimator
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, LogisticRegressionModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.regression import GBTRegressor, IsotonicRegression, IsotonicRegressionModel
+from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
@@ -21,6 +21,7 @@ from pyspark.storagelevel import StorageLevel
 from tidemark.functions.scalars import HASH_TOP, hash_order
 from tidemark.operators.datasets import train_test
 from tidemark.operators.ranking import BUCKET_ROWS, LEAST_BUCKETS, MOST_BUCKETS, RangeBuckets, rank_within
+from tidemark.operators.stages import ScoreCalibration, isotonic_blocks
 from tidemark.session import stored
 
 KINDS = ("classification", "regression")
@@ -153,7 +154,7 @@ class Calibration:
     """A fitted map from a score to a probability."""
 
     method: str
-    model: LogisticRegressionModel | IsotonicRegressionModel
+    model: LogisticRegressionModel | ScoreCalibration
     score: str
 
     def transform(self, df: DataFrame, out: str = "calibrated") -> DataFrame:
@@ -161,8 +162,8 @@ class Calibration:
             a, c = float(self.model.coefficients[0]), float(self.model.intercept)
             z = F.col(self.score).cast("double") * F.lit(a) + F.lit(c)
             return df.withColumn(out, 1 / (1 + F.exp(-z)))
-        ready = df.withColumn("__f", F.col(self.score).cast("double"))
-        return self.model.setPredictionCol(out).transform(ready).drop("__f")
+        ready, value = self.model.stepped(df.withColumn("__p", F.col(self.score).cast("double")))
+        return ready.withColumn(out, value).drop("__p")
 
 
 def fit_calibration(df: DataFrame, score: str, label: str, method: str = "sigmoid") -> Calibration:
@@ -170,7 +171,8 @@ def fit_calibration(df: DataFrame, score: str, label: str, method: str = "sigmoi
 
     ``sigmoid`` is Platt's method with its smoothed targets (N1+1)/(N1+2) and 1/(N0+2): each row
     counts for class 1 with its target as weight, and for class 0 with the rest.
-    ``isotonic`` fits a non-decreasing step function.
+    ``isotonic`` fits a non-decreasing function, range by range and up a tree: nothing ends on the driver
+    but the steps it takes in the end.
     Both start from counts per distinct score.
     """
     s = F.col(score).cast("double")
@@ -179,9 +181,10 @@ def fit_calibration(df: DataFrame, score: str, label: str, method: str = "sigmoi
         F.count_if(F.col(label) != 1).cast("double").alias("n"),
     )
     if method == "isotonic":
-        rows = groups.select("__f", (F.col("p") / (F.col("p") + F.col("n"))).alias("y"), (F.col("p") + F.col("n")).alias("w"))
-        fitted = IsotonicRegression(featuresCol="__f", labelCol="y", weightCol="w").fit(rows)
-        return Calibration(method, fitted, score)
+        stage = ScoreCalibration(method=method)
+        all_ = F.col("p") + F.col("n")
+        stage.table = isotonic_blocks(groups, "__f", F.col("p") / all_, all_)
+        return Calibration(method, stage, score)
     if method != "sigmoid":
         raise ValueError("method must be 'sigmoid' or 'isotonic'")
     ones, zeros = groups.agg(F.sum("p"), F.sum("n")).first()

@@ -32,7 +32,6 @@ from tidemark.operators.evaluation import eval_table_class, eval_table_regr, lif
 from tidemark.operators.metrics import (
     classification_report,
     confusion_bins,
-    optimal_threshold,
     regression_metrics,
     roc_auc,
     spearman,
@@ -40,6 +39,7 @@ from tidemark.operators.metrics import (
 from tidemark.operators.prep import fit_prep
 from tidemark.operators.registry import champion_decision, metric_percent, select_model
 from tidemark.operators.scoring import batch_score, latest_scores, score_table_class, score_table_regr
+from tidemark.operators.stages import fit_score_calibration
 from tidemark.operators.training import Metric, fit_model, mean_squared_error, search
 from tidemark.session import stored
 from tidemark.sources.datasets import append_rows, materialize
@@ -77,7 +77,9 @@ class Project:
     trials: int = 50
     tune_metric: Metric = mean_squared_error
     tune_direction: str = "minimize"
-    threshold: bool = False  # predict class 1 from the best threshold of the fitting part on
+    calibration: str = "none"  # or sigmoid, isotonic: of the stored model's probabilities
+    threshold: bool = False  # predict class 1 from the best threshold on
+    calibration_share: float = 0.2  # of the fitting part, held out for calibration and threshold
     edges: Sequence[float] = tuple(range(11))
     bin_on: str = "value"  # or rank: what the edges of a regression apply to
     seed: int = 42
@@ -135,16 +137,21 @@ def train(
 ) -> Trained:
     """Build the set once, fit preparation and model on one part, report on the other, save.
 
-    With ``space`` the parameters are searched first, on the fitting part alone. With ``threshold``
-    the stored model itself predicts class 1 for probabilities above the best threshold.
+    With ``space`` the parameters are searched first, on the fitting part alone. With ``calibration`` or
+    ``threshold`` the stored model ends in a stage that gives calibrated probabilities and predicts class 1
+    from the best threshold on; both are found on a share held out of the fit.
     """
     rows = _stage(spark, p, "train", month, base, policy, build_training_set)
     if p.balance:
         rows = undersample(rows, "target", p.key, p.seed)
     fit_rows, test_rows = train_test(rows, p.key, p.test_share, p.seed)
+    own_rows = None
+    if p.kind == "classification" and (p.threshold or p.calibration != "none"):
+        # Calibration and threshold see rows of their own: scores of fitted rows are too sure.
+        fit_rows, own_rows = train_test(fit_rows, p.key, p.calibration_share, p.seed + 1)
     prep = fit_prep(fit_rows, p.categories, p.numbers, "target", p.variance_threshold, scale=p.scale, extra=p.extra)
     prepared, params, trials = prep.transform(fit_rows), dict(p.model_params), None
-    if p.space or p.threshold:
+    if p.space:
         prepared = stored(prepared.select(p.key, "target", "features"), "prepared")
     if p.space:
         found = search(
@@ -152,13 +159,11 @@ def train(
         )
         params, trials = params | found.best_params, found.trials
     fitted: Model = fit_model(prepared, p.kind, params, unbalanced=p.unbalanced, make=p.make)
-    if p.threshold and p.kind == "classification":
-        seen = fitted.transform(prepared).select("target", vector_to_array("probability")[1].alias("p1"))
-        best = optimal_threshold(stored(seen, "probabilities"), "p1", "target").first()
-        if best is not None and 0 < best["threshold"] < 1:
-            # The likelier class after division by these; saved with the model.
-            fitted = fitted.setThresholds([1 - best["threshold"], best["threshold"]])
-    model = PipelineModel(stages=[*prep.stages, fitted])
+    last = []
+    if own_rows is not None:
+        seen = fitted.transform(prep.transform(own_rows).select("target", "features"))
+        last = [fit_score_calibration(seen, "target", p.calibration, p.threshold)]
+    model = PipelineModel(stages=[*prep.stages, fitted, *last])
     path = save_model(model, models, p.model_name, month, run)
     scored = model.transform(test_rows)
     if p.kind == "classification":
