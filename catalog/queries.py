@@ -732,12 +732,26 @@ def isotonic_levels(spark, sf):
 
 @query
 def hyperparameter_search(spark, sf):
+    """27 trials on a tenth of the rows, 9 of them on four tenths, 3 on all."""
+    return _searched(spark, sf, 27, (0.1, 0.4, 1.0), 10).trials
+
+
+def _searched(spark, sf, trials, rungs, rounds):
     _, rows = _prepared(spark, sf)
     space = {"stepSize": ("loguniform", 0.01, 0.3), "maxDepth": ("categorical", [2, 3, 4]), "minInstancesPerNode": ("int", 1, 50)}
-    found = training.search(
-        rows, "id", "classification", space, training.mean_squared_error, "minimize", 10, 42, params={"maxIter": 3, "seed": 1}
+    fixed = {"maxIter": rounds, "seed": 1}
+    return training.search(
+        rows, "id", "classification", space, training.mean_squared_error, "minimize", trials, 42, params=fixed, rungs=rungs, parallel=4
     )
-    return found.trials
+
+
+@query
+def search_facts(spark, sf):
+    """What must hold of any search: trials a rung, and one best, which none of the last rung beats."""
+    found = _searched(spark, sf, 9, (0.3, 1.0), 3)
+    last = F.col("rung") == 1
+    facts = found.trials.agg(F.count_if(~last).alias("n_first"), F.count_if(last).alias("n_last"), F.count_if("is_best").alias("n_best"), F.min(F.when(last, F.col("metric"))).alias("least"))
+    return facts.withColumn("best_is_least", F.col("least") == F.lit(found.best_metric)).drop("least")
 
 
 @query

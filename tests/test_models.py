@@ -150,6 +150,25 @@ def test_search_is_seeded_and_finds_its_best(prepared):
     assert min(t["metric"] for t in trials) == runs[0].best_metric and len(trials) == 2
 
 
+def test_trials_at_a_time_and_rungs_do_not_depend_on_timing(prepared):
+    space = {"maxDepth": ("categorical", [1, 2, 3]), "stepSize": ("loguniform", 0.05, 0.3)}
+    fixed = {"maxIter": 2, "seed": 3}
+    runs = [
+        training.search(prepared[1], "id", "regression", space, training.mean_absolute_error, "minimize", 6, 7, label="price", params=fixed, rungs=(0.3, 1.0), keep=0.5, parallel=n)
+        for n in (1, 3)
+    ]
+    one, three = ([tuple(r) for r in run.trials.collect()] for run in runs)
+    assert one == three and runs[0].best_params == runs[1].best_params
+    last = [r for r in one if r[1] == 1]
+    assert len(last) == 3 and [r[0] for r in last if r[3]] == [min(last, key=lambda r: (r[2], r[0]))[0]]
+    first = [r[2] for r in one if r[1] == 0]
+    assert len(first) == 3
+    stopped = training.search(prepared[1], "id", "regression", space, training.mean_absolute_error, "minimize", 1, 7, label="price", params=fixed, early_stop=True)
+    assert stopped.best_metric > 0
+    with pytest.raises(ValueError):
+        training.search(prepared[1], "id", "regression", space, rungs=(0.5,))
+
+
 def test_draws_stay_in_their_spaces():
     rng = random.Random(0)
     space = {"a": ("loguniform", 0.01, 5), "b": ("uniform", 0.4, 1), "c": ("int", 8, 80), "d": ("categorical", [2, 3])}

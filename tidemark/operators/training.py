@@ -5,9 +5,11 @@ from __future__ import annotations
 import math
 import random
 from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from typing import Any
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Model
 from pyspark.ml.base import Estimator
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, LogisticRegressionModel
@@ -121,32 +123,61 @@ def search(
     holdout: float = 0.2,
     params: Mapping[str, Any] | None = None,
     make: Callable[..., Estimator] | None = None,
+    rungs: Sequence[float] = (1.0,),
+    keep: float = 1 / 3,
+    parallel: int = 1,
+    early_stop: bool = False,
 ) -> SearchResult:
-    """Seeded random search; every trial is fitted and measured by Spark on one cached split."""
+    """Seeded random search; every trial is fitted and measured by Spark on one cached split.
+
+    ``rungs`` are the shares of the training rows that trials are fitted on, one after another: from each
+    rung the best ``keep`` of the trials go on to the next, and only trials of the last can be best.
+    ``parallel`` trials run at a time; on a session with ``spark.scheduler.mode=FAIR`` they share the
+    executors evenly. Which trials go on, and the result, do not depend on when they end: points are drawn
+    beforehand, a rung is over when all its trials are, and equal metrics go by number of trial.
+    ``early_stop`` also shows the held-out rows to learners that stop by them (``validationIndicatorCol``).
+    """
     if direction not in ("minimize", "maximize"):
         raise ValueError("direction must be 'minimize' or 'maximize'")
+    if not rungs or list(rungs) != sorted(rungs) or not 0 < rungs[0] or rungs[-1] != 1.0:
+        raise ValueError("rungs must rise to 1.0")
     slim = df.select(key, label, features)
     train, test = (side.persist(StorageLevel.MEMORY_AND_DISK) for side in train_test(slim, key, holdout, seed))
     rng = random.Random(seed)
-    rows: list[tuple[int, dict[str, Any], float]] = []
+    drawn = [draw_params(space, rng) for _ in range(n_trials)]
+    sign = 1 if direction == "minimize" else -1
+    measured: dict[int, tuple[int, float]] = {}
+
+    def fitted_on(share: float, trial: int) -> float:
+        rows = train if share == 1.0 else train.where(hash_order(F.col(key), f"rung-{seed}") < int(share * HASH_TOP))
+        point = {**(params or {}), **drawn[trial]}
+        if early_stop:
+            rows = rows.withColumn("__held", F.lit(False)).unionByName(test.withColumn("__held", F.lit(True)))
+            point["validationIndicatorCol"] = "__held"
+        model = fit_model(rows, kind, point, label, features, make=make)
+        value = model.transform(test).agg(metric(F.col(label).cast("double"), prediction_column(kind)).alias("m")).first()["m"]
+        return float(value) if value is not None else math.nan
+
+    place = lambda t: (math.isnan(measured[t][1]), sign * measured[t][1], t)
+    running = list(range(n_trials))
+    session = df.sparkSession
     try:
-        for trial in range(n_trials):
-            drawn = draw_params(space, rng)
-            model = fit_model(train, kind, {**(params or {}), **drawn}, label, features, make=make)
-            value = (
-                model.transform(test)
-                .agg(metric(F.col(label).cast("double"), prediction_column(kind)).alias("m"))
-                .first()["m"]
-            )
-            rows.append((trial, drawn, float(value)))
+        with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
+            for rung, share in enumerate(rungs):
+                run = inheritable_thread_target(session)(lambda t, share=share: fitted_on(share, t))
+                for t, value in zip(running, pool.map(run, running)):
+                    measured[t] = (rung, value)
+                running.sort(key=place)
+                if rung + 1 < len(rungs):
+                    running = sorted(running[: max(1, math.ceil(len(running) * keep))])
     finally:
         train.unpersist()
         test.unpersist()
-    _, best_params, best_value = (min if direction == "minimize" else max)(rows, key=lambda r: r[2])
+    best = running[0]
     names = sorted(space)
-    table = [(t, m, m == best_value, *[str(p[n]) for n in names]) for t, p, m in rows]
-    schema = "trial int, metric double, is_best boolean" + "".join(f", `{n}` string" for n in names)
-    return SearchResult(df.sparkSession.createDataFrame(table, schema), best_params, best_value)
+    table = [(t, measured[t][0], measured[t][1], t == best, *[str(drawn[t][n]) for n in names]) for t in range(n_trials)]
+    schema = "trial int, rung int, metric double, is_best boolean" + "".join(f", `{n}` string" for n in names)
+    return SearchResult(session.createDataFrame(table, schema), drawn[best], measured[best][1])
 
 
 @dataclass(frozen=True)

@@ -77,6 +77,8 @@ class Project:
     trials: int = 50
     tune_metric: Metric = mean_squared_error
     tune_direction: str = "minimize"
+    rungs: Sequence[float] = (1.0,)  # shares of the rows that trials are fitted on, the best going on
+    parallel_trials: int = 1
     calibration: str = "none"  # or sigmoid, isotonic: of the stored model's probabilities
     threshold: bool = False  # predict class 1 from the best threshold on
     calibration_share: float = 0.2  # of the fitting part, held out for calibration and threshold
@@ -155,7 +157,7 @@ def train(
         prepared = stored(prepared.select(p.key, "target", "features"), "prepared")
     if p.space:
         found = search(
-            prepared, p.key, p.kind, p.space, p.tune_metric, p.tune_direction, p.trials, p.seed, params=params, make=p.make
+            prepared, p.key, p.kind, p.space, p.tune_metric, p.tune_direction, p.trials, p.seed, params=params, make=p.make, rungs=p.rungs, parallel=p.parallel_trials
         )
         params, trials = params | found.best_params, found.trials
     fitted: Model = fit_model(prepared, p.kind, params, unbalanced=p.unbalanced, make=p.make)
