@@ -504,6 +504,7 @@ def oracle_sql() -> dict[str, str]:
     noise = _hash("o_orderkey", "noise")
     o["fit_facts"] = f"""SELECT count(*) AS n_rows, count(*) AS n_sum_one, TRUE AS better_than_chance,
         CAST(count(*) FILTER ((o_totalprice > 250000 AND o_orderstatus <> 'P') OR (month(o_orderdate) = 12 AND {noise} > 2251799813685248)) AS BIGINT) AS n_positive FROM orders"""
+    o["append_runs"] = "SELECT 'run-' || o_orderstatus AS append_run, o_orderkey, o_orderpriority, o_totalprice FROM orders WHERE o_orderstatus IN ('F', 'O', 'P')"
     o["search_facts"] = "SELECT CAST(6 AS BIGINT) AS n_first, CAST(3 AS BIGINT) AS n_last, CAST(1 AS BIGINT) AS n_best, TRUE AS best_is_least"
     o["saved_threshold_differences"] = "SELECT count(*) AS n_rows, CAST(0 AS BIGINT) AS n_different FROM orders"
     # The largest, over all lower ends, of the least mean of the levels from there to any upper end.

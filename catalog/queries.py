@@ -113,6 +113,17 @@ def append_roundtrip(spark, sf):
     return sources.read_rows(spark, path, orders.select(*columns).schema, "csv")
 
 
+@query
+def append_runs(spark, sf):
+    """Appends keyed by run: one of them is tried again, and its rows are there once."""
+    path = session.work_path(spark, "append")
+    orders = I.table(spark, sf, "orders")
+    columns = ["o_orderkey", "o_orderpriority", "o_totalprice"]
+    for status in ("F", "O", "P", "O"):
+        sources.append_run(orders.where(F.col("o_orderstatus") == status), path, columns, f"run-{status}")
+    return spark.read.parquet(path).select("append_run", *columns)
+
+
 # --- projections and filters -----------------------------------------------------------------
 
 

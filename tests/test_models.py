@@ -263,13 +263,18 @@ def test_the_three_flows(spark, sf, kind):
     scores = flows.score(spark, p, trained.model, "199807", "r2", "r1", base)
     first = scores.first()
     assert first["SAFRA"] == date(1998, 8, 1) and first["DT_TRAIN"] == "r1"
-    table = flows.evaluate(spark, p, scores, "199807", "r3", base)
+    stored_at = work_path(spark, "evaluations")
+    for _ in range(2):
+        table = flows.evaluate(spark, p, scores, "199807", "r3", base, target=stored_at)
     result = table.collect()
+    assert spark.read.parquet(stored_at).drop("append_run").exceptAll(table).isEmpty() and spark.read.parquet(stored_at).count() == len(result)
     assert result and all(r["DT_TRAIN"] == "r1" and r["SAFRA"] == date(1998, 8, 1) for r in result)
     if kind == "classification":
         assert len(result) == 10 and sum(r["PUBLICO"] for r in result) == scores.count()
         champions = spark.createDataFrame([], "MODEL_NAME string, DT_TRAIN string, METRIC int, SAFRA date")
-        assert flows.challenge(p, champions, trained.metric, "199807", "r1").first()["accepted"]
+        named = work_path(spark, "champions")
+        assert flows.challenge(p, champions, trained.metric, "199807", "r1", target=named).first()["accepted"]
+        assert [r["DT_TRAIN"] for r in spark.read.parquet(named).collect()] == ["r1"]
 
 
 def test_a_tuned_and_thresholded_model_is_chosen_loaded_and_its_scores_appended(spark, sf):
@@ -371,3 +376,23 @@ def test_many_categories_are_encoded_and_saved_as_a_table(spark):
     want = {r.c: r.e for r in df.groupBy("cat").agg(F.max(F.col("id") % 20000).alias("c"), ((F.sum("target") + 2.0 * prior) / (F.count("*") + 2.0)).alias("e")).collect()}
     assert len(got) == 60002 and all(abs(got[i][0] - want[i % 20000]) < 1e-12 and got[i][1] == i for i in range(60000))
     assert got[-1][0] == got[-2][0] == prior
+
+
+def test_work_scopes_remove_what_was_stored_also_after_an_error(spark, sf):
+    import os
+
+    from tidemark import session
+    from tidemark.sources.datasets import materialize
+
+    folder = f"{session.checkpoint_dir(spark)}/tidemark"
+    before = set(os.listdir(folder)) if os.path.isdir(folder) else set()
+    cached = spark.sparkContext._jsc.getPersistentRDDs().size()
+    with pytest.raises(ZeroDivisionError), session.work_scope(spark):
+        held = materialize(lambda: spark.range(50).toDF("id"), spark, "", "199807", "while_execution")
+        assert session.stored(held, "inner").count() == 50 and spark.sparkContext._jsc.getPersistentRDDs().size() == cached + 1
+        with session.work_scope(spark):
+            training.fit_calibration(spark.range(40).select((F.col("id") % 7).cast("double").alias("s"), (F.col("id") % 2).alias("y")), "s", "y", "isotonic")
+            assert len(set(os.listdir(folder)) - before) > 1
+        assert len(set(os.listdir(folder)) - before) == 1
+        raise ZeroDivisionError
+    assert set(os.listdir(folder)) == before and spark.sparkContext._jsc.getPersistentRDDs().size() == cached

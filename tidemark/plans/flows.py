@@ -42,7 +42,7 @@ from tidemark.operators.scoring import batch_score, latest_scores, score_table_c
 from tidemark.operators.stages import fit_score_calibration
 from tidemark.operators.training import Metric, fit_model, mean_squared_error, search
 from tidemark.session import stored
-from tidemark.sources.datasets import append_rows, materialize
+from tidemark.sources.datasets import append_run, materialize
 from tidemark.sources.models import load_model, save_model
 
 TableFor = Callable[[SparkSession, str], DataFrame]
@@ -179,15 +179,21 @@ def train(
     return Trained(model, report, metric, reduce(DataFrame.unionByName, facts), path, trials)
 
 
-def challenge(p: Project, champions: DataFrame, metric: DataFrame, month: str, run: str, tolerance: float = 0) -> DataFrame:
-    """The champion decision for a run whose metric is a one-row table (metric in percent)."""
+def challenge(
+    p: Project, champions: DataFrame, metric: DataFrame, month: str, run: str, tolerance: float = 0, target: str | None = None
+) -> DataFrame:
+    """The champion decision for a run whose metric is a one-row table (metric in percent); an accepted
+    champion is appended to ``target`` if that is given."""
     candidate = metric.select(
         F.lit(p.model_name).alias("MODEL_NAME"),
         F.lit(run).alias("DT_TRAIN"),
         metric_percent(F.col(metric.columns[0])).alias("METRIC"),
         F.lit(period_start(month, p.unit)).alias("SAFRA"),
     )
-    return champion_decision(champions, candidate, tolerance)
+    decision = champion_decision(champions, candidate, tolerance)
+    if target is not None:
+        append_run(decision.where("accepted"), target, candidate.columns, f"{p.model_name}-{month}-{run}")
+    return decision
 
 
 def score(
@@ -229,7 +235,7 @@ def score_selected(
     policy: str = "always",
 ) -> DataFrame:
     """:func:`score` with the champion, or else the last run trained up to the month, loaded from
-    ``models``; the table is appended to ``target`` if that is given."""
+    ``models``; the table is appended to ``target`` if that is given, once however often the run is tried."""
     pick = select_model(registry, champions, p.model_name, period_start(month, p.unit)).first()
     if pick is None:
         raise LookupError(f"no trained model of {p.model_name} up to {month}")
@@ -237,14 +243,15 @@ def score_selected(
     model = load_model(models, p.model_name, trained, pick["DT_TRAIN"])
     table = score(spark, p, model, month, run, pick["DT_TRAIN"], base, policy)
     if target is not None:
-        append_rows(table, target, table.columns)
+        append_run(table, target, table.columns, f"{p.model_name}-{month}-{run}")
     return table
 
 
 def evaluate(
-    spark: SparkSession, p: Project, scores: DataFrame, month: str, run: str, base: str, policy: str = "always"
+    spark: SparkSession, p: Project, scores: DataFrame, month: str, run: str, base: str, policy: str = "always", target: str | None = None
 ) -> DataFrame:
-    """Join the last scores of next month with the targets and build the evaluation table."""
+    """Join the last scores of next month with the targets and build the evaluation table, which is
+    appended to ``target`` if that is given."""
     stamp = period_start(p.later(month, 1), p.unit)
     labels = _stage(spark, p, "eval", month, base, policy, build_evaluation_set)
     last = latest_scores(scores, p.model_name, stamp)
@@ -252,9 +259,12 @@ def evaluate(
     rows = join_scores_labels(labels, last, p.key)
     if p.kind == "classification":
         # Deciles of the stored, truncated scores.
-        table = lift_table(rows, "SCORES_0", "target", 10, p.key)
-        return eval_table_class(table, p.model_name, stamp, run, train_run)
-    rows = rows.withColumn("SCORES", F.col("SCORES").cast("double"))
-    return eval_table_regr(
-        confusion_bins(rows, "target", "SCORES", p.edges, p.bin_on, p.key), p.model_name, stamp, run, train_run
-    )
+        lift = lift_table(rows, "SCORES_0", "target", 10, p.key)
+        table = eval_table_class(lift, p.model_name, stamp, run, train_run)
+    else:
+        rows = rows.withColumn("SCORES", F.col("SCORES").cast("double"))
+        bins = confusion_bins(rows, "target", "SCORES", p.edges, p.bin_on, p.key)
+        table = eval_table_regr(bins, p.model_name, stamp, run, train_run)
+    if target is not None:
+        append_run(table, target, table.columns, f"{p.model_name}-{month}-{run}")
+    return table

@@ -4,9 +4,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+# Of the open work scopes, the innermost last: paths written and tables kept since it began.
+_scopes: list[tuple[list[str], list[DataFrame]]] = []
+
 
 def local_session(cores: int | str = 8, app: str = "tidemark") -> SparkSession:
     """A local session for tests and the bench; on a cluster the caller brings its own."""
@@ -41,8 +46,38 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def work_path(spark: SparkSession, name: str) -> str:
-    """A fresh path under the shared folder."""
-    return f"{checkpoint_dir(spark).rstrip('/')}/tidemark/{name}-{uuid.uuid4().hex}"
+    """A fresh path under the shared folder; the innermost work scope removes it."""
+    path = f"{checkpoint_dir(spark).rstrip('/')}/tidemark/{name}-{uuid.uuid4().hex}"
+    if _scopes:
+        _scopes[-1][0].append(path)
+    return path
+
+
+def kept(df: DataFrame) -> DataFrame:
+    """A persisted table, released by the innermost work scope."""
+    if _scopes:
+        _scopes[-1][1].append(df)
+    return df
+
+
+@contextmanager
+def work_scope(spark: SparkSession) -> Iterator[None]:
+    """Removes, at its end and also after an error, all that :func:`stored` has written inside and releases
+    what was :func:`kept`. Results that are read after the scope must have been written elsewhere before.
+    """
+    scope: tuple[list[str], list[DataFrame]] = ([], [])
+    _scopes.append(scope)
+    try:
+        yield
+    finally:
+        _scopes.remove(scope)
+        paths, tables = scope
+        for df in tables:
+            df.unpersist()
+        jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+        for path in paths:
+            folder = jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(conf).delete(folder, True)
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:

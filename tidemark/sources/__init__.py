@@ -2,6 +2,7 @@
 
 from tidemark.sources.datasets import (
     append_rows,
+    append_run,
     materialize,
     read_dataset,
     read_rows,
@@ -12,6 +13,7 @@ from tidemark.sources.models import load_model, model_path, save_model
 
 __all__ = [
     "append_rows",
+    "append_run",
     "load_model",
     "materialize",
     "model_path",

@@ -10,7 +10,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 from pyspark.storagelevel import StorageLevel
 
+from tidemark.session import kept
+
 MONTH_COLUMN = "run_month"
+RUN_COLUMN = "append_run"
 POLICIES = ("always", "while_execution", "never")
 
 
@@ -64,7 +67,7 @@ def materialize(
     """Build a stage dataset, or reuse the one stored for the month.
 
     ``always``: read the month if it is stored, else build, write and read it back.
-    ``while_execution``: keep it for this session (the caller unpersists it).
+    ``while_execution``: keep it until the work scope ends (without one, the caller unpersists it).
     ``never``: build only.
     """
     if policy not in POLICIES:
@@ -72,7 +75,7 @@ def materialize(
     if policy == "never":
         return build()
     if policy == "while_execution":
-        return build().persist(StorageLevel.MEMORY_AND_DISK)
+        return kept(build().persist(StorageLevel.MEMORY_AND_DISK))
     if not _has_month(spark, path, month):
         built = build()
         write_snapshot(built, path, month)
@@ -97,6 +100,16 @@ def append_rows(df: DataFrame, target: str, columns: Sequence[str], fmt: str = "
         rows.write.mode("append").format(fmt).save(target)
 
 
+def append_run(df: DataFrame, target: str, columns: Sequence[str], run: str) -> None:
+    """Append ``columns`` as the rows of ``run``, in a partition of its own.
+
+    A run that is appended again replaces its rows, so a job that is tried again does not double them;
+    rows of other runs are not touched.
+    """
+    rows = df.select(*columns).withColumn(RUN_COLUMN, F.lit(run))
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(RUN_COLUMN).parquet(target)
+
+
 def read_rows(spark: SparkSession, target: str, schema: StructType, fmt: str = "parquet") -> DataFrame:
     """Read appended rows back with a declared schema."""
     if fmt == "table":
