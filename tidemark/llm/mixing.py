@@ -13,7 +13,8 @@ Everything summed over documents or cells is a whole number (tokens, thousandths
 the classifier is trained on its rows in one fixed order, so results do not depend on how rows lie.
 
 The gradient is taken in the metric in which rates of documents weigh by their tokens, and the distance
-from the targets is measured by the inverse of the domains' Gram matrix; the longest safe step is then 1.
+from the targets is measured by the inverse of the domains' Gram matrix (see :func:`metric`); steps of 1
+are then safe.
 
 Tokens are runs without ASCII white space. Null and empty texts have none; they get posteriors and a rate
 like others. Labels that are null or belong to no document do not count; of several labels of one
@@ -139,6 +140,13 @@ def with_posteriors(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text
     return docs.select(*others, _scorer(weights, intercepts)(body).alias(into))
 
 
+def metric(gram: np.ndarray) -> np.ndarray:
+    """How misses of the targets weigh: by the inverse of the Gram matrix and a hundredth of its largest
+    value. Without that part, a domain that hardly occurs would outweigh all others where its target is out
+    of reach, and all documents would be repeated for the little they have of it."""
+    return np.linalg.inv(gram + 0.01 * np.linalg.eigvalsh(gram)[-1] * np.eye(len(gram)))
+
+
 @dataclass(frozen=True)
 class Rates:
     """The fitted rate of each cell (``p``, ``rate``), and by how much each domain's expected tokens miss
@@ -175,7 +183,7 @@ def fitted_rates(rows: DataFrame, column: str = "mix", weights=WEIGHTS, budget:
     gram = np.zeros((n, n))
     for a, b in pairs:
         gram[a, b] = gram[b, a] = float(sums[f"g{a}{b}"]) / PARTS**2
-    inverse = np.linalg.pinv(gram, rcond=1e-9, hermitian=True)
+    inverse = metric(gram)
     shares = np.array(weights, float) / sum(weights)
     wanted = float(budget) if budget else sums[f"t{keep}"] / PARTS / shares[keep] if keep is not None and sums[f"t{keep}"] else total
     target = shares * wanted
