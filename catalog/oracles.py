@@ -505,6 +505,13 @@ def oracle_sql() -> dict[str, str]:
     o["fit_facts"] = f"""SELECT count(*) AS n_rows, count(*) AS n_sum_one, TRUE AS better_than_chance,
         CAST(count(*) FILTER ((o_totalprice > 250000 AND o_orderstatus <> 'P') OR (month(o_orderdate) = 12 AND {noise} > 2251799813685248)) AS BIGINT) AS n_positive FROM orders"""
     o["append_runs"] = "SELECT 'run-' || o_orderstatus AS append_run, o_orderkey, o_orderpriority, o_totalprice FROM orders WHERE o_orderstatus IN ('F', 'O', 'P')"
+    names = "l_quantity l_extendedprice l_discount l_tax l_partkey".split()
+    values = ", ".join(f"max(CAST({c} AS DOUBLE)) AS {c}" for c in names)
+    sent = ", ".join(f"g{1 + i % 2}.{c} AS perm_{c}" for i, c in enumerate(names))
+    o["permuted_columns"] = f"""WITH lines AS (SELECT l_orderkey * 10 + l_linenumber AS id, {values} FROM lineitem GROUP BY 1),
+    r AS (SELECT *, row_number() OVER (ORDER BY {_hash("id", 11)}, id) - 1 AS r, count(*) OVER () AS n FROM lines)
+    SELECT r.id, {", ".join("r." + c for c in names)}, {sent} FROM r
+    JOIN r g1 ON g1.r = (r.r + r.n // 3) % r.n JOIN r g2 ON g2.r = (r.r + r.n * 2 // 3) % r.n"""
     o["search_facts"] = "SELECT CAST(6 AS BIGINT) AS n_first, CAST(3 AS BIGINT) AS n_last, CAST(1 AS BIGINT) AS n_best, TRUE AS best_is_least"
     o["saved_threshold_differences"] = "SELECT count(*) AS n_rows, CAST(0 AS BIGINT) AS n_different FROM orders"
     # The largest, over all lower ends, of the least mean of the levels from there to any upper end.

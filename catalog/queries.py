@@ -773,6 +773,16 @@ def calibrate(spark, sf):
     return isotonic.transform(sigmoid.transform(rows, "sigmoid"), "isotonic")
 
 
+@query
+def permuted_columns(spark, sf):
+    """Five numbers of each line with the values that other lines send, in two groups."""
+    lines = I.table(spark, sf, "lineitem").select(
+        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("id"), "l_quantity", "l_extendedprice", "l_discount", "l_tax", F.col("l_partkey").cast("double").alias("l_partkey")
+    )
+    rows = lines.groupBy("id").agg(*[F.max(c).alias(c) for c in lines.columns[1:]])
+    return training.permuted_columns(session.stored(rows, "lines"), "id", rows.columns[1:], 11, groups=2)
+
+
 @query
 def feature_importance(spark, sf):
     rows = I.model_rows(spark, sf).withColumn("open", (F.col("status") == "O").cast("double"))

@@ -230,37 +230,29 @@ def fit_calibration(df: DataFrame, score: str, label: str, method: str = "sigmoi
     return Calibration(method, fitted, score)
 
 
-def permuted_columns(df: DataFrame, key: str, cols: Sequence[str], seed: int, prefix: str = "perm_") -> DataFrame:
+def permuted_columns(df: DataFrame, key: str, cols: Sequence[str], seed: int, prefix: str = "perm_", groups: int = 4) -> DataFrame:
     """Add to each row, per column, the value of another row: a seeded permutation of each column.
 
-    Rows are numbered in a random order; column c of row r takes the value at place r + shift(c).
-    All columns travel in one shuffle, as (place, column, value), whatever their number.
+    Rows are numbered in a random order, and columns dealt to ``groups`` in turn. A row takes all values of
+    group g (from 1) from the row that stands ``n * g div (groups + 1)`` places on, the last place being
+    followed by the first. So a row sends one array a group and not one row a column, and every value is
+    sent once.
     """
-    rng = random.Random(seed)
     tagged = df.withColumn("__h", hash_order(F.col(key), seed))
     parts = min(MOST_BUCKETS, max(LEAST_BUCKETS, -(-df.count() // BUCKET_ROWS)))
     b = RangeBuckets.uniform("__h", key, HASH_TOP, parts)
-    # Read by both sides of the join below; its file footers hold the number of rows.
+    # Read by both sides of the joins below; its file footers hold the number of rows.
     ranked = stored(rank_within(tagged, b, "__r").drop("__h"), "ranked")
     n = ranked.count()
-    # Different shifts, so that no two columns stay together, as far as there are rows for it.
-    shifts = rng.sample(range(1, n), len(cols)) if n > len(cols) else [1 + i % (n - 1) if n > 1 else 0 for i in range(len(cols))]
-    moves = F.array(
-        *[
-            F.struct(
-                (F.pmod(F.col("__r") - 1 + F.lit(n - d), F.lit(n)) + 1).alias("__to"),
-                F.lit(i).alias("__c"),
-                F.col(c).cast("double").alias("__v"),
-            )
-            for i, (c, d) in enumerate(zip(cols, shifts))
-        ]
-    )
-    arrived = (
-        ranked.select(F.inline(moves))
-        .groupBy("__to")
-        .agg(*[F.max(F.when(F.col("__c") == i, F.col("__v"))).alias(f"{prefix}{c}") for i, c in enumerate(cols)])
-    )
-    return ranked.join(arrived, F.col("__r") == F.col("__to"), "left").drop("__r", "__to")
+    groups = max(1, min(groups, len(cols)))
+    out = ranked
+    for g in range(1, groups + 1):
+        mine = list(cols[g - 1 :: groups])
+        to = F.pmod(F.col("__r") - 1 - F.lit(n * g // (groups + 1)), F.lit(max(1, n))) + 1
+        sent = ranked.select(to.alias("__to"), F.array(*[F.col(c).cast("double") for c in mine]).alias("__sent"))
+        out = out.join(sent, F.col("__r") == F.col("__to")).drop("__to")
+        out = out.withColumns({f"{prefix}{c}": F.col("__sent")[i] for i, c in enumerate(mine)}).drop("__sent")
+    return out.drop("__r")
 
 
 def feature_importance(
