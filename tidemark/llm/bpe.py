@@ -9,6 +9,7 @@ in a run of one letter, where a shift changes every token.
 
 Texts, ids and digests: a null text counts as empty (no tokens). The vocabulary file is read once by
 the driver and travels with the tasks; its size does not depend on the data.
+An empty table gives an empty result.
 """
 
 from __future__ import annotations

@@ -16,6 +16,7 @@ earliest one stays. A line that goes is always held by an earlier place.
 Results: offsets count code points, ends are exclusive, and a chunk includes the line feeds that end
 its lines. A null text has no chunks and stays null. Single lines are never removed. Rows that share id
 and text count as one document: they keep or lose the same chunks. Rows without an id come last.
+An empty table gives an empty result.
 """
 
 from __future__ import annotations

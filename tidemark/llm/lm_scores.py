@@ -12,6 +12,7 @@ summed per document. What is gathered grows with the number of blocks, that is w
 task sees more than one block or one hash partition.
 
 N-grams are told apart by 64-bit hashes. Null and empty texts have no positions and score 0.
+An empty table gives an empty result.
 """
 
 from __future__ import annotations

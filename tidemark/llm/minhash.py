@@ -22,6 +22,7 @@ Sizes, shingles and links: words are runs without ASCII white space, A-Z lower-c
 five words, or the whole text if it has fewer; sets are compared by 64-bit hashes. Null and empty
 texts have no shingles and are linked with nothing. Rows without an id get no component and stay.
 Rows that share an id are one document: their links count together.
+An empty table gives an empty result.
 """
 
 from __future__ import annotations

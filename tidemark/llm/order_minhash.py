@@ -8,6 +8,7 @@ that falls with their edit distance: moved passages change the order and so the
 A fingerprint is the coordinates in hexadecimal, eight digits each. The likeness of two fingerprints is
 the share of coordinates in which they agree. An empty text has an empty fingerprint, which is like
 other empty ones (1) and unlike the rest (0). Memory per text is a small multiple of its length.
+An empty table gives an empty result.
 """
 
 from __future__ import annotations

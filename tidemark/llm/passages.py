@@ -13,6 +13,7 @@ Offsets count code points of the original text, ends are exclusive; a passage be
 and ends with the last, the white space after it included. Null and empty texts have no units. Rows that
 share an id are one document: they do not remove each other's units. Rows without an id come last.
 Digests have 128 bits; a hot unit is summed before the shuffle and its rows are split where joined.
+An empty table gives an empty result.
 """
 
 from __future__ import annotations

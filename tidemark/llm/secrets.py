@@ -9,6 +9,7 @@ held against the whole span; of any other only the parts between marks that it o
 out, and the rest is read again. Spans inside a pattern's span are left out. Texts are read whole, row by row; nothing is shuffled.
 
 Offsets count code points, ends are exclusive. A null text counts as empty. Rows stay as they are.
+An empty table gives an empty result.
 """
 
 from __future__ import annotations
