@@ -65,7 +65,7 @@ def test_steps_end_where_plain_projected_gradient_ends(spark, concentration, wei
     # The distance that is made least, in its own metric, is as small as the plain steps get it.
     inverse = M.metric((p * tokens[:, None]).T @ p) * tokens.sum()
     far = missing(tokens, p, target, most)
-    assert here @ inverse @ here <= far @ inverse @ far + 2.1 * M.SETTLED * (np.array(weights) @ inverse @ np.array(weights)) + 1e-6
+    assert here @ inverse @ here <= (1 + 2.1 * M.SETTLED) * (far @ inverse @ far) + 1e-6
 
 
 def test_layout_does_not_show(spark, sf):

@@ -52,7 +52,7 @@ FEATURES = 1 << 13
 DENSE = 5
 PARTS = 1000  # of a posterior
 UNIT = 1_000_000  # of a rate
-SETTLED = 1e-5  # of the targets' own squared distance: what any other rates in the box could still gain
+SETTLED = 0.02  # of the squared distance from the targets: what any other rates in the box could still gain
 STEPS = 500  # beyond this, the fit says that it has not settled
 KEPT_STEPS = 16  # steps between two writings of the cells
 PIECE = 1 << 20  # bytes of a text whose words are taken at a time
@@ -222,9 +222,10 @@ def fitted_rates(rows: DataFrame, column: str = "mix", weights=WEIGHTS, budget:
             F.max(F.abs(F.col("r") - F.col("from"))).alias("moved"),
             F.sum((F.col("from") - F.col("r")).cast("double") * (F.col("r") - F.col("old")) * F.col("t")).alias("uphill"),
         ).first()
+        left = miss @ inverse @ miss
         miss, gap = (np.array([float(found[f"{c}{k}"]) for k in range(n)]) / (PARTS * UNIT) - target for c in "ry")
         # Where rates cannot be told apart in millionths, the gain may stay above its limit.
-        if found["gain"] <= SETTLED * (target @ inverse @ target) or found["moved"] <= 1:
+        if found["gain"] <= SETTLED * left or found["moved"] <= 1:
             break
         if found["uphill"] > 0:  # momentum leads away from the targets: start it anew
             momentum, gap, anew = 1.0, miss, True
