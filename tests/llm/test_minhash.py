@@ -81,6 +81,27 @@ def test_empty_table_null_ids_and_repeated_rows(spark):
     assert got == [("7", 3, 7, True), ("7", 3, 7, True), ("9", 3, 7, False), ("None", 3, None, True)]
 
 
+def test_one_id_with_several_texts(spark):
+    """Links of all texts of an id count, in any order of the rows; one id may have most of the rows."""
+    rng = random.Random(8)
+    base = lambda: [f"w{rng.random()}" for _ in range(60)]
+    near = lambda words: [*words[:-1], f"w{rng.random()}"]
+    a, b, c, d = base(), base(), base(), base()
+    rows = [(1, a), (1, b), (2, near(a)), (3, near(b)), (5, c), (4, c), (4, d), (6, near(d)), (9, base())]
+    rows += [(20, base()) for _ in range(30)] + [(20, near(a))]
+    rows += [(21, rows[-2][1])]
+    rows = [(i, " ".join(t)) for i, t in rows]
+    want = {1: 1, 2: 1, 3: 1, 20: 1, 21: 1, 4: 4, 5: 4, 6: 4, 9: 9}
+    for seed in range(2):
+        random.Random(seed).shuffle(rows)
+        docs = spark.createDataFrame([(i, t, 0) for i, t in rows], "doc_id long, text string, __gone int")
+        got = M.near_duplicates(docs).collect()
+        assert len(got) == len(rows) and {r.doc_id: r.component_id for r in got} == want
+        assert all(r.n_shingles == 56 and r.kept == (r.doc_id in (1, 4, 9)) for r in got)
+        left = M.keep_first(docs)
+        assert left.columns == docs.columns and sorted(r.doc_id for r in left.collect()) == [1, 1, 4, 4, 9]
+
+
 def test_signature_estimates_similarity():
     a = M.shingles(" ".join(f"w{i}" for i in range(800)), 5)
     b = M.shingles(" ".join(f"w{i}" for i in range(200, 1000)), 5)

@@ -8,9 +8,10 @@ bands (40 at 0.80, for 1.3e-7).
 
 No group is ever expanded into pairs:
 
-1. Texts with one shingle set form a class; its least id stands for it from then on.
-2. In every bucket each member is compared with the bucket's least member, exactly and on whole
-   sets. Components of these links are labels.
+1. Texts with one shingle set form a class; its least id stands for it from then on. A set is
+   known by that id and its digest, so an id may stand for several sets.
+2. In every bucket each member is compared with the bucket's member of the least digest, exactly and
+   on whole sets. Components of these links, over ids, are labels.
 3. Buckets that still hold several labels may hide links between members of different labels. Only
    pairs that the bitmaps below allow are joined, and then compared exactly.
 
@@ -21,8 +22,10 @@ for certain, never a link.
 Sizes, shingles and links: words are runs without ASCII white space, A-Z lower-cased; shingles are
 five words, or the whole text if it has fewer; sets are compared by 64-bit hashes. Null and empty
 texts have no shingles and are linked with nothing. Rows without an id get no component and stay.
-Rows that share an id are one document: their links count together.
-An empty table gives an empty result.
+Rows that share an id are one document, whatever their texts: the links of all its texts count, each
+row has the size of its own set, and the document stays or goes with all its rows.
+Texts of any length are hashed in one task each. An empty table gives an empty result. Other columns of
+the input are not read, whatever their names.
 """
 
 from __future__ import annotations
@@ -112,7 +115,7 @@ def _sketches(words: int, bands: int, rows: int) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sizes, first, second, keys, bits = [], [], [], [], []
-            for text in batch.column(1).to_pylist():
+            for text in batch.column(2).to_pylist():
                 found = shingles(text, words)
                 digest = np.frombuffer(hashlib.blake2b(found.tobytes(), digest_size=16).digest(), np.int64)
                 sizes.append(len(found))
@@ -121,17 +124,17 @@ def _sketches(words: int, bands: int, rows: int) -> Callable:
                 bits.append(parity(found))
                 keys.append(band_keys(signature(found, bands * rows), bands, rows) if len(found) else [])
             lists = pa.list_(pa.int64())
-            columns = [batch.column(0), *(pa.array(c, pa.int64()) for c in (sizes, first, second)), pa.array(bits, lists), pa.array(keys, lists)]
-            yield pa.RecordBatch.from_arrays(columns, names=["id", "n", "h1", "h2", "bits", "bands"])
+            columns = [batch.column(0), batch.column(1), *(pa.array(c, pa.int64()) for c in (sizes, first, second)), pa.array(bits, lists), pa.array(keys, lists)]
+            yield pa.RecordBatch.from_arrays(columns, names=["id", "t", "n", "h", "h2", "bits", "bands"])
 
     return run
 
 
 def _verifier(words: int, percent: int) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[int, np.ndarray] = {}
+        known: dict[tuple[int, int], np.ndarray] = {}
 
-        def of(key: int, text: str) -> np.ndarray:
+        def of(key: tuple[int, int], text: str) -> np.ndarray:
             if key not in known:
                 if len(known) >= 64:
                     known.pop(next(iter(known)))
@@ -139,10 +142,10 @@ def _verifier(words: int, percent: int) -> Callable:
             return known[key]
 
         for batch in batches:
-            a, b, ta, tb = (c.to_pylist() for c in batch.columns)
+            a, ta, left, right = (batch.column(k).to_pylist() for k in (0, 2, 3, 4))
             linked = []
-            for x, y, s, t in zip(a, b, ta, tb):
-                one, two = of(x, s), shingles(t, words)
+            for key, s, t in zip(zip(a, ta), left, right):
+                one, two = of(key, s), shingles(t, words)
                 common = len(np.intersect1d(one, two, assume_unique=True))
                 linked.append(100 * common >= percent * (len(one) + len(two) - common))
             yield batch.select([0, 1]).filter(pa.array(linked, pa.bool_()))
@@ -151,13 +154,13 @@ def _verifier(words: int, percent: int) -> Callable:
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
-    """The pairs (a, b) of ``pairs`` that are linked, compared on whole sets.
+    """The pairs of ids (a, b) of ``pairs`` (a, ta, b, tb) whose texts ta, tb are linked, compared on whole sets.
 
     Texts are as large as the corpus, so they are joined by a shuffle at every size.
     """
-    left = texts.select(F.col("id").alias("a"), F.col("body").alias("ta"))
-    right = texts.select(F.col("id").alias("b"), F.col("body").alias("tb"))
-    both = pairs.join(right.hint("merge"), "b").join(left.hint("merge"), "a").select("a", "b", "ta", "tb")
+    left = texts.select(F.col("id").alias("a"), F.col("t").alias("ta"), F.col("body").alias("left"))
+    right = texts.select(F.col("id").alias("b"), F.col("t").alias("tb"), F.col("body").alias("right"))
+    both = pairs.join(right.hint("merge"), ["b", "tb"]).join(left.hint("merge"), ["a", "ta"]).select("a", "b", "ta", "left", "right")
     return stored(both.mapInArrow(_verifier(words, percent), "a long, b long").distinct(), "links")
 
 
@@ -166,46 +169,49 @@ def near_duplicates(
 ) -> DataFrame:
     """One row per row of ``docs``: the id, ``n_shingles``, ``component_id`` (the least id reachable over
     links of at least ``percent`` hundredths) and ``kept`` (whether it is that document)."""
-    source = docs.select(F.col(f"`{id}`").cast("long").alias("id"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("body"))
-    sketches = stored(source.mapInArrow(_sketches(words, bands, rows), "id long, n long, h1 long, h2 long, bits array<long>, bands array<long>"), "sketches")
+    body = F.coalesce(F.col(f"`{text}`"), F.lit(""))
+    source = docs.select(F.col(f"`{id}`").cast("long").alias("id"), F.xxhash64(body).alias("t"), body.alias("body"))
+    schema = "id long, t long, n long, h long, h2 long, bits array<long>, bands array<long>"
+    sketches = stored(source.mapInArrow(_sketches(words, bands, rows), schema), "sketches")
     able = sketches.filter((F.col("n") > 0) & F.col("id").isNotNull())
 
     # 1. Classes of equal sets.
-    copies = able.groupBy("h1", "h2").agg(F.min("id").alias("first"), F.count("*").alias("c")).filter("c > 1").drop("c")
+    copies = able.groupBy("h", "h2").agg(F.min("id").alias("first"), F.count("*").alias("c")).filter("c > 1").drop("c")
     copies = stored(copies, "classes")
-    members = able.join(copies, ["h1", "h2"], "left").select("id", F.coalesce("first", "id").alias("rep"))
-    members = stored(members.distinct(), "members")
-    repeated = stored(members.filter("id <> rep"), "copies")
-    alone = able.join(repeated.select("id").distinct(), "id", "left_anti")
+    members = able.join(copies, ["h", "h2"], "left").withColumn("first", F.coalesce("first", "id"))
+    repeated = stored(members.filter("id <> first").select(F.col("first").alias("a"), F.col("id").alias("b")).distinct(), "copies")
+    alone = members.filter("id = first")
 
     # 2. Every bucket's members against its least one.
-    sets = stored(alone.select("id", "n", "bits").dropDuplicates(["id"]), "sets")
-    buckets = alone.select("id", "n", F.explode("bands").alias("key"))
-    leaders = buckets.groupBy("key").agg(F.min("id").alias("leader"), F.max("id").alias("last"), F.count("*").alias("size"))
+    sets = stored(alone.select("id", "h", "t", "n", "bits").dropDuplicates(["id", "h"]), "sets")
+    buckets = alone.select("id", "h", "n", F.explode("bands").alias("key"))
+    leaders = buckets.groupBy("key").agg(F.min("h").alias("leader"), F.max("h").alias("last"), F.count("*").alias("size"))
     leaders = stored(leaders.filter("leader <> last").select("key", "leader", "size"), "leaders")
     shared = stored(buckets.join(leaders, "key"), "buckets")
-    wanted = shared.filter("id <> leader").select(F.col("leader").alias("a"), F.col("id").alias("b")).distinct()
-    marks = lambda side: sets.select(F.col("id").alias(side), F.col("n").alias(f"n_{side}"), F.col("bits").alias(f"bits_{side}"))
-    wanted = wanted.join(marks("a"), "a").join(marks("b"), "b").filter(_may_link(percent, "a", "b"))
-    wanted = stored(wanted.select("a", "b"), "pairs")
-    near = shared.select("id").distinct().hint("merge")
-    texts = stored(source.join(near, "id", "left_semi").dropDuplicates(["id"]), "texts")
+    wanted = shared.filter("h <> leader").select(F.col("leader").alias("h_a"), F.col("h").alias("h_b")).distinct()
+    marks = lambda side: sets.select(
+        F.col("id").alias(side), *(F.col(c).alias(f"{c}_{side}") for c in ("h", "n", "bits")), F.col("t").alias(f"t{side}")
+    )
+    wanted = wanted.join(marks("a"), "h_a").join(marks("b"), "h_b").filter((F.col("a") != F.col("b")) & _may_link(percent, "a", "b"))
+    wanted = stored(wanted.select("a", "ta", "b", "tb"), "pairs")
+    near = sets.join(shared.select("h").distinct(), "h", "left_semi").select("id", "t").hint("merge")
+    texts = stored(source.join(near, ["id", "t"], "left_semi").dropDuplicates(["id", "t"]), "texts")
     links = _verified(wanted, texts, words, percent)
     labels = components(links)
 
     # 3. What buckets with several labels may still hide.
     labelled = shared.filter("size > 2").join(labels, shared["id"] == labels["node"], "left")
-    labelled = stored(labelled.select("key", "id", "n", F.coalesce("label", "id").alias("label")), "labelled")
+    labelled = stored(labelled.select("key", "id", "h", F.coalesce("label", "id").alias("label")), "labelled")
     mixed = labelled.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low <> high").select("key")
     mixed = stored(mixed, "mixed")
     open_ = stored(labelled.join(mixed, "key", "left_semi"), "open")
-    possible = stored(open_.join(sets.select("id", "bits"), "id"), "possible")
-    x, y = (possible.select("key", *(F.col(c).alias(f"{c}_{side}") for c in ("id", "n", "label", "bits"))) for side in "xy")
+    possible = stored(open_.join(sets, ["id", "h"]), "possible")
+    x, y = (possible.select("key", *(F.col(c).alias(f"{c}_{side}") for c in ("id", "t", "n", "label", "bits"))) for side in "xy")
     pairs = x.join(y, "key").filter((F.col("id_x") < F.col("id_y")) & (F.col("label_x") != F.col("label_y")) & _may_link(percent, "x", "y"))
-    pairs = pairs.select(F.col("id_x").alias("a"), F.col("id_y").alias("b")).distinct()
+    pairs = pairs.select(F.col("id_x").alias("a"), F.col("t_x").alias("ta"), F.col("id_y").alias("b"), F.col("t_y").alias("tb")).distinct()
     more = _verified(stored(pairs, "pairs"), texts, words, percent)
 
-    found = links.union(more).union(repeated.select(F.col("rep").alias("a"), F.col("id").alias("b")))
+    found = links.union(more).union(repeated)
     labels = components(found)
     out = sketches.select("id", "n").join(labels, F.col("id") == F.col("node"), "left")
     component = F.coalesce("label", "id")
@@ -218,7 +224,7 @@ def keep_first(docs: DataFrame, id: str = "doc_id", text: str = "text", percent:
     """The rows of ``docs`` that stay: one document of each group, and rows without an id."""
     found = near_duplicates(docs, id, text, percent=percent, bands=bands)
     gone = found.filter(~F.col("kept")).select(F.col(id).alias("__gone")).distinct()
-    return docs.join(gone, F.col(f"`{id}`") == F.col("__gone"), "left_anti")
+    return docs.join(gone, docs[f"`{id}`"].cast("long") == gone["__gone"], "left_anti")
 
 
 def op9_minhash(spark: SparkSession, sf: str) -> DataFrame:
