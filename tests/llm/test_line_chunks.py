@@ -106,3 +106,10 @@ def test_blank_lines_are_no_lines_of_a_passage(spark):
     rows = [(1, "a\n\nb\n\nc\n"), (2, "d\n\nb\n\n"), (3, "a\n\nb"), (4, "\n\n\n"), (5, "\n\n\n"), (6, None)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     assert {r.doc_id: r.text for r in L.dedup_documents(docs).collect()} == {i: t for i, t in rows if i != 3}
+
+
+def test_columns_with_the_names_of_helpers(spark):
+    rows = [(1, "a\nb\nc", 1, 2, "x", 3, 5), (2, "a\nb\nd", 4, 5, "y", 6, 5)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, __id int, __H int, __cuts string, __removed int, n_chars int")
+    assert [tuple(r) for r in L.dedup_documents(docs).orderBy("doc_id").collect()] == [rows[0], (2, "d", 4, 5, "y", 6, 1)]
+    assert L.without_repeated_chunks(docs).drop("removed").count() == 2

@@ -91,3 +91,11 @@ def test_scripts_without_spaces(spark):
     rows = [(1, sentence(30) + passage), (2, sentence(15) + passage + sentence(12)), (3, "ก\n" + thai), (4, "ข\n" + thai + "\nค")]
     left = {r.doc_id: r.text for r in P.without_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert left == {1: rows[0][1], 2: rows[1][1].replace(passage, ""), 3: rows[2][1], 4: "ข\nค"}
+
+
+def test_columns_with_the_names_of_helpers(spark):
+    text = " ".join(f"word{i}" for i in range(30)) + "."
+    docs = spark.createDataFrame([(1, text, 1, 2, "x"), (2, text + " Own.", 4, 5, "y")], "doc_id long, text string, __id int, __H int, __cuts string")
+    got = P.without_passages(docs)
+    assert got.columns == docs.columns and [tuple(r) for r in got.orderBy("doc_id").collect()][0] == (1, text, 1, 2, "x")
+    assert {(r["__id"], r["__H"], r["__cuts"]) for r in got.collect()} == {(1, 2, "x"), (4, 5, "y")}

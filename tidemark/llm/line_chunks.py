@@ -16,7 +16,8 @@ earliest one stays. A line that goes is always held by an earlier place.
 Results: offsets count code points, ends are exclusive, and a chunk includes the line feeds that end
 its lines. A null text has no chunks and stays null. Single lines are never removed. Rows that share id
 and text count as one document: they keep or lose the same chunks. Rows without an id come last.
-An empty table gives an empty result.
+Texts of any length are cut in one pass; a removed piece is as long as its chunk. Columns of the input pass
+through whatever their names. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -30,6 +31,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.llm.names import free_names
 from tidemark.session import stored
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -145,10 +147,11 @@ def without_repeated_chunks(
     """``docs`` with the repeated chunks cut from ``text``; the array ``into`` has their (start, end) in
     the original text, null where nothing was removed. A column already called ``into`` is replaced."""
     gone = repeated_chunks(docs, id, text, divisor, pairs)
-    cuts = stored(gone.groupBy("id", "h").agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("__cuts")), "cuts")
-    cuts = cuts.select(F.col("id").alias("__id"), F.col("h").alias("__h"), "__cuts")
-    body, c = F.col(f"`{text}`"), F.col("__cuts")
-    joined = docs.join(cuts.hint("merge"), F.col(f"`{id}`").cast("long").eqNullSafe(F.col("__id")) & (F.xxhash64(body) == F.col("__h")), "left")
+    i, h, spans = free_names(docs, "__id", "__h", "__cuts")
+    cuts = stored(gone.groupBy("id", "h").agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias(spans)), "cuts")
+    cuts = cuts.select(F.col("id").alias(i), F.col("h").alias(h), spans)
+    body, c = F.col(f"`{text}`"), F.col(spans)
+    joined = docs.join(cuts.hint("merge"), F.col(f"`{id}`").cast("long").eqNullSafe(F.col(i)) & (F.xxhash64(body) == F.col(h)), "left")
     before = F.transform(
         c,
         lambda cut, i: F.substring(body, F.coalesce(F.get(c, i - 1)["end"], F.lit(0)).cast("int") + 1, (cut["start"] - F.coalesce(F.get(c, i - 1)["end"], F.lit(0))).cast("int")),
@@ -162,12 +165,13 @@ def without_repeated_chunks(
 def dedup_documents(docs: DataFrame, id: str = "doc_id", text: str = "text", chars: str | None = "n_chars") -> DataFrame:
     """``docs`` after the removal by pairs of lines, with its columns. ``chars``, where there is such a column, is counted
     anew. Documents of which no word is left are dropped; those without words before stay."""
-    out = without_repeated_chunks(docs, id, text, "__removed", pairs=True)
-    out = out.filter(F.col("__removed").isNull() | F.col(f"`{text}`").rlike(r"[^\x20\x09-\x0D]"))
+    (removed,) = free_names(docs, "__removed")
+    out = without_repeated_chunks(docs, id, text, removed, pairs=True)
+    out = out.filter(F.col(removed).isNull() | F.col(f"`{text}`").rlike(r"[^\x20\x09-\x0D]"))
     if chars in docs.columns:
         kind = docs.schema[chars].dataType
-        out = out.withColumn(chars, F.when(F.col("__removed").isNull(), F.col(chars)).otherwise(F.char_length(text).cast(kind)))
-    return out.select(docs.columns)
+        out = out.withColumn(chars, F.when(F.col(removed).isNull(), F.col(f"`{chars}`")).otherwise(F.char_length(F.col(f"`{text}`")).cast(kind)))
+    return out.select(*(F.col(f"`{c}`") for c in docs.columns))
 
 
 def op4_line_chunks(spark: SparkSession, sf: str) -> DataFrame:

@@ -13,7 +13,7 @@ Offsets count code points of the original text, ends are exclusive; a passage be
 and ends with the last, the white space after it included. Null and empty texts have no units. Rows that
 share an id are one document: they do not remove each other's units. Rows without an id come last.
 Digests have 128 bits; a hot unit is summed before the shuffle and its rows are split where joined.
-An empty table gives an empty result.
+Columns of the input pass through whatever their names. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -28,6 +28,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.llm.names import free_names
 from tidemark.session import stored
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -165,13 +166,14 @@ def repeated_passages(docs: DataFrame, id: str = "doc_id", text: str = "text", m
 
 def without_passages(docs: DataFrame, id: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
     """``docs`` with the repeated passages cut from ``text``; all rows and other columns stay."""
-    gone = repeated_passages(docs, id, text, min_words).groupBy("id", "h").agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("__cuts"))
-    gone = gone.select(F.col("id").alias("__id"), F.col("h").alias("__h"), "__cuts")
-    body, cuts = F.col(f"`{text}`"), F.col("__cuts")
+    i, h, spans = free_names(docs, "__id", "__h", "__cuts")
+    gone = repeated_passages(docs, id, text, min_words).groupBy("id", "h").agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias(spans))
+    gone = gone.select(F.col("id").alias(i), F.col("h").alias(h), spans)
+    body, cuts = F.col(f"`{text}`"), F.col(spans)
     key = F.coalesce(F.col(f"`{id}`").cast("long"), F.lit(NO_ID))
-    joined = docs.join(gone, (key == F.col("__id")) & (F.xxhash64(body) == F.col("__h")), "left")
-    last = lambda i: F.coalesce(F.get(cuts, i - 1)["end"], F.lit(0)).cast("int")
-    before = F.transform(cuts, lambda cut, i: F.substring(body, last(i) + 1, cut["start"].cast("int") - last(i)))
+    joined = docs.join(gone, (key == F.col(i)) & (F.xxhash64(body) == F.col(h)), "left")
+    last = lambda k: F.coalesce(F.get(cuts, k - 1)["end"], F.lit(0)).cast("int")
+    before = F.transform(cuts, lambda cut, k: F.substring(body, last(k) + 1, cut["start"].cast("int") - last(k)))
     rest = F.substring(body, F.element_at(cuts, -1)["end"].cast("int") + 1, F.char_length(body))
     left = F.when(cuts.isNull(), body).otherwise(F.concat(F.array_join(before, ""), rest))
     return joined.select(*(left.alias(c) if c == text else F.col(f"`{c}`") for c in docs.columns))
