@@ -1,5 +1,7 @@
 import re
 
+from pyspark.sql import functions as F
+
 from tidemark.llm import urls as U
 
 
@@ -54,3 +56,27 @@ def test_query(spark, sf):
     for r in rows:
         host, path, rule, verdict = by_the_letter(urls[r.page_id])
         assert (r.host, r.path, r.rule) == (host, path, rule) and (verdict is None or r.verdict == verdict)
+
+
+def test_held_out_hosts_are_judged_better_than_by_the_base_rate(spark, sf):
+    """Hosts of the pages under com, renamed so that no rule fits them, against the rules' verdicts on their old names."""
+    pages = spark.read.parquet(f"{sf}/../sf0.1/pages.parquet").select("page_id", "url")
+    host = U.host_and_path(F.col("url"))[0]
+    held = host.endswith(".example.com") & (F.pmod(F.xxhash64(host, F.lit(5)), F.lit(3)) == 0)
+    moved = F.when(held, F.regexp_replace("url", r"\.example\.com", ".example.test")).otherwise(F.col("url"))
+    old = {r.page_id: r.url for r in pages.filter(held).collect()}
+    rows = U.judged(pages.withColumn("url", moved)).collect()
+    want = {i: by_the_letter(u)[3] for i, u in old.items()}
+    right = sum(r.verdict == want[r.page_id] for r in rows if r.page_id in want)
+    common = max(list(want.values()).count(v) for v in ("allow", "block"))
+    assert len(want) > 100 and common < 0.9 * len(want) and right >= 0.95 * len(want)
+    for last in ("org", "net"):
+        verdicts = {r.verdict for r in rows if r.rule is None and r.host.endswith("." + last)}
+        assert verdicts == {"allow", "block"}
+
+
+def test_shares_leave_out_the_row_s_own_hosts(spark):
+    rows = [("a", i % 5, float(i % 5 == 0)) for i in range(50)] + [("b", 1, None)]
+    got = U.part_statistics(spark.createDataFrame(rows, "folder string, fold int, label double"), "folder", 51, 0.2).collect()
+    shares = {(r.s, r["of"]): round(r.stats[1], 6) for r in got}
+    assert shares == {("a", 0): round(2 / 50, 6), **{("a", k): round(12 / 50, 6) for k in range(1, 5)}, ("b", 1): 0.2}

@@ -3,13 +3,20 @@
 The trees are Spark ML's gradient-boosted classifier. They are trained on URLs that the rules label,
 or on labels given apart, and judge the URLs that no rule fits. Features come from the URL alone:
 lengths, depth, shares of digits, capitals and marks, entropy of its characters, numbers of parameters,
-and statistics of its suffixes (last label and last two labels of the host, file extension of the
-path): how often a suffix occurs among all rows, and the smoothed share of blocked ones among its
-labelled rows. All rows count for the statistics; at most about TRAINING_URLS labelled rows, chosen
-by hash, grow the trees.
+and statistics of its parts (last label and last two labels of the host, first folder and file extension
+of the path): how often a part occurs among all rows, and the smoothed share of blocked ones among its
+labelled rows on other hosts. Hosts are dealt by hash into FOLDS, and a row sees the shares of the other
+folds only, so that neither its own label nor its host's has a part in them.
+
+Where rules name a suffix for one verdict only, labels can be read off the suffix and say nothing about
+its other URLs. Such suffixes have no statistics, and the trees are trained on labelled rows whose last
+label has both verdicts; only where there are none, on all labelled rows. All rows count for the
+statistics; at most about TRAINING_URLS labelled rows, chosen by hash, grow the trees.
 
 A null URL, or one without ``://``, has an empty host and path and fits no rule. Rows stay as they are.
 Where the labelled rows are all of one verdict, that verdict goes to the rest; without any, ``allow``.
+Repeated rows are judged alike. URLs may have any length. Other columns are not read, whatever their
+names. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -18,13 +25,15 @@ from dataclasses import dataclass
 
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.session import stored
 
 TRAINING_URLS = 20_000
 TREES, DEPTH = 20, 4
+FOLDS = 5
+SMOOTHING = 10  # rows at the overall share that are added to each part's
 CAPITALS, SMALL = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -102,14 +111,29 @@ def lexical_features(url: Column, host: Column, path: Column) -> Column:
     )
 
 
-def _suffixes(host: Column, path: Column) -> dict[str, Column]:
+def _parts(host: Column, path: Column) -> dict[str, Column]:
     return {
         "last": F.substring_index(host, ".", -1),
         "two": F.substring_index(host, ".", -2),
+        "folder": F.regexp_extract(path, r"^/([^/]*)/", 1),
         "file": F.regexp_extract(path, r"\.([A-Za-z0-9]{1,8})$", 1),
     }
 
 
+def part_statistics(rows: DataFrame, name: str, total: int, base: float) -> DataFrame:
+    """(name, fold, stats, both) of a part of the URL, for each fold that has it: its frequency and its
+    share of blocked rows in the other folds, and whether its labelled rows have both verdicts."""
+    counts = rows.groupBy(name, "fold").agg(F.count("*").alias("c"), F.count("label").alias("l"), F.sum("label").alias("b"))
+    part = Window.partitionBy(name)  # a row for each fold
+    l, b = F.sum("l").over(part), F.coalesce(F.sum("b").over(part), F.lit(0.0))  # noqa: E741
+    share = (b - F.coalesce("b", F.lit(0.0)) + SMOOTHING * base) / (l - F.col("l") + SMOOTHING)
+    both = (b > 0) & (b < l)
+    stats = F.array(F.log1p(F.sum("c").over(part) / float(total)), share)
+    if name in ("last", "two"):
+        stats = F.when(both, stats).otherwise(F.array(F.lit(0.0), F.lit(base)))
+    return counts.select(F.col(name).alias("s"), F.col("fold").alias("of"), stats.alias("stats"), both.alias("both"))
+
+
 def judged(pages: DataFrame, id: str = "page_id", url: str = "url", rules: tuple[Rule, ...] = RULES, training: int = TRAINING_URLS) -> DataFrame:
     """The id with host, path, rule, verdict and ``score``, the trees' probability of being blocked
     (null where a rule decided)."""
@@ -118,21 +142,23 @@ def judged(pages: DataFrame, id: str = "page_id", url: str = "url", rules: tuple
     rows = rows.withColumns({"host": host, "path": path})
     rows = rows.withColumn("ruled", rule_for(F.col("host"), F.col("path"), rules))
     rows = rows.withColumn("label", (F.col("ruled.verdict") == "block").cast("double"))
-    rows = stored(rows.withColumns({"x": lexical_features(F.col("url"), F.col("host"), F.col("path")), **_suffixes(F.col("host"), F.col("path"))}), "urls")
+    rows = stored(rows.withColumns({"x": lexical_features(F.col("url"), F.col("host"), F.col("path")), **_parts(F.col("host"), F.col("path")), "fold": F.pmod(F.xxhash64("host"), F.lit(FOLDS))}), "urls")
     one = rows.agg(F.count("label").alias("n"), F.sum("label").alias("blocked"), F.count("*").alias("all")).first()
     n, blocked, total = one["n"], one["blocked"] or 0.0, one["all"]
     x = rows
     known = F.col("ruled").isNotNull()
     if 0 < blocked < n:
-        for name in ("last", "two", "file"):
-            # Hot suffixes are summed before they are shuffled, and their rows are split where they are joined.
-            table = rows.groupBy(name).agg(F.count("*").alias("c"), F.count("label").alias("l"), F.sum("label").alias("b"))
-            share = (F.coalesce("b", F.lit(0.0)) + 10 * blocked / n) / (F.col("l") + 10)
-            table = stored(table.select(F.col(name).alias("s"), F.array(F.log1p(F.col("c") / float(total)), share).alias("stats")), "suffixes")
-            x = x.join(table, x[name] == table["s"], "left").withColumn("x", F.concat("x", F.coalesce("stats", F.array(F.lit(0.0), F.lit(blocked / n))))).drop("s", "stats")
-        x = stored(x.select("id", "url", "host", "path", "ruled", "label", array_to_vector("x").alias("features")), "features")
-        chosen = F.pmod(F.xxhash64("id", "url"), F.lit(1_000_000)) < F.lit(min(1.0, training / n) * 1_000_000)
-        sample = stored(x.filter(known & chosen).select("features", "label").repartition(4), "training")
+        for name in ("last", "two", "folder", "file"):
+            # Hot parts are summed before they are shuffled, and their rows are split where they are joined.
+            table = stored(part_statistics(rows, name, total, blocked / n), "parts")
+            x = x.join(table, (x[name] == table["s"]) & (x["fold"] == table["of"])).withColumn("x", F.concat("x", "stats"))
+            x = x.withColumnRenamed("both", "told") if name == "last" else x.drop("both")
+            x = x.drop("s", "of", "stats")
+        x = stored(x.select("id", "url", "host", "path", "ruled", "label", "told", array_to_vector("x").alias("features")), "features")
+        told = x.filter(known & F.col("told")).count()
+        usable = known & F.col("told") if told else known
+        chosen = F.pmod(F.xxhash64("id", "url"), F.lit(1_000_000)) < F.lit(min(1.0, training / (told or n)) * 1_000_000)
+        sample = stored(x.filter(usable & chosen).select("features", "label").repartition(4), "training")
         model = None
         if sample.select("label").distinct().count() == 2:
             model = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, seed=11, labelCol="label").fit(sample)
