@@ -113,3 +113,27 @@ def test_columns_with_the_names_of_helpers(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string, __id int, __H int, __cuts string, __removed int, n_chars int")
     assert [tuple(r) for r in L.dedup_documents(docs).orderBy("doc_id").collect()] == [rows[0], (2, "d", 4, 5, "y", 6, 1)]
     assert L.without_repeated_chunks(docs).drop("removed").count() == 2
+
+
+def test_dedup_documents_removes_chunks_cut_by_a_rolling_hash_and_extends_them(spark, monkeypatch):
+    rng = random.Random(7)
+    own = lambda n: [f"own {rng.random()} é" for _ in range(n)]
+    passage = own(40)
+    rows = [(n, "\n".join(own(n) + passage[:20] + ["", " "] + passage[20:] + own(1))) for n in range(3)]
+    cut = lambda t: [t[a:b].removesuffix("\n") for a, b, n in L.line_chunks(t, window=L.WINDOW, blank=False) if n > 1]
+    seen = set(cut(rows[0][1]))
+    shared = [sum(c.count("\n") + 1 for c in cut(t) if c in seen) for _, t in rows]
+    assert L.WINDOW > 1 and min(shared) > 30
+    # The place of a cut hangs on all lines of the window.
+    ends = lambda w: {tuple("\n".join(x)[:b].split("\n")[-2:]) for x in [own(1) + passage] for _, b, _ in L.line_chunks("\n".join(x), window=w)}
+    assert ends(1) != ends(2)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    whole = {r.doc_id: r.text for r in L.dedup_documents(docs).collect()}
+    with monkeypatch.context() as m:  # chunks alone
+        m.setattr(L, "line_pairs", lambda text: iter(()))
+        chunks = {r.doc_id: r.text for r in L.dedup_documents(docs).collect()}
+    assert whole[0] == chunks[0] == rows[0][1]
+    for n, t in rows[1:]:
+        kept = [x for x in chunks[n].split("\n") if x.strip()]
+        assert sum(x.strip() != "" for x in t.split("\n")) - len(kept) >= 30 and not any(c in chunks[n] for c in cut(t) if c in seen)
+        assert [x for x in whole[n].split("\n") if x.strip()] == [x for x in t.split("\n") if x.startswith("own") and x not in passage]

@@ -1,17 +1,20 @@
-"""Line dedup by content-defined chunks of lines, or by every two neighbouring lines.
+"""Line dedup by content-defined chunks of lines, extended by neighbouring lines where asked for.
 
-A text is split at line feeds. The hash of a line decides whether a chunk may end there, so a passage is
+A text is split at line feeds. A rolling hash over the hashes of the last lines (``op4_line_chunks``: of the
+last one) decides whether a chunk may end there, so a passage is
 cut in the same places wherever it stands, but for its first lines. No chunk has fewer than two lines,
 unless the text has one: a cut right after a cut waits for the next line that qualifies, and a last line
 by itself joins the chunk before it. Chunks of several lines that occur more than once among all
 documents lose all occurrences but the earliest (by id, then place in the text), provided their bytes
 are the same: digests only propose.
 
-Chunks miss repeated passages that no cut falls into. ``dedup_documents`` therefore proposes every two
-neighbouring lines, at every place, so that a repeated passage of two or more lines goes from its first
-line to its last wherever it stands. There, lines of white space lie between lines and are none
-themselves, the line feed after the second line is not compared, and an occurrence that overlaps the
-earliest one stays. A line that goes is always held by an earlier place.
+Chunks leave the ends of a repeated passage, and passages that no cut falls into. ``dedup_documents`` removes
+repeated chunks, cut by a rolling hash over two lines, and then extends: of the lines that they leave it proposes every
+two neighbours, a line beside a removed chunk with the chunk's own last or first, so that a repeated passage of two or
+more lines goes from its first line to its last wherever it stands. There, lines of white space lie between lines and
+are none themselves, the line feed after the last line is not compared, and two lines that overlap their
+earliest occurrence stay. A line that goes is always held by an earlier place: two lines within a removed chunk
+stand in that chunk's earliest occurrence too, and so are never their own earliest.
 
 Results: offsets count code points, ends are exclusive, and a chunk includes the line feeds that end
 its lines. A null text has no chunks and stays null. Single lines are never removed. Rows that share id
@@ -23,6 +26,7 @@ through whatever their names. An empty table gives an empty result.
 from __future__ import annotations
 
 import sys
+from collections import deque
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -38,29 +42,41 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 DIVISOR = 2
 LEAST = 2
+WINDOW = 2  # lines that the rolling hash of the pipeline's chunks covers
+BASE = 0x9E3779B97F4A7C15
 MASK = (1 << 64) - 1
 
 
-def line_chunks(text: str, divisor: int = DIVISOR) -> Iterator[tuple[int, int, int]]:
-    """(start, end, number of lines) of the chunks of ``text``, in order; they cover all of it."""
-    lines = text.split("\n")
-    start = at = count = 0
+def line_chunks(text: str, divisor: int = DIVISOR, window: int = 1, blank: bool = True) -> Iterator[tuple[int, int, int]]:
+    """(start, end, number of lines) of the chunks of ``text``, in order; they cover all of it. A rolling hash over
+    the hashes of ``window`` lines says where one may end. Without ``blank`` lines of white space are no lines, and are left
+    out between chunks."""
+    start = end = count = rolled = at = 0
     held = None
-    for i, line in enumerate(lines):
+    recent: deque[int] = deque([0] * window)
+    leaving = pow(BASE, window, MASK + 1)
+    for line in text.split("\n"):
+        begin, at = at, min(at + len(line) + 1, len(text))
+        if not blank and (not line or line.isspace()):
+            continue
         own = xxhash.xxh3_64_intdigest(line.encode("utf-8"))
-        at += len(line) + (i + 1 < len(lines))
+        recent.append(own)
+        rolled = (rolled * BASE + own - recent.popleft() * leaving) & MASK
+        if not count:
+            start = begin
+        end = at
         count += 1
-        if count >= LEAST and (((own * 0xD6E8FEB86659FD93) & MASK) >> 32) % divisor == 0:
+        if count >= LEAST and (((rolled * 0xD6E8FEB86659FD93) & MASK) >> 32) % divisor == 0:
             if held:
                 yield held
-            held = start, at, count
-            start, count = at, 0
+            held = start, end, count
+            count = 0
     if held and 0 < count < LEAST:
-        held, count = (held[0], at, held[2] + count), 0
+        held, count = (held[0], end, held[2] + count), 0
     if held:
         yield held
     if count:
-        yield start, at, count
+        yield start, end, count
 
 
 def line_pairs(text: str) -> Iterator[tuple[int, int, int]]:
@@ -76,19 +92,32 @@ def line_pairs(text: str) -> Iterator[tuple[int, int, int]]:
         at = end
 
 
-def _proposals(cut: Callable, pairs: bool) -> Callable:
+def _proposals(divisor: int, pairs: bool) -> Callable:
+    """Places of the chunks (``of`` is null) and, with ``pairs``, of every two neighbouring lines; there ``of`` is the start of
+    the chunk that has both, or -1."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
             for id, h, text in zip(*(c.to_pylist() for c in batch.columns)):
-                for start, end, count in cut(text):
-                    if count > 1:
-                        piece = text[start:end].removesuffix("\n") if pairs else text[start:end]
-                        digest = xxhash.xxh3_128_digest(piece.encode("utf-8"))
-                        halves = (int.from_bytes(digest[:8], "big", signed=True), int.from_bytes(digest[8:], "big", signed=True))
-                        rows.append((id, h, start, end, *halves))
-            columns = list(zip(*rows)) if rows else [()] * 6
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["id", "h", "start", "end", "d1", "d2"])
+
+                def add(start, end, of):
+                    piece = text[start:end].removesuffix("\n") if pairs else text[start:end]
+                    digest = xxhash.xxh3_128_digest(piece.encode("utf-8"))
+                    halves = (int.from_bytes(digest[:8], "big", signed=True), int.from_bytes(digest[8:], "big", signed=True))
+                    rows.append((id, h, start, end, *halves, of))
+
+                chunks = [c for c in line_chunks(text, divisor, WINDOW if pairs else 1, not pairs) if c[2] > 1]
+                for start, end, _ in chunks:
+                    add(start, end, None)
+                k = 0
+                for start, end, _ in line_pairs(text) if pairs else ():
+                    while k < len(chunks) and chunks[k][1] <= start:
+                        k += 1
+                    inside = k < len(chunks) and chunks[k][0] <= start and end <= chunks[k][1]
+                    add(start, end, chunks[k][0] if inside else -1)
+            columns = list(zip(*rows)) if rows else [()] * 7
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["id", "h", "start", "end", "d1", "d2", "of"])
 
     return run
 
@@ -109,23 +138,36 @@ def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["id", "h", "start", "end"])
 
 
-def repeated_chunks(docs: DataFrame, id: str = "doc_id", text: str = "text", divisor: int = DIVISOR, pairs: bool = False) -> DataFrame:
-    """The chunks that go: (id, h, start, end), h being the hash of the text. With ``pairs``, every two
-    neighbouring lines are proposed instead of chunks, and what goes of a text is merged."""
-    rows = docs.select(F.col(f"`{id}`").cast("long").alias("id"), F.xxhash64(F.col(f"`{text}`")).alias("h"), F.col(f"`{text}`").alias("body")).filter("body is not null")
-    cut = line_pairs if pairs else lambda text: line_chunks(text, divisor)
-    chunks = stored(rows.mapInArrow(_proposals(cut, pairs), "id long, h long, start long, end long, d1 long, d2 long").distinct(), "chunks")
+def _hits(places: DataFrame, pairs: bool) -> DataFrame:
+    """The places of digests that occur more than once, and whether they are the earliest of theirs; with ``pairs`` those
+    that overlap the earliest are left out."""
     # The earliest place of each digest, level by level, so that every step is a plain minimum.
     order = F.coalesce("id", F.lit((1 << 63) - 1))
-    proposed = chunks.groupBy("d1", "d2").agg(F.count("*").alias("c"), F.min(order).alias("least")).filter("c > 1").drop("c")
+    proposed = places.groupBy("d1", "d2").agg(F.count("*").alias("c"), F.min(order).alias("least")).filter("c > 1").drop("c")
     proposed = stored(proposed, "proposed")
-    hits = stored(chunks.join(proposed, ["d1", "d2"]).withColumn("same", order == F.col("least")), "hits")
+    hits = stored(places.join(proposed, ["d1", "d2"]).withColumn("same", order == F.col("least")), "hits")
     first = hits.filter("same").groupBy("d1", "d2").agg(F.min(F.struct("start", "h", "end")).alias("place"))
-    first = stored(first.select("d1", "d2", F.col("place.start").alias("at"), F.col("place.h").alias("of"), F.col("place.end").alias("to")), "first")
-    here = F.col("same") & (F.col("h") == F.col("of"))
+    first = stored(first.select("d1", "d2", F.col("place.start").alias("at"), F.col("place.h").alias("by"), F.col("place.end").alias("to")), "first")
+    here = F.col("same") & (F.col("h") == F.col("by"))
     hits = hits.join(first, ["d1", "d2"]).withColumn("earliest", here & (F.col("start") == F.col("at")))
-    if pairs:  # those that overlap the earliest stay
+    if pairs:
         hits = hits.filter(F.col("earliest") | ~(here & (F.col("start") < F.col("to"))))
+    return hits.select("id", "h", "start", "end", "d1", "d2", "earliest")
+
+
+def repeated_chunks(docs: DataFrame, id: str = "doc_id", text: str = "text", divisor: int = DIVISOR, pairs: bool = False) -> DataFrame:
+    """The chunks that go: (id, h, start, end), h being the hash of the text. With ``pairs``, chunks are extended by every
+    two neighbouring lines that repeat and do not both lie in a chunk that goes; what goes of a text is merged."""
+    rows = docs.select(F.col(f"`{id}`").cast("long").alias("id"), F.xxhash64(F.col(f"`{text}`")).alias("h"), F.col(f"`{text}`").alias("body")).filter("body is not null")
+    kinds = "id long, h long, start long, end long, d1 long, d2 long, of long"
+    places = stored(rows.mapInArrow(_proposals(divisor, pairs), kinds).distinct(), "chunks")
+    hits = _hits(places.filter("of is null"), False)
+    if pairs:
+        hits = stored(hits, "chunk-hits")
+        cut = hits.filter("not earliest").select(F.col("id").alias("i"), F.col("h").alias("g"), F.col("start").alias("s"))
+        inside = F.col("id").eqNullSafe(F.col("i")) & (F.col("h") == F.col("g")) & (F.col("of") == F.col("s"))
+        left = stored(places.filter("of is not null").join(cut, inside, "left_anti"), "left-lines")
+        hits = hits.unionByName(_hits(left, True))
     spans = hits.groupBy("id", "h").agg(F.collect_list(F.struct("start", "end", "d1", "d2", "earliest")).alias("spans"))
     # Bytes of the proposed chunks. Texts are as large as the corpus, so they are joined by a shuffle at every size.
     texts = rows.select(F.col("id").alias("i"), F.col("h").alias("g"), "body").join(spans.hint("merge"), F.col("i").eqNullSafe(F.col("id")) & (F.col("g") == F.col("h")))
@@ -163,7 +205,7 @@ def without_repeated_chunks(
 
 
 def dedup_documents(docs: DataFrame, id: str = "doc_id", text: str = "text", chars: str | None = "n_chars") -> DataFrame:
-    """``docs`` after the removal by pairs of lines, with its columns. ``chars``, where there is such a column, is counted
+    """``docs`` after the removal of repeated chunks and of the lines that extend them, with its columns. ``chars``, where there is such a column, is counted
     anew. Documents of which no word is left are dropped; those without words before stay."""
     (removed,) = free_names(docs, "__removed")
     out = without_repeated_chunks(docs, id, text, removed, pairs=True)
