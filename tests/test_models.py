@@ -80,6 +80,29 @@ def test_nearest_neighbours_with_copies_equal_brute_force(spark, monkeypatch):
     assert got == neighbours_by_brute_force(np.array([v for _, v in data]), np.array([i for i, _ in data]), 4)
 
 
+def test_rows_are_not_copied_from_cell_to_cell(spark, monkeypatch):
+    """In 16 dimensions nearly all cells are in reach of all rows; text keys, single-precision vectors, some copies."""
+    monkeypatch.setattr(resampling, "BLOCK_ROWS", 7)
+    visited, visit = [], resampling._visit
+
+    def counted(rows, *rest):
+        visited.append(rows.count())
+        return visit(rows, *rest)
+
+    monkeypatch.setattr(resampling, "_visit", counted)
+    points = np.random.default_rng(3).normal(size=(200, 16)).astype(np.float32)
+    points[150:] = points[100]
+    keys = [f"k{i:03d}" for i in range(200)]
+    df = spark.createDataFrame([(k, [float(v) for v in x]) for k, x in zip(keys, points)], "id string, x array<float>")
+    got: dict[str, list[str]] = {}
+    for r in resampling.nearest_neighbours(df, "id", "x", 3, seed=3).orderBy("id", "n").collect():
+        got.setdefault(r["id"], []).append(r["neighbour"])
+        assert r["neighbour_features"] == points[int(r["neighbour"][1:])].astype(float).tolist()
+    near = neighbours_by_brute_force(points.astype(float), list(range(200)), 3)
+    assert got == {keys[i]: [keys[j] for j in found] for i, found in near.items()}
+    assert sum(visited) == 200
+
+
 def test_smote_rows_lie_between_minority_neighbours(spark, sf):
     rows = spark.read.parquet(f"{sf}/embeddings.parquet").select("vec_id", "embedding", (F.col("label") == 1).cast("int").alias("y"))
     minority = rows.where("y = 1").orderBy("vec_id").collect()

@@ -2,9 +2,13 @@
 
 The search partitions the rows into cells around pivots (rows drawn at random). Each row first looks
 for neighbours in its own cell; the distance found bounds how far its true neighbours can lie, and
-the triangle inequality rules out the cells that are farther away. The row then visits the cells
-that are left. No cell, row or candidate is capped: large cells are cut into chunks that are compared
-chunk by chunk, each in a task of its own, and only the k best per row leave a task.
+the triangle inequality rules out the cells that are farther away. The cells that are left are compared
+with the row block by block: blocks of a cell's rows are written once and read against one another (a cartesian
+product), so no row is copied from cell to cell, and a task holds some blocks of rows while the
+candidates stream by. No cell, row or candidate is capped: at home, large cells are cut into chunks that are compared
+chunk by chunk, each in a task of its own, and only the k best per row leave a task, as numbers. Vectors
+of neighbours are joined at the end. What is shuffled and written grows with the rows; the comparisons
+themselves grow with their square where the triangle inequality rules out little (many dimensions).
 
 Of rows that are exact copies, k + 1 are enough as candidates (a row needs k others), so a vector
 that fills a third of the table is kept k + 1 times on the candidate side.
@@ -14,10 +18,13 @@ from __future__ import annotations
 
 import math
 import sys
-from collections.abc import Sequence
+from bisect import insort
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -28,7 +35,8 @@ from tidemark.operators.ranking import RangeBuckets, first_rows, rank_cuts
 from tidemark.session import stored
 
 CHUNK_ROWS = 2000
-BLOCK_ROWS = 256
+BLOCK_ROWS = 512
+PARTS = 8  # of the candidates in the search beyond the own cell: each returns k rows at most for a row
 SLACK = 1e-9  # keeps rounding from ruling out a cell at the very bound
 
 # The small functions below travel to the Python workers whole, so workers need not have this package.
@@ -59,37 +67,136 @@ def _own_cell(pivots: np.ndarray):
     return nearest
 
 
-def _cells_in_reach(pivots: np.ndarray, radius: np.ndarray):
-    """Other cells that may hold a row within the bound."""
-
-    @pandas_udf("array<int>")
-    def reach(vectors: pd.Series, cell: pd.Series, dist: pd.Series, bound: pd.Series) -> pd.Series:
-        x = _matrix(vectors)
-        own, d_own, limit = cell.to_numpy(), dist.to_numpy(), bound.to_numpy() * (1 + SLACK) + SLACK
-        out: list[list[int]] = [[] for _ in range(len(x))]
-        for i, p in enumerate(pivots):
-            if radius[i] < 0:  # empty cell
-                continue
-            d = _distances(x, p)
-            lower = d - radius[i]
-            between = _distances(pivots[own], p)
-            with np.errstate(divide="ignore", invalid="ignore"):
-                plane = np.where(between > 0, (d * d - d_own * d_own) / (2 * between), -np.inf)
-            near = (own != i) & (np.maximum(lower, plane) <= limit)
-            for row in np.flatnonzero(near):
-                out[row].append(i)
-        return pd.Series(out)
-
-    return reach
+def _blocks(pivots: np.ndarray) -> Callable:
+    """Rows in order of their cell to blocks of one cell. ``far`` and ``reach`` are the largest distance from the pivot and bound."""
+
+    def block(rows: pa.Table) -> pa.RecordBatch:
+        vectors, cell = rows["__vec"].combine_chunks(), rows["cell"][0].as_py()
+        if len(pc.unique(pc.list_value_length(vectors))) > 1:
+            raise ValueError("vectors differ in length")
+        flat = vectors.flatten()
+        kind = np.float32 if flat.type == pa.float32() else np.float64
+        whole = lambda c: pa.ListArray.from_arrays(pa.array([0, len(rows)], pa.int32()), rows[c].combine_chunks())
+        columns = {
+            "cell": pa.array([cell], pa.int32()),
+            "ids": whole("__id"),
+            "refs": whole("__ref"),
+            "vecs": pa.array([flat.to_numpy(zero_copy_only=False).astype(kind).tobytes()], pa.binary()),
+            "single": pa.array([kind == np.float32]),
+            "bounds": whole("__bound"),
+            "far": pa.array([pc.max(rows["dist"]).as_py()], pa.float64()),
+            "reach": pa.array([pc.max(rows["__bound"]).as_py()], pa.float64()),
+            "centre": pa.array([pivots[cell].tolist()], pa.list_(pa.float64())),
+        }
+        return pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
+        for batch in batches:
+            rows = pa.Table.from_batches([batch])
+            if held is not None:
+                rows = pa.concat_tables([held, rows]).combine_chunks()
+            cells, at = rows["cell"].to_numpy(), 0
+            for end in [*(np.flatnonzero(np.diff(cells)) + 1), len(cells)]:
+                while end - at >= BLOCK_ROWS or at < end < len(cells):
+                    size = min(BLOCK_ROWS, end - at)
+                    yield block(rows.slice(at, size))
+                    at += size
+            held = rows.slice(at)
+        if held is not None and len(held):
+            yield block(held)
+
+    return run
+
+
+def _search(k: int, pivots: np.ndarray) -> Callable:
+    """Pairs of blocks to the k best candidates of each row, of those within its bound."""
+
+    def matrix(vecs: bytes, single: bool, n: int) -> np.ndarray:
+        flat = np.frombuffer(vecs, np.float32 if single else np.float64).astype(float)
+        return flat.reshape(n, len(flat) // n)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows: dict[int, tuple] = {}
+        read = kind = None
+        for batch in batches:
+            c = {name: batch.column(i) for i, name in enumerate(batch.schema.names)}
+            kind = c["ids"].type.value_type
+            for at in range(batch.num_rows):
+                number, cell = c["block"][at].as_py(), c["cell"][at].as_py()
+                if number not in rows:
+                    ids = c["ids"][at].as_py()
+                    x = matrix(c["vecs"][at].as_py(), c["single"][at].as_py(), len(ids))
+                    bounds = c["bounds"][at].values.to_numpy(zero_copy_only=False)
+                    rows[number] = ids, x, (x * x).sum(axis=1), _distances(x, pivots[cell]), bounds.copy(), [[] for _ in ids]
+                if read != c["c_block"][at].as_py():
+                    read = c["c_block"][at].as_py()
+                    others, refs, c_cell, far = c["c_ids"][at].as_py(), c["c_refs"][at].as_py(), c["c_cell"][at].as_py(), c["c_far"][at].as_py()
+                    s = matrix(c["c_vecs"][at].as_py(), c["c_single"][at].as_py(), len(others))
+                    ss = (s * s).sum(axis=1)
+                    most = ss[np.isfinite(ss)].max(initial=0)
+                ids, x, xx, d_own, bounds, best = rows[number]
+                limit = bounds * (1 + SLACK) + SLACK
+                d, between = _distances(x, pivots[c_cell]), _distances(pivots[cell][None], pivots[c_cell])[0]
+                lower = d - far
+                if between > 0:
+                    lower = np.maximum(lower, (d * d - d_own * d_own) / (2 * between))
+                near = np.flatnonzero(lower <= limit)
+                if not len(near):
+                    continue
+                # Squared distances by one matrix product; those within the bound are computed exactly.
+                rough = xx[near, None] + ss[None, :] - 2 * (x[near] @ s.T)
+                i, j = np.nonzero((rough <= (limit[near] ** 2 + SLACK * (1 + xx[near] + most))[:, None]) & np.isfinite(rough))
+                i = near[i]
+                gap = s[j] - x[i]
+                exact = np.sqrt((gap * gap).sum(axis=1))
+                for row, other, dist in zip(i.tolist(), j.tolist(), exact.tolist()):
+                    found, id = best[row], others[other]
+                    if (id is not None and id == ids[row]) or dist > limit[row] or (len(found) == k and dist > found[-1][0]):
+                        continue
+                    insort(found, (dist, id is None, id, refs[other]), key=lambda f: f[:2] if f[1] else f[:3])
+                    if len(found) > k:
+                        found.pop()
+                    if len(found) == k and found[-1][0] < bounds[row]:
+                        bounds[row] = found[-1][0]
+        for ids, *_, best in rows.values():
+            out = [(ids[row], id, ref, dist) for row, found in enumerate(best) for dist, _, id, ref in found]
+            if out:
+                columns = list(zip(*out))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(columns[0], kind), pa.array(columns[1], kind), pa.array(columns[2], pa.int64()), pa.array(columns[3], pa.float64())],
+                    names=["__id", "__nb", "__ref", "__d"],
+                )
+
+    return run
+
+
+def _beyond(rows: DataFrame, candidates: DataFrame, pivots: np.ndarray, k: int, id_type: str) -> DataFrame:
+    """The k best candidates of each row, part by part of the candidates, in the other cells that may hold one within its bound."""
+
+    def blocks(of: DataFrame, name: str) -> DataFrame:
+        ordered = of.select("cell", "__id", "__ref", "__vec", "dist", "__bound").repartitionByRange("cell", F.xxhash64("__ref")).sortWithinPartitions("cell")
+        kinds = f"cell int, ids array<{id_type}>, refs array<bigint>, vecs binary, single boolean, bounds array<double>, far double, reach double, centre array<double>"
+        return stored(ordered.mapInArrow(_blocks(pivots), kinds).withColumn("block", F.monotonically_increasing_id()), name)
+
+    left = blocks(rows, "row-blocks").drop("refs")
+    right = blocks(candidates.withColumn("__bound", F.lit(0.0)), "candidate-blocks").drop("bounds", "reach")
+    right = right.select(*[F.col(c).alias(f"c_{c}") for c in right.columns])
+    squares = F.zip_with("centre", "c_centre", lambda a, b: (a - b) * (a - b))
+    between = F.sqrt(F.aggregate(squares, F.lit(0.0), lambda a, x: a + x))
+    reach = between - F.col("far") - F.col("c_far") <= F.col("reach") * (1 + SLACK) + SLACK
+    pairs = right.coalesce(PARTS).join(left.hint("shuffle_replicate_nl"), (F.col("cell") != F.col("c_cell")) & reach)
+    pairs = pairs.drop("centre", "c_centre", "far", "reach")
+    return pairs.mapInArrow(_search(k, pivots), f"__id {id_type}, __nb {id_type}, __ref bigint, __d double")
 
 
 def _best_in_chunk(k: int):
     def best(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        names = ["__id", "__nb", "__nb_vec", "__d"]
+        names = ["__id", "__nb", "__ref", "__d"]
         if left.empty or right.empty:
             return pd.DataFrame({n: [] for n in names})
         x, s = _matrix(left["__vec"]), _matrix(right["__cvec"])
-        ids, others = left["__id"].to_numpy(), right["__cid"].to_numpy()
+        ids, others, refs = left["__id"].to_numpy(), right["__cid"].to_numpy(), right["__cref"].to_numpy()
         found: list[tuple] = []
         xx, ss, kth = (x * x).sum(axis=1), (s * s).sum(axis=1), min(k, len(s)) - 1
         for at in range(0, len(x), BLOCK_ROWS):
@@ -102,7 +209,7 @@ def _best_in_chunk(k: int):
                 near = np.flatnonzero((rough[i] <= limit[i]) & np.isfinite(rough[i]))
                 d = _distances(s[near], block[i])
                 for j in np.lexsort((others[near], d))[:k]:
-                    found.append((id, others[near[j]], s[near[j]], d[j]))
+                    found.append((id, others[near[j]], refs[near[j]], d[j]))
         return pd.DataFrame(found, columns=names)
 
     return best
@@ -126,12 +233,13 @@ def _visit(rows: DataFrame, candidates: DataFrame, k: int, id_type: str) -> Data
     right = candidates.join(parts, "cell").select(
         F.col("cell").alias("c_cell"),
         F.col("__id").alias("__cid"),
+        F.col("__ref").alias("__cref"),
         F.col("__vec").alias("__cvec"),
         chunk(F.col("__sp")).alias("c_s"),
         copies(F.col("__rp")).alias("c_r"),
     )
     return left.groupBy("cell", "r", "s").cogroup(right.groupBy("c_cell", "c_r", "c_s")).applyInPandas(
-        _best_in_chunk(k), f"__id {id_type}, __nb {id_type}, __nb_vec array<double>, __d double"
+        _best_in_chunk(k), f"__id {id_type}, __nb {id_type}, __ref bigint, __d double"
     )
 
 
@@ -140,16 +248,6 @@ def _closest(found: DataFrame, k: int) -> DataFrame:
     return found.withColumn("__n", F.row_number().over(w)).where(F.col("__n") <= k)
 
 
-def _named(found: DataFrame, key: str) -> DataFrame:
-    return found.select(
-        F.col("__id").alias(key),
-        F.col("__nb").alias("neighbour"),
-        F.col("__nb_vec").alias("neighbour_features"),
-        F.col("__d").alias("distance"),
-        F.col("__n").alias("n"),
-    )
-
-
 def nearest_neighbours(df: DataFrame, key: str, features: str, k: int, seed: int = 42) -> DataFrame:
     """The ``k`` nearest other rows of every row by Euclidean distance, ties by key.
 
@@ -158,8 +256,14 @@ def nearest_neighbours(df: DataFrame, key: str, features: str, k: int, seed: int
     neighbours and are none. Cells are as many as the square root of the rows, so finding a row's
     cell and searching it cost about the same at every size.
     """
+    near, vectors = _near(df, key, features, k, seed)
+    return near.join(vectors, "__ref").select(key, "neighbour", "neighbour_features", "distance", "n")
+
+
+def _near(df: DataFrame, key: str, features: str, k: int, seed: int) -> tuple[DataFrame, DataFrame]:
+    """The neighbours with a number ``__ref`` in place of their features, and the features by that number."""
     id_type = df.schema[key].dataType.simpleString()
-    rows = df.select(F.col(key).alias("__id"), F.col(features).cast("array<double>").alias("__vec")).where("__vec is not null")
+    rows = df.select(F.col(key).alias("__id"), F.col(features).cast(_kind(df, features)).alias("__vec")).where("__vec is not null")
     wanted = max(1, math.ceil(math.sqrt(rows.count())))
 
     def candidates_of(placed: DataFrame) -> DataFrame:
@@ -172,25 +276,22 @@ def nearest_neighbours(df: DataFrame, key: str, features: str, k: int, seed: int
     drawn = first_rows(tagged, "__h", "__id", wanted, even).select("__vec").collect()
     pivots = np.unique(np.array([r[0] for r in drawn], dtype=float), axis=0)
 
-    located = rows.withColumn("__c", _own_cell(pivots)("__vec")).select("__id", "__vec", "__c.cell", "__c.dist")
+    located = rows.withColumn("__c", _own_cell(pivots)("__vec")).select("__id", "__vec", "__c.cell", "__c.dist", F.monotonically_increasing_id().alias("__ref"))
     placed = stored(located, "cells")  # read by every step below
     candidates = candidates_of(placed)
-    radius = np.full(len(pivots), -1.0)
-    for r in candidates.groupBy("cell").agg(F.max("dist").alias("far")).collect():
-        radius[r["cell"]] = r["far"]
-
     at_home = stored(_closest(_visit(placed, candidates, k, id_type), k).drop("__n"), "near")
     bound = at_home.groupBy("__id").agg(
         F.when(F.count(F.lit(1)) == k, F.max("__d")).otherwise(F.lit(math.inf)).alias("__bound")
     )
-    travellers = (
-        placed.join(bound, "__id", "left")
-        .withColumn("__bound", F.coalesce("__bound", F.lit(math.inf)))
-        .withColumn("__to", _cells_in_reach(pivots, radius)("__vec", "cell", "dist", "__bound"))
-        .select("__id", "__vec", F.explode("__to").alias("cell"))
-    )
-    found = at_home.unionByName(_visit(travellers, candidates, k, id_type))
-    return _named(_closest(found, k), key)
+    bounded = placed.join(bound, "__id", "left").withColumn("__bound", F.coalesce("__bound", F.lit(math.inf)))
+    found = at_home.unionByName(_beyond(bounded, candidates, pivots, k, id_type))
+    near = _closest(found, k).select(F.col("__id").alias(key), F.col("__nb").alias("neighbour"), "__ref", F.col("__d").alias("distance"), F.col("__n").alias("n"))
+    return near, placed.select("__ref", F.col("__vec").cast("array<double>").alias("neighbour_features"))
+
+
+def _kind(df: DataFrame, features: str) -> str:
+    """Vectors stay single where they are: half the bytes, and the same numbers as doubles."""
+    return "array<float>" if df.schema[features].dataType.simpleString() == "array<float>" else "array<double>"
 
 
 def smote_rows(df: DataFrame, key: str, features: str, label: str, k: int = 5, seed: int = 42) -> DataFrame:
@@ -209,7 +310,7 @@ def smote_rows(df: DataFrame, key: str, features: str, label: str, k: int = 5, s
         raise ValueError("the smaller class needs at least two rows")
     each, rest = divmod(large - small, small)
     rows = df.where(F.col(label) == F.lit(minority)).select(key, features)
-    near = nearest_neighbours(rows, key, features, min(k, small - 1), seed)
+    near, vectors = _near(rows, key, features, min(k, small - 1), seed)
     tagged = rows.withColumn("__h", hash_order(F.col(key), f"{seed}:base"))
     extra = F.lit(0)
     if rest:
@@ -227,7 +328,7 @@ def smote_rows(df: DataFrame, key: str, features: str, label: str, k: int = 5, s
             "gap": hash_order(draw, f"{seed}:gap") / F.lit(float(HASH_TOP)),
         }
     )
-    joined = bases.join(near.select(key, "n", "neighbour", "neighbour_features"), [key, "n"])
+    joined = bases.join(near.select(key, "n", "neighbour", "__ref"), [key, "n"]).join(vectors, "__ref")
     gap = F.col("gap")
     point = F.zip_with("__base", "neighbour_features", lambda a, b: a + gap * (b - a))
     return joined.select(
